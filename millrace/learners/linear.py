@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.runtime import materialise
+
 BLOCK_ROWS = 1 << 13
 BLOCKS_PER_SUPER = 1 << 10
 _CHUNK = 64
@@ -116,6 +118,8 @@ def linear_scan(
     maps = rows.groupBy(*keys, "_super", "_block").applyInPandas(
         as_map, f"{key_ddl}_super bigint, _block bigint, {map_ddl}"
     )
+    # read twice below; written once so that the rows are reduced once
+    maps = materialise(maps, "linear-maps")
     supers = maps.groupBy(*keys, "_super").applyInPandas(
         compose, f"{key_ddl}_super bigint, {map_ddl}"
     )

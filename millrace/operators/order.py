@@ -20,7 +20,8 @@ def with_rank(
     """0-based position of each row in ``order``. A source whose counter has no
     gaps says so with ``dense_from`` (its first value) and pays no shuffle."""
     if dense_from is not None and not keys:
-        return df.withColumn(name, F.col(order) - F.lit(dense_from))
+        # the bare column keeps range filters on the position pushable
+        return df.withColumn(name, F.col(order) - dense_from if dense_from else F.col(order))
     return running(df, order, {name: count_state()}, keys, inclusive=False)
 
 
@@ -49,3 +50,8 @@ def full_count_windows(df: DataFrame, rank: str, size: int, *aggs: Column) -> Da
         .agg(F.count("*").alias("n"), *aggs)
         .filter(F.col("n") == size)
     )
+
+
+def doubling_bounds(block: int, first: int) -> tuple[int, int]:
+    """First position of a ``doubling_block`` round and the one behind its end."""
+    return (0 if block == 0 else first << (block - 1)), first << block
