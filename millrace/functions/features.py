@@ -135,9 +135,13 @@ def flags_to_features(flags: Column) -> Column:
     return F.transform(flags, lambda f: f.cast("double"))
 
 
+def is_mismatch(actual: str, label: str) -> Column:
+    """Whether the carried label no longer agrees with the instance's own."""
+    return ~F.col(actual).eqNullSafe(F.col(label))
+
+
 def label_mismatch(df: DataFrame, actual: str, label: str) -> DataFrame:
-    """Rows whose carried label no longer agrees with the instance's own."""
-    return df.filter(~F.col(actual).eqNullSafe(F.col(label)))
+    return df.filter(is_mismatch(actual, label))
 
 
 def one_row_per_output(df: DataFrame, actual: str, pred: str, keep: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.order import fixed_block, full_count_windows
 from millrace.operators.scan import State, running
 from millrace.runtime import materialise
 
@@ -54,9 +55,11 @@ def snapshots(
     width: int,
     classes: Sequence[int],
     keys: Sequence[str] = (),
+    after: bool = False,
 ) -> DataFrame:
     """The model that scores each block: ``params`` is an array with one struct
-    ``(label, n, mean, var)`` per class seen in earlier blocks."""
+    ``(label, n, mean, var)`` per class seen in earlier blocks. ``after`` gives
+    the model at the end of the block instead."""
     keys = list(keys)
     cells = (
         block_cells(df, block, features, label, keys)
@@ -69,7 +72,7 @@ def snapshots(
         block,
         {"pn": State(F.col("n")), "ps": State(F.col("s")), "pss": State(F.col("ss"))},
         [*keys, label, "i"],
-        inclusive=False,
+        inclusive=after,
         widths=(1 << 12,),
     )
     mean = F.col("ps") / F.col("pn")
@@ -94,6 +97,27 @@ def snapshots(
     return per_class.groupBy(*keys, block).agg(F.sort_array(F.collect_list(params)).alias("params"))
 
 
+def snapshot_stream(
+    df: DataFrame,
+    rank: str,
+    features: str,
+    label: str,
+    width: int,
+    classes: Sequence[int],
+    every: int,
+) -> DataFrame:
+    """Snapshots as a stream of their own: one after every ``every`` rows, with
+    its version number and the first position it may score."""
+    blocked = df.withColumn("_b", fixed_block(rank, every))
+    models = snapshots(blocked, "_b", features, label, width, classes, after=True)
+    full = full_count_windows(df, rank, every).select(F.col("block").alias("_b"))
+    return models.join(full, "_b").select(
+        (F.col("_b") + 1).alias("version"),
+        ((F.col("_b") + 1) * every).alias("valid_from"),
+        "params",
+    )
+
+
 TWO_PI = 6.283185307179586
 
 

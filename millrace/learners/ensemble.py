@@ -6,15 +6,17 @@ import itertools
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.features import key_text
 from millrace.learners import bayes
 from millrace.learners.network import class_targets, perceptron, train_in_rounds
 from millrace.learners.tree import TreeParams, prequential_hoeffding
 from millrace.operators.connect import gather, tag_predictions
 from millrace.operators.metrics import progress
 from millrace.operators.order import fixed_block
+from millrace.operators.scan import State, running
 from millrace.runtime import materialise
 
 
@@ -29,6 +31,34 @@ def with_replica(df: DataFrame, rank: str, replicas: int, name: str = "replica")
     )
 
 
+def number_rows(df: DataFrame, coarse: str, order: str, name: str = "rank") -> DataFrame:
+    """Gapless positions for rows whose order is a compound value. ``coarse`` is
+    a whole number the order starts with; rows are counted per value of it, the
+    counts are scanned, and only rows that share the value are ranked together."""
+    groups = df.groupBy(coarse).agg(F.count("*").alias("_n"))
+    starts = running(groups, coarse, {"_start": State(F.col("_n"))}, inclusive=False)
+    within = Window.partitionBy(coarse).orderBy(order)
+    return (
+        df.join(starts.select(coarse, "_start"), coarse)
+        .withColumn(name, F.col("_start") + F.row_number().over(within) - 1)
+        .drop("_start", order)
+    )
+
+
+def keyed_class_report(
+    df: DataFrame, order: str, label: str, names: Sequence[tuple[str, int]], key: str, seen: str,
+    warmup: int, every: int,
+) -> DataFrame:
+    """Text description of each key's model, the class counts before the row, at
+    every ``every``-th row of the key from the ``warmup``-th on."""
+    counts = {f"_c{c}": State((F.col(label) == c).cast("bigint")) for _, c in names}
+    out = running(df, order, counts, [key], inclusive=False)
+    out = out.filter((F.col(seen) >= warmup) & (F.col(seen) % every == 0))
+    parts = [F.format_string(f"{n}=%d", F.col(f"_c{c}")) for n, c in names]
+    text = F.concat_ws(" ", F.format_string("seen %d", F.col(seen) - 1), *parts)
+    return out.select(order, key_text(F.col(key), text).alias("info"))
+
+
 def attribute_subsets(
     width: int, size: int = 2, max_subsets: int | None = None, seed: int = 7
 ) -> list[tuple[int, ...]]:
