@@ -18,18 +18,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.grouped import map_sorted_groups
 from millrace.runtime import materialise
 
 BLOCK_ROWS = 1 << 13
-BLOCKS_PER_SUPER = 1 << 10
+# With 64 features a composed map is 34 KB: a super-block of maps is 140 MB, and
+# 10^11 rows leave 3000 of them for the last step.
+BLOCKS_PER_SUPER = 1 << 12
 _CHUNK = 64
 
 
-def _chunks(pdf: pd.DataFrame, order: str, features: str, targets: str):
-    pdf = pdf.sort_values(order, kind="stable")
-    x = np.array(pdf[features].tolist(), dtype=np.float64)
-    x = np.hstack([x, np.ones((len(x), 1))])
-    y = np.array(pdf[targets].tolist(), dtype=np.float64)
+def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    x = np.array(pdf["_x"].tolist(), dtype=np.float64)
+    y = np.array(pdf["_y"].tolist(), dtype=np.float64)
+    return np.hstack([x, np.ones((len(x), 1))]), y
+
+
+def _chunks(x: np.ndarray, y: np.ndarray):
     for at in range(0, len(x), _CHUNK):
         yield x[at : at + _CHUNK], y[at : at + _CHUNK]
 
@@ -68,14 +73,25 @@ def linear_scan(
     )
     map_ddl = "_a array<double>, _b array<double>"
 
-    def as_map(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = np.eye(size), np.zeros((size, outputs))
-        for x, y in _chunks(pdf, rank, "_x", "_y"):
-            solved = np.linalg.solve(_lower(x, lr), np.hstack([x, y]))
-            a -= lr * x.T @ (solved[:, :size] @ a)
-            b += lr * x.T @ (solved[:, size:] - solved[:, :size] @ b)
-        head = pdf[[*keys, "_super", "_block"]].iloc[:1].reset_index(drop=True)
-        return head.assign(_a=[a.ravel()], _b=[b.ravel()])
+    def as_maps(groups: list[pd.DataFrame]) -> pd.DataFrame:
+        # a block that is not full is the last of its key: nothing follows it
+        full = [g for g in groups if len(g) == block_rows]
+        made = []
+        for pdf in full:
+            a, b = np.eye(size), np.zeros((size, outputs))
+            for x, y in _chunks(*_arrays(pdf)):
+                solved = np.linalg.solve(_lower(x, lr), np.hstack([x, y]))
+                a -= lr * x.T @ (solved[:, :size] @ a)
+                b += lr * x.T @ (solved[:, size:] - solved[:, :size] @ b)
+            made.append((a.ravel(), b.ravel()))
+        heads = [g[[*keys, "_super", "_block"]].iloc[:1] for g in full]
+        out = pd.concat(heads, ignore_index=True) if heads else groups[0].iloc[:0][
+            [*keys, "_super", "_block"]
+        ]
+        return out.assign(
+            _a=pd.Series([m[0] for m in made], dtype=object),
+            _b=pd.Series([m[1] for m in made], dtype=object),
+        )
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = np.eye(size), np.zeros((size, outputs))
@@ -86,44 +102,60 @@ def linear_scan(
         head = pdf[[*keys, "_super"]].iloc[:1].reset_index(drop=True)
         return head.assign(_a=[a.ravel()], _b=[b.ravel()])
 
-    def starts_of(pdf: pd.DataFrame, by: str, w: np.ndarray) -> pd.DataFrame:
-        pdf = pdf.sort_values(by)
-        found = []
+    def after(ra, rb, w: np.ndarray) -> np.ndarray:
+        return np.asarray(ra).reshape(size, size) @ w + np.asarray(rb).reshape(size, outputs)
+
+    def super_starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Weights at the start of every super-block."""
+        w, found = np.full((size, outputs), init), []
+        pdf = pdf.sort_values("_super")
         for ra, rb in zip(pdf["_a"], pdf["_b"]):
             found.append(w.ravel())
-            w = np.asarray(ra).reshape(size, size) @ w + np.asarray(rb).reshape(size, outputs)
+            w = after(ra, rb, w)
         return pdf.drop(columns=["_a", "_b"]).assign(_w=found)
 
-    def super_starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        return starts_of(pdf, "_super", np.full((size, outputs), init))
-
     def block_starts(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        w = np.asarray(right["_w"].iloc[0]).reshape(size, outputs)
-        return starts_of(left, "_block", w)
-
-    def replay(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return left.assign(pred=[])[[*passed, "actual", "pred"]]
-        w = np.asarray(right["_w"].iloc[0]).reshape(size, outputs)
-        left = left.sort_values(rank, kind="stable")
-        preds = []
-        for x, y in _chunks(left, rank, "_x", "_y"):
-            e = np.linalg.solve(_lower(x, lr), y - x @ w)
-            preds.append(y - e)
-            w = w + lr * x.T @ e
-        return left.assign(actual=left["_y"], pred=list(np.vstack(preds)))[
-            [*passed, "actual", "pred"]
-        ]
-
-    maps = rows.groupBy(*keys, "_super", "_block").applyInPandas(
-        as_map, f"{key_ddl}_super bigint, _block bigint, {map_ddl}"
+        """Weights at the end of every block, under the number of the next."""
+        w, found = np.asarray(right["_w"].iloc[0]).reshape(size, outputs), []
+        left = left.sort_values("_block")
+        for ra, rb in zip(left["_a"], left["_b"]):
+            w = after(ra, rb, w)
+            found.append(w.ravel())
+        return left.drop(columns=["_a", "_b"]).assign(_block=left["_block"] + 1, _w=found)
+
+    def replay(groups: list[pd.DataFrame]) -> pd.DataFrame:
+        done = []
+        for pdf in groups:
+            w = np.full((size, outputs), init)
+            if pdf["_w"].iloc[0] is not None:  # the start weights sort first
+                w = np.asarray(pdf["_w"].iloc[0]).reshape(size, outputs)
+                pdf = pdf.iloc[1:]
+            if pdf.empty:
+                continue
+            preds = []
+            for x, y in _chunks(*_arrays(pdf)):
+                e = np.linalg.solve(_lower(x, lr), y - x @ w)
+                preds.append(y - e)
+                w = w + lr * x.T @ e
+            done.append(pdf[[*passed, "_y"]].assign(pred=list(np.vstack(preds))))
+        if not done:
+            empty = groups[0].iloc[:0][[*passed, "_y"]].rename(columns={"_y": "actual"})
+            return empty.assign(pred=pd.Series(dtype=object))
+        return pd.concat(done, ignore_index=True).rename(columns={"_y": "actual"})
+
+    maps = map_sorted_groups(
+        rows,
+        [*keys, "_super", "_block"],
+        [rank],
+        as_maps,
+        f"{key_ddl}_super bigint, _block bigint, {map_ddl}",
     )
     # read twice below; written once so that the rows are reduced once
     maps = materialise(maps, "linear-maps")
     supers = maps.groupBy(*keys, "_super").applyInPandas(
         compose, f"{key_ddl}_super bigint, {map_ddl}"
     )
-    # one entry per 8 million rows of a key
+    # one entry per 33 million rows of a key
     super_w = supers.groupBy(*keys).applyInPandas(
         super_starts, f"{key_ddl}_super bigint, _w array<double>"
     )
@@ -132,9 +164,18 @@ def linear_scan(
         .cogroup(super_w.groupBy(*keys, "_super"))
         .applyInPandas(block_starts, f"{key_ddl}_super bigint, _block bigint, _w array<double>")
     )
+    # the weights behind a block enter the next one as a carry row
+    entering = block_w.select(
+        *keys, F.expr(f"_block div {int(blocks_per_super)}").alias("_super"), "_block", "_w"
+    )
+    joined = rows.withColumn("_w", F.lit(None).cast("array<double>")).unionByName(
+        entering, allowMissingColumns=True
+    )
     out_ddl = ", ".join(f"{c} {fields[c]}" for c in passed)
-    return (
-        rows.groupBy(*keys, "_super", "_block")
-        .cogroup(block_w.groupBy(*keys, "_super", "_block"))
-        .applyInPandas(replay, f"{out_ddl}, actual array<double>, pred array<double>")
+    return map_sorted_groups(
+        joined,
+        [*keys, "_super", "_block"],
+        [F.col("_w").isNull(), rank],
+        replay,
+        f"{out_ddl}, actual array<double>, pred array<double>",
     )

@@ -5,7 +5,7 @@ rounds whose length doubles (``doubling_block``): a row is scored with the model
 as of the start of its round. Within a round every slice of ``slice_rows`` rows
 runs per-record back-propagation from the round's start weights, and the
 row-weighted mean of the slices' weights starts the next round (parallel SGD by
-model averaging, Zinkevich et al. 2010). One slice per round is the plain
+model averaging, Zinkevich et al. 2010). A task runs its slices side by side. One slice per round is the plain
 per-record learner with a delayed snapshot.
 
 Scores and new weights leave a round in one pass and are written to the shared
@@ -25,10 +25,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.grouped import map_sorted_groups
 from millrace.operators.order import doubling_block, doubling_bounds
 from millrace.runtime import scratch_path
 
-SLICE_ROWS = 8192
+SLICE_ROWS = 2048
+LOCKSTEP = 64  # slices trained side by side in one task
 
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda a: (a > 0).astype(float)),
@@ -61,44 +63,38 @@ class Network:
             parts.append(w.ravel())
         return np.concatenate(parts)
 
-    def _weights(self, flat: np.ndarray) -> list[np.ndarray]:
+    def unpack(self, flats: np.ndarray) -> list[np.ndarray]:
+        """Views into ``flats`` (one row per model), one array per layer."""
         out, at = [], 0
         for a, b in zip(self.layers, self.layers[1:]):
-            out.append(flat[at : at + (a + 1) * b].reshape(a + 1, b))
+            out.append(flats[:, at : at + (a + 1) * b].reshape(len(flats), a + 1, b))
             at += (a + 1) * b
         return out
 
-    def activations(self, flat: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-        ws = self._weights(flat)
+    def activations(self, ws: list[np.ndarray], x: np.ndarray) -> list[np.ndarray]:
         acts = [x]
         for k, w in enumerate(ws):
             name = self.out if k == len(ws) - 1 else self.hidden
-            acts.append(_ACTIVATIONS[name][0](acts[-1] @ w[:-1] + w[-1]))
+            acts.append(_ACTIVATIONS[name][0](acts[-1] @ w[:, :-1] + w[:, -1:]))
         return acts
 
-    def predict(self, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return self.activations(flat, x)[-1]
-
-    def train(self, flat: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Back-propagation in row order, ``batch`` rows per step."""
-        flat = flat.copy()
-        ws = self._weights(flat)
-        for at in range(0, len(x), self.batch):
-            xb, yb = x[at : at + self.batch], y[at : at + self.batch]
-            acts = self.activations(flat, xb)
-            err = yb - acts[-1]
-            if self.learn_above is not None:
-                err = err * (np.abs(err) > self.learn_above).any(axis=1, keepdims=True)
-                if not err.any():
-                    continue
-            delta = err * _ACTIVATIONS[self.out][1](acts[-1])
-            for k in range(len(ws) - 1, -1, -1):
-                back = delta @ ws[k][:-1].T
-                ws[k][:-1] += self.lr * acts[k].T @ delta
-                ws[k][-1] += self.lr * delta.sum(axis=0)
-                if k:
-                    delta = back * _ACTIVATIONS[self.hidden][1](acts[k])
-        return flat
+    def predict(self, ws: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+        return self.activations(ws, x)[-1]
+
+    def step(self, ws: list[np.ndarray], x: np.ndarray, y: np.ndarray, live: np.ndarray) -> None:
+        """One back-propagation step, in place. Axes: model, row, value; rows
+        that are not ``live`` are padding."""
+        acts = self.activations(ws, x)
+        err = (y - acts[-1]) * live
+        if self.learn_above is not None:
+            err = err * (np.abs(err) > self.learn_above).any(axis=2, keepdims=True)
+        delta = err * _ACTIVATIONS[self.out][1](acts[-1])
+        for k in range(len(ws) - 1, -1, -1):
+            back = delta @ ws[k][:, :-1].transpose(0, 2, 1) if k else None
+            ws[k][:, :-1] += self.lr * (acts[k].transpose(0, 2, 1) @ delta)
+            ws[k][:, -1] += self.lr * delta.sum(axis=1)
+            if k:
+                delta = back * _ACTIVATIONS[self.hidden][1](acts[k])
 
 
 @dataclass(frozen=True)
@@ -108,17 +104,24 @@ class Autoencoder:
     net: Network
     code_layer: int
 
+    @property
+    def batch(self) -> int:
+        return self.net.batch
+
     def init(self) -> np.ndarray:
         return self.net.init()
 
-    def predict(self, flat, x):
-        return self.net.predict(flat, x)
+    def unpack(self, flats):
+        return self.net.unpack(flats)
+
+    def predict(self, ws, x):
+        return self.net.predict(ws, x)
 
-    def encode(self, flat, x):
-        return self.net.activations(flat, x)[self.code_layer]
+    def encode(self, ws, x):
+        return self.net.activations(ws, x)[self.code_layer]
 
-    def train(self, flat, x, y):
-        return self.net.train(flat, x, x)
+    def step(self, ws, x, y, live):
+        self.net.step(ws, x, x, live)
 
 
 @dataclass(frozen=True)
@@ -129,26 +132,43 @@ class EncodedNetwork:
     encoder: Autoencoder
     net: Network
 
+    @property
+    def batch(self) -> int:
+        return self.net.batch
+
     def init(self) -> np.ndarray:
         return np.concatenate([self.encoder.init(), self.net.init()])
 
-    def _split(self, flat):
+    def unpack(self, flats):
         cut = self.encoder.net.size()
-        return flat[:cut], flat[cut:]
-
-    def predict(self, flat, x):
-        e, n = self._split(flat)
-        return self.net.predict(n, self.encoder.encode(e, x))
-
-    def train(self, flat, x, y):
-        e, n = self._split(flat)
-        step = self.net.batch
-        for at in range(0, len(x), step):
-            xb, yb = x[at : at + step], y[at : at + step]
-            code = self.encoder.encode(e, xb)
-            e = self.encoder.train(e, xb, yb)
-            n = self.net.train(n, code, yb)
-        return np.concatenate([e, n])
+        return self.encoder.unpack(flats[:, :cut]), self.net.unpack(flats[:, cut:])
+
+    def predict(self, ws, x):
+        return self.net.predict(ws[1], self.encoder.encode(ws[0], x))
+
+    def step(self, ws, x, y, live):
+        code = self.encoder.encode(ws[0], x)
+        self.encoder.step(ws[0], x, y, live)
+        self.net.step(ws[1], code, y, live)
+
+
+def train_lockstep(model, flats: np.ndarray, xs: list[np.ndarray], ys: list[np.ndarray]):
+    """Train one model per slice, all slices one step at a time: the same
+    arithmetic per slice, with array operations shared between slices. Returns
+    the predictions by the start weights and the trained weights."""
+    rows = max(len(x) for x in xs)
+    x = np.zeros((len(xs), rows, xs[0].shape[1]))
+    y = np.zeros((len(xs), rows, ys[0].shape[1]))
+    live = np.zeros((len(xs), rows, 1))
+    for i, (xi, yi) in enumerate(zip(xs, ys)):
+        x[i, : len(xi)], y[i, : len(yi)], live[i, : len(xi)] = xi, yi, 1.0
+    preds = model.predict(model.unpack(flats), x)
+    trained = flats.copy()
+    ws = model.unpack(trained)
+    for at in range(0, rows, model.batch):
+        part = slice(at, at + model.batch)
+        model.step(ws, x[:, part], y[:, part], live[:, part])
+    return [p[: len(xi)] for p, xi in zip(preds, xs)], trained
 
 
 def perceptron(width: int, classes: int, lr: float = 1.0, batch: int = 1) -> Network:
@@ -193,46 +213,57 @@ def train_in_rounds(
     )
     out_cols = [*passed, "actual", "pred", "_w", "_n"]
 
-    def step(start: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(rank, kind="stable")
-        x, y = _matrix(pdf["_x"]), _matrix(pdf["actual"])
-        trained = model.train(start, x, y)
-        # the slice's weights ride on its first row
-        return pdf.assign(
-            pred=list(model.predict(start, x)),
-            _w=[trained] + [None] * (len(pdf) - 1),
-            _n=len(pdf),
-        )[out_cols]
-
-    def stepper(start: np.ndarray):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            return step(start, pdf)
-
-        return run
-
-    weights = model.init()
+    def worker(start: np.ndarray):
+        def work(groups: list[pd.DataFrame]) -> pd.DataFrame:
+            starts, slices = [], []
+            for pdf in groups:
+                w = pdf["_w"].iloc[0]
+                if w is not None:  # the key's own start weights sort first
+                    pdf = pdf.iloc[1:]
+                if len(pdf):
+                    starts.append(start if w is None else np.asarray(w))
+                    slices.append(pdf)
+            if not slices:
+                return groups[0].iloc[:0].assign(
+                    pred=pd.Series(dtype=object), _n=pd.Series(dtype="int64")
+                )[out_cols]
+            preds, trained = train_lockstep(
+                model,
+                np.array(starts),
+                [_matrix(pdf["_x"]) for pdf in slices],
+                [_matrix(pdf["actual"]) for pdf in slices],
+            )
+            # a slice's new weights ride on its first row
+            out = pd.concat(slices, ignore_index=True)
+            sizes = [len(pdf) for pdf in slices]
+            new = np.full(len(out), None, dtype=object)
+            for at, w in zip(np.cumsum([0, *sizes[:-1]]), trained):
+                new[at] = w
+            return out.assign(
+                pred=[row for p in preds for row in p], _w=new, _n=np.repeat(sizes, sizes)
+            )[out_cols]
+
+        return work
+
+    by = [*keys, "_slice"]
+    origin = model.init()
+    weights = None
     for r in range(0 if last is None else last + 1):
         lo, hi = doubling_bounds(r, first)
-        part = rows.filter((F.col(rank) >= lo) & (F.col(rank) < hi))
-        if not keys:
-            done = part.groupBy("_slice").applyInPandas(stepper(weights), out_ddl)
-        else:
-            # fresh column identities, so that the two sides of the cogroup differ
-            slices = part.select(*[F.col(c).alias(c) for c in [*keys, "_slice"]]).distinct()
-            if r == 0:
-                starts = slices.withColumn("_w", F.lit(None).cast("array<double>"))
-            else:
-                starts = slices.join(weights, keys)
-
-            def paired(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-                w = right["_w"].iloc[0]
-                return step(model.init() if w is None else np.asarray(w), left)
-
-            done = (
-                part.groupBy(*keys, "_slice")
-                .cogroup(starts.groupBy(*keys, "_slice"))
-                .applyInPandas(paired, out_ddl)
-            )
+        part = rows.filter((F.col(rank) >= lo) & (F.col(rank) < hi)).withColumn(
+            "_w", F.lit(None).cast("array<double>")
+        )
+        start = origin
+        if keys and r:
+            # one carry row per slice holds the key's weights; fresh column
+            # identities keep the two sides of the join apart
+            slices = part.select(*[F.col(c).alias(c) for c in by]).distinct()
+            part = part.unionByName(slices.join(weights, keys), allowMissingColumns=True)
+        elif r:
+            start = weights
+        done = map_sorted_groups(
+            part, by, [F.col("_w").isNull(), rank], worker(start), out_ddl, LOCKSTEP
+        )
         round_path = f"{out_path}/round={r}"
         done.write.parquet(round_path)
         mean = (

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.scan import count_state, running
+from millrace.operators.scan import State, count_state, running
+from millrace.runtime import materialise
 
 
 def with_rank(
@@ -25,6 +26,25 @@ def with_rank(
     return running(df, order, {name: count_state()}, keys, inclusive=False)
 
 
+def number_by(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
+    """Gapless positions along any ordering, also a compound one without a whole
+    number in it. Rows are range-partitioned on all of ``order``, so a value that
+    many rows share is still split, and written once; the written partitions are
+    counted and every row is numbered from its partition's start."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialise(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    # the id holds the partition above bit 33 and the row's place in it below
+    stored = stored.withColumn("_part", F.shiftright("_id", 33))
+    sizes = stored.groupBy("_part").agg(F.count("*").alias("_n"))
+    starts = running(sizes, "_part", {"_start": State(F.col("_n"))}, inclusive=False)
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        stored.join(starts.select("_part", "_start"), "_part")
+        .withColumn(name, F.col("_start") + place)
+        .drop("_id", "_part", "_start")
+    )
+
+
 def fixed_block(rank: str, size: int) -> Column:
     """Index of the count window of ``size`` rows that holds this position."""
     return F.expr(f"`{rank}` div {int(size)}")

@@ -33,10 +33,9 @@ def _pane(ts: str, size: int, slide: int) -> Column:
 def _window_starts(pane: Column, size: int, slide: int) -> Column:
     """Start seconds of all windows that contain the pane."""
     newest = (F.floor(pane / slide) * slide).cast("bigint")
-    starts = F.sequence(newest, newest - size + slide, F.lit(-slide).cast("bigint"))
-    return F.filter(starts, lambda s: s + size > pane) if size >= slide else F.filter(
-        F.array(newest), lambda s: s + size > pane
-    )
+    reach = (math.ceil(size / slide) - 1) * slide
+    starts = F.sequence(newest, newest - reach, F.lit(-slide).cast("bigint"))
+    return F.filter(starts, lambda s: s + size > pane)
 
 
 def window_members(df: DataFrame, ts: str, size: int, slide: int) -> DataFrame:

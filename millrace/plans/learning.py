@@ -18,7 +18,7 @@ from millrace.learners.network import (
 )
 from millrace.learners.tree import TreeParams, prequential_hoeffding
 from millrace.operators import connect, metrics
-from millrace.operators.order import fixed_block, with_rank
+from millrace.operators.order import fixed_block, number_by, with_rank
 from millrace.operators.scan import count_state, running
 from millrace.plans.evaluation import (
     ARGMAX_SQL,
@@ -196,11 +196,8 @@ def lines(spark, sf):
         ).alias("y"),
     )
     # a line has no counter of its own: number it by its whole key
-    keyed = base.withColumn(
-        "_order",
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"),
-    )
-    return ensemble.number_rows(keyed, "l_orderkey", "_order").select("l_orderkey", "rank", "x", "y")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    return number_by(base, order).select("l_orderkey", "rank", "x", "y")
 
 
 @query("m4_linear_scan")

@@ -37,6 +37,47 @@ def windowed(
     return timed.withWatermark("_ts", delay).groupBy(window.alias("window"), *keys).agg(*aggs)
 
 
+def flatten_stream(
+    stream: DataFrame,
+    ts: str,
+    seq: str,
+    features: str,
+    targets: str,
+    size: str,
+    slide: str,
+    rows: int,
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """Sliding windows as flat vectors, and ``n`` for the short ones (``features``
+    is NULL there). The state holds the rows of every open window."""
+    member = F.struct(
+        F.col("_ts"), F.col(seq), F.col(features).alias("f"), F.col(targets).alias("t")
+    )
+    sorted_rows = F.sort_array(F.collect_list(member))
+    built = windowed(
+        stream, ts, size, [F.slice(sorted_rows, 1, rows).alias("_m"), F.count("*").alias("n")],
+        slide, delay,
+    )
+    full = F.col("n") >= rows
+    return built.select(
+        "window",
+        "n",
+        F.when(full, F.flatten(F.transform("_m", lambda m: m["f"]))).alias("features"),
+        F.when(full, F.try_element_at("_m", F.lit(rows))["t"]).alias("targets"),
+    )
+
+
+def confusion_stream(stream: DataFrame, actual: Column, pred: Column) -> DataFrame:
+    """Counts per (actual, predicted) pair over the whole stream, for the complete
+    or update output mode. ``metrics.confusion_matrix`` fills the empty cells."""
+    pairs = stream.select(actual.alias("actual"), pred.alias("pred"))
+    return (
+        pairs.filter("actual is not null and pred is not null")
+        .groupBy("actual", "pred")
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def gather_stream(
     tagged: DataFrame, ts: str, models: int, size: str = "1 second", delay: str = "30000 seconds",
     by: Sequence[str] = (),
