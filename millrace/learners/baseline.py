@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.scan import State, running
+from millrace.operators.scan import State, count_state, running
 
 
 def majority_class(
@@ -17,17 +17,18 @@ def majority_class(
     classes: Sequence[int],
     keys: Sequence[str] = (),
     name: str = "pred",
+    seen: str | None = None,
 ) -> DataFrame:
     """Most frequent label among the rows before this one (per key), the lowest
-    label on a tie, the first class when there is none."""
+    label on a tie, the first class when there is none. ``seen`` names a column
+    for the 1-based position of the row, which the same scan yields."""
     counts = [f"_c{c}" for c in classes]
-    out = running(
-        df,
-        order,
-        {n: State((F.col(label) == c).cast("bigint")) for n, c in zip(counts, classes)},
-        keys,
-        inclusive=False,
-    )
+    states = {n: State((F.col(label) == c).cast("bigint")) for n, c in zip(counts, classes)}
+    if seen:
+        states[seen] = count_state()
+    out = running(df, order, states, keys, inclusive=False)
+    if seen:
+        out = out.withColumn(seen, F.col(seen) + 1)
     best = F.greatest(*counts) if len(counts) > 1 else F.col(counts[0])
     pick = F.coalesce(*[F.when(F.col(n) == best, F.lit(int(c))) for n, c in zip(counts, classes)])
     return out.withColumn(name, pick).drop(*counts)

@@ -74,6 +74,7 @@ def snapshots(
         [*keys, label, "i"],
         inclusive=after,
         widths=(1 << 12,),
+        hot_rows=None,
     )
     mean = F.col("ps") / F.col("pn")
     seen = before.filter("pn > 0").select(

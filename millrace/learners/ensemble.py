@@ -16,7 +16,7 @@ from millrace.learners.tree import TreeParams, prequential_hoeffding
 from millrace.operators.connect import gather, tag_predictions
 from millrace.operators.metrics import progress
 from millrace.operators.order import fixed_block
-from millrace.operators.scan import State, running
+from millrace.operators.scan import State, count_state, running
 from millrace.runtime import materialise
 
 
@@ -32,16 +32,17 @@ def with_replica(df: DataFrame, rank: str, replicas: int, name: str = "replica")
 
 
 def keyed_class_report(
-    df: DataFrame, order: str, label: str, names: Sequence[tuple[str, int]], key: str, seen: str,
+    df: DataFrame, order: str, label: str, names: Sequence[tuple[str, int]], key: str,
     warmup: int, every: int,
 ) -> DataFrame:
     """Text description of each key's model, the class counts before the row, at
     every ``every``-th row of the key from the ``warmup``-th on."""
     counts = {f"_c{c}": State((F.col(label) == c).cast("bigint")) for _, c in names}
-    out = running(df, order, counts, [key], inclusive=False)
-    out = out.filter((F.col(seen) >= warmup) & (F.col(seen) % every == 0))
+    out = running(df, order, {**counts, "_before": count_state()}, [key], inclusive=False)
+    seen = F.col("_before") + 1
+    out = out.filter((seen >= warmup) & (seen % every == 0))
     parts = [F.format_string(f"{n}=%d", F.col(f"_c{c}")) for n, c in names]
-    text = F.concat_ws(" ", F.format_string("seen %d", F.col(seen) - 1), *parts)
+    text = F.concat_ws(" ", F.format_string("seen %d", F.col("_before")), *parts)
     return out.select(order, key_text(F.col(key), text).alias("info"))
 
 

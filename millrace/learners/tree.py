@@ -191,7 +191,7 @@ def _bin(x: Column, i: Column, edges: np.ndarray, p: TreeParams) -> Column:
     cut points are one literal array per level, so this stays generated code."""
     level = F.lit(0)
     for k in range(p.bins - 1):
-        cuts = F.lit([float(v) for v in edges[:, k]])
+        cuts = F.expr("array(" + ",".join(f"{float(v)!r}D" for v in edges[:, k]) + ")")
         level = level + (x > F.get(cuts, i)).cast("int")
     if p.nominal:
         codes = [0] * p.width

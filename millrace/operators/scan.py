@@ -5,22 +5,31 @@ and ``partitionBy(key)`` does the same to a hot key. Here the order is cut into
 blocks of ``seq div width``. Each block is first reduced to its totals with a
 partial aggregate; the totals are scanned the same way one level up; and the
 state that enters a block comes back as one extra *carry row* which sorts before
-the block's own rows. The window over ``(keys, block)`` then needs one shuffle,
-no join and no broadcast, and holds at most ``width`` rows, because ``order``
-is unique within a key.
+the block's own rows. The window over ``(keys, block)`` then needs one shuffle
+and holds at most ``width`` rows, because ``order`` is unique within a key.
+
+With keys, only a key with more than ``HOT_ROWS`` rows is cut into blocks; the
+window of any other key is small as it is, and cutting it up would make a table
+of block totals as long as the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.runtime import materialise
+
 # Rows per block, then blocks per super-block. 10^11 rows leave about 1500
 # entries for the last, unpartitioned step.
 WIDTHS = (1 << 14, 1 << 12)
+# A key with more rows than this is cut into blocks.
+HOT_ROWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -51,29 +60,43 @@ def _block_total(name: str, how: str, order: str) -> Column:
     return _OVER[how](name).alias(name)
 
 
-def _scan(df, order, hows, keys, inclusive, widths):
+def _windowed(df, order, hows, keys, end):
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    return df.withColumns({c: _OVER[how](c).over(w) for c, how in hows.items()})
+
+
+def _scan(df, order, hows, keys, inclusive, widths, hot=None):
     end = Window.currentRow if inclusive else -1
     if not widths:
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumns({c: _OVER[how](c).over(w) for c, how in hows.items()})
+        return _windowed(df, [order], hows, keys, end)
 
     block = f"_block{len(widths)}"
     carry = f"_carry{len(widths)}"
-    blocked = df.withColumn(block, F.expr(f"`{order}` div {widths[0]}"))
-    totals = blocked.groupBy(*keys, block).agg(
-        *[_block_total(c, how, order) for c, how in hows.items()]
-    )
+    number = F.expr(f"`{order}` div {widths[0]}")
+    if hot:
+        number = F.when(F.col(hot), number).otherwise(F.lit(0).cast("bigint"))
+    blocked = df.withColumn(block, number)
+    cut = blocked.filter(hot) if hot else blocked
+    totals = cut.groupBy(*keys, block).agg(*[_block_total(c, how, order) for c, how in hows.items()])
     entering = _scan(totals, block, hows, keys, False, widths[1:]).withColumn(carry, F.lit(0))
     rows = blocked.withColumn(carry, F.lit(1)).unionByName(entering, allowMissingColumns=True)
-    w = (
-        Window.partitionBy(*keys, block)
-        .orderBy(carry, order)
-        .rowsBetween(Window.unboundedPreceding, end)
-    )
-    return (
-        rows.withColumns({c: _OVER[how](c).over(w) for c, how in hows.items()})
-        .filter(F.col(carry) == 1)
-        .drop(block, carry)
+    out = _windowed(rows, [carry, order], hows, [*keys, block], end)
+    return out.filter(F.col(carry) == 1).drop(block, carry)
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most rows/hot_rows of them. They
+    are written out, so the join below is planned from the table's real size."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return materialise(counts.filter(F.col("_n") > hot_rows).select(*keys), "hot-keys")
+
+
+def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    joined = df.join(renamed, reduce(and_, same), "left")
+    return joined.drop(*[f"_hot_{k}" for k in keys]).withColumn(
+        "_hot", F.coalesce("_hot", F.lit(False))
     )
 
 
@@ -84,13 +107,25 @@ def running(
     keys: Sequence[str] = (),
     inclusive: bool = True,
     widths: Sequence[int] = WIDTHS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add one column per state, holding its value at each row in ``order``
     (``inclusive``) or just before it. ``order`` is a whole-number column,
-    unique within ``keys``."""
+    unique within ``keys``. The input is evaluated twice: store it first when it
+    is expensive. ``hot_rows=None`` cuts every key into blocks without counting,
+    for inputs that have about as many rows under each key."""
+    keys = list(keys)
+    hows = {n: s.how for n, s in states.items()}
     staged = df.withColumns({name: s.value for name, s in states.items()})
-    out = _scan(
-        staged, order, {n: s.how for n, s in states.items()}, list(keys), inclusive, tuple(widths)
-    )
+    if not keys or hot_rows is None:
+        out = _scan(staged, order, hows, keys, inclusive, tuple(widths))
+    else:
+        hot = _hot_keys(df, keys, hot_rows)
+        if hot.isEmpty():
+            end = Window.currentRow if inclusive else -1
+            out = _windowed(staged, [order], hows, keys, end)
+        else:
+            marked = _mark_hot(staged, hot, keys)
+            out = _scan(marked, order, hows, keys, inclusive, tuple(widths), "_hot").drop("_hot")
     zero = {n: F.coalesce(F.col(n), F.lit(0)) for n, s in states.items() if s.how == "sum"}
     return out.withColumns(zero) if zero else out

@@ -19,7 +19,6 @@ from millrace.learners.network import (
 from millrace.learners.tree import TreeParams, prequential_hoeffding
 from millrace.operators import connect, metrics
 from millrace.operators.order import fixed_block, number_by, with_rank
-from millrace.operators.scan import count_state, running
 from millrace.plans.evaluation import (
     ARGMAX_SQL,
     CODED_SQL,
@@ -145,8 +144,9 @@ def m3(spark, sf):
     KEYED_MAJORITY_SQL + "SELECT event_id, user_id, seen, pred FROM p WHERE seen >= 20",
 )
 def m10(spark, sf):
-    ranked = running(coded_events(spark, sf), "event_id", {"seen": count_state()}, ["user_id"])
-    scored = majority_class(ranked, "event_id", "code", range(5), ["user_id"])
+    scored = majority_class(
+        coded_events(spark, sf), "event_id", "code", range(5), ["user_id"], seen="seen"
+    )
     return scored.filter("seen >= 20").select("event_id", "user_id", "seen", "pred")
 
 
@@ -158,9 +158,8 @@ def m10(spark, sf):
     + "' AS info FROM p WHERE seen >= 20 AND seen % 10 = 0",
 )
 def k7(spark, sf):
-    ranked = running(coded_events(spark, sf), "event_id", {"seen": count_state()}, ["user_id"])
     return ensemble.keyed_class_report(
-        ranked, "event_id", "code", EVENT_CODES, "user_id", "seen", warmup=20, every=10
+        coded_events(spark, sf), "event_id", "code", EVENT_CODES, "user_id", warmup=20, every=10
     )
 
 

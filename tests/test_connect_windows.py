@@ -40,6 +40,16 @@ def test_latest_snapshot(spark, widths):
     assert sorted(r["seq"] for r in gated.collect()) == list(range(3, 20))
 
 
+def test_flags_vote_or_correct(spark):
+    df = spark.createDataFrame([([3, 1], 1), ([2, 2], 0), ([0, 5], 1)], "m array<long>, label int")
+    vote = connect.append_flags(df, [F.col("m")]).collect()
+    assert [r["flags"] for r in vote] == [[True], [True], [False]]
+    right = connect.append_flags(df, [F.col("m")], "label", "correct").collect()
+    assert [r["flags"] for r in right] == [[False], [True], [True]]
+    with pytest.raises(ValueError):
+        connect.append_flags(df, [F.col("m")], kind="other")
+
+
 def test_gather_reports_missing_models(spark):
     df = spark.createDataFrame(
         [(1, 0, 5.0, 1.0), (1, 1, 6.0, 1.0), (2, 1, 7.0, 0.0)],

@@ -351,10 +351,10 @@ def test_replicas_are_independent(spark):
 
 
 def test_keyed_report_text(spark):
-    rows = [(i, 7, i % 2, i + 1) for i in range(6)]
-    df = spark.createDataFrame(rows, "seq long, k long, label int, seen long")
+    rows = [(i, 7, i % 2) for i in range(6)]
+    df = spark.createDataFrame(rows, "seq long, k long, label int")
     out = ensemble.keyed_class_report(
-        df, "seq", "label", (("win", 0), ("lose", 1)), "k", "seen", warmup=3, every=2
+        df, "seq", "label", (("win", 0), ("lose", 1)), "k", warmup=3, every=2
     )
     got = [r["info"] for r in out.orderBy("seq").collect()]
     assert got == ["KEY_7 - seen 3 win=2 lose=1", "KEY_7 - seen 5 win=3 lose=2"]

@@ -61,19 +61,26 @@ def expected(pdf, keyed, inclusive):
     return out
 
 
-@pytest.mark.parametrize("widths", [(7, 3), (64,), (10_000, 5), ()])
+@pytest.mark.parametrize("widths", [(7, 3), (64,), (10_000, 5)])
 @pytest.mark.parametrize("keyed", [False, True])
 @pytest.mark.parametrize("inclusive", [False, True])
-def test_running_equals_a_loop(spark, widths, keyed, inclusive):
+@pytest.mark.parametrize("hot_rows", [0, 120, 1000, None])
+def test_running_equals_a_loop(spark, widths, keyed, inclusive, hot_rows):
+    if not keyed and hot_rows:
+        pytest.skip("keys only")
+
     pdf = sample()
-    out = running(frame(spark, pdf), "seq", states(), ["k"] if keyed else [], inclusive, widths)
+    # 'hot' holds about half of the rows; at 120 it alone is cut into blocks
+    out = running(
+        frame(spark, pdf), "seq", states(), ["k"] if keyed else [], inclusive, widths, hot_rows
+    )
     got = {r["seq"]: (r["n"], r["total"], r["top"], r["low"], r["prev"]) for r in out.collect()}
     want = expected(pdf, keyed, inclusive)
     assert got == want
 
 
 def test_running_keeps_every_row_and_column(spark):
-    out = running(frame(spark, sample()), "seq", {"n": count_state()}, ["k"], widths=(5,))
+    out = running(frame(spark, sample()), "seq", {"n": count_state()}, ["k"], widths=(5,), hot_rows=50)
     assert out.columns == ["seq", "k", "v", "n"] and out.count() == 500
 
 
