@@ -205,11 +205,10 @@ def _bin(x: Column, i: Column, edges: np.ndarray, p: TreeParams) -> Column:
 
 
 def _attach(rows: DataFrame, trees: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One global tree is a single row of at most ``max_nodes`` entries, hence
-    the broadcast; keyed trees are joined as the planner sees fit."""
-    if not keys:
-        return rows.crossJoin(F.broadcast(trees))
-    return rows.join(trees, list(keys))
+    """Each row with the tree of its key and round. One global tree is a single
+    row of at most ``max_nodes`` entries, hence the broadcast; keyed trees are
+    joined as the planner sees fit."""
+    return rows.join(trees if keys else F.broadcast(trees), [*keys, "round"])
 
 
 def hoeffding_rounds(
@@ -226,8 +225,14 @@ def hoeffding_rounds(
     Both tables hold at most ``max_nodes`` leaves per key and round."""
     spark = df.sparkSession
     keys, p = list(keys), params
-    rows = df.select(*keys, rank, F.col(features).alias("_x"), F.col(label).alias("label"))
-    last = rows.agg(F.max(doubling_block(rank, first))).first()[0] or 0
+    rows = df.select(
+        *keys,
+        rank,
+        F.col(features).alias("_x"),
+        F.col(label).alias("label"),
+        doubling_block(rank, first).alias("round"),
+    )
+    last = rows.agg(F.max("round")).first()[0] or 0
     edges = quantile_edges(rows.filter(F.col(rank) < first), "_x", p)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_ddl = "".join(f"{k} {fields[k]}, " for k in keys)
@@ -267,6 +272,7 @@ def hoeffding_rounds(
             *keys, "leaf", "i", _bin(F.col("_v"), F.col("i"), edges, p).alias("bin"), "label"
         ).agg(F.count("*").alias("n"))
         if stats is not None:
+            # counts of leaves that have not been split go on
             kept = (
                 _attach(stats, live, keys)
                 .filter(F.get("feature", F.col("leaf")) < 0)
@@ -278,22 +284,19 @@ def hoeffding_rounds(
                 .groupBy(*keys, "leaf", "i", "bin", "label")
                 .agg(F.sum("n").alias("n"))
             )
-        stats = materialise(counts, "tree-counts")
-        if live is None:
-            schema = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}")
-            trees = schema if keys else start
-        else:
-            trees = live
-        live = materialise(
-            stats.groupBy(*keys).cogroup(trees.groupBy(*keys)).applyInPandas(
-                update, f"{key_ddl}{_TREE_DDL}"
-            ),
-            "trees",
+        # both tables carry the number of the round they serve
+        stats = materialise(counts.withColumn("round", F.lit(r + 1)), "tree-counts")
+        trees = live
+        if trees is None:
+            trees = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}") if keys else start
+        grown = (
+            stats.groupBy(*keys)
+            .cogroup(trees.groupBy(*keys))
+            .applyInPandas(update, f"{key_ddl}{_TREE_DDL}")
         )
-        tagged = live.withColumn("round", F.lit(r + 1))
-        versions = tagged if versions is None else versions.unionByName(tagged)
-        left = stats.withColumn("round", F.lit(r + 1))
-        history = left if history is None else history.unionByName(left)
+        live = materialise(grown.withColumn("round", F.lit(r + 1)), "trees")
+        versions = live if versions is None else versions.unionByName(live)
+        history = stats if history is None else history.unionByName(stats)
     if versions is None:
         versions = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}, round int")
         history = spark.createDataFrame(

@@ -42,9 +42,9 @@ WIDTH, CLASSES = 64, 10
 # --- naive Bayes, majority, last label ----------------------------------------------
 
 
-def nb_models_sql(every: int, rel: str) -> str:
+def nb_models_sql(block: str, rel: str) -> str:
     return (
-        f"WITH x AS (SELECT vec_id, vec_id // {every} AS b, label, i, CAST(embedding[i] AS DOUBLE) AS v "
+        f"WITH x AS (SELECT vec_id, {block} AS b, label, i, CAST(embedding[i] AS DOUBLE) AS v "
         "FROM embeddings, range(1, 65) r(i)), "
         "c AS (SELECT b, label, i, count(*) AS n, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY b, label, i), "
         "g AS (SELECT d.b, l.label, f.i FROM (SELECT DISTINCT b FROM c) d, range(0, 10) l(label), range(1, 65) f(i)), "
@@ -54,9 +54,9 @@ def nb_models_sql(every: int, rel: str) -> str:
     )
 
 
-def nb_scored_sql(every: int) -> str:
+def nb_scored_sql(block: str) -> str:
     return (
-        nb_models_sql(every, "<")
+        nb_models_sql(block, "<")
         + ", t AS (SELECT x.vec_id, m.label, ln(max(m.n)) - 0.5 * sum(ln(2 * pi() * var) "
         "+ (x.v - mean) * (x.v - mean) / var) AS score FROM x JOIN m ON m.b = x.b AND m.i = x.i "
         "GROUP BY x.vec_id, m.label), "
@@ -79,14 +79,14 @@ def bayes_scored(spark, sf, every=50):
     return scored.select("vec_id", "label", "pred")
 
 
-@query("m1_naive_bayes", nb_scored_sql(50) + "SELECT vec_id, label, pred FROM p2")
+@query("m1_naive_bayes", nb_scored_sql("vec_id // 50") + "SELECT vec_id, label, pred FROM p2")
 def m1(spark, sf):
     return bayes_scored(spark, sf)
 
 
 @query(
     "m1_accuracy",
-    nb_scored_sql(50) + "SELECT vec_id, pred, vec_id + 1 AS seen, CAST(sum(CASE WHEN pred = label THEN 1 ELSE 0 END) "
+    nb_scored_sql("vec_id // 50") + "SELECT vec_id, pred, vec_id + 1 AS seen, CAST(sum(CASE WHEN pred = label THEN 1 ELSE 0 END) "
     "OVER (ORDER BY vec_id) AS BIGINT) AS hits, round(hits / seen, 9) AS accuracy FROM p2",
 )
 def m1_accuracy(spark, sf):
@@ -98,7 +98,7 @@ def m1_accuracy(spark, sf):
 
 @query(
     "k5_nb_snapshots",
-    nb_models_sql(100, "<=") + " SELECT b + 1 AS version, (b + 1) * 100 AS valid_from, "
+    nb_models_sql("vec_id // 100", "<=") + " SELECT b + 1 AS version, (b + 1) * 100 AS valid_from, "
     "CAST(label AS INTEGER) AS label, CAST(i - 1 AS INTEGER) AS i, CAST(n AS BIGINT) AS n, "
     "round(mean, 9) AS mean, round(var, 9) AS var FROM m "
     "WHERE (b + 1) * 100 <= (SELECT count(*) FROM embeddings)",
@@ -557,7 +557,13 @@ def c1_stream(spark, sf):
     return spark.read.parquet(out).select("event_id", "pred")
 
 
-@query("m1_naive_bayes_stream")
+SECOND_HALF_SQL = "(vec_id >= (SELECT max(vec_id) // 2 FROM embeddings))::INTEGER"
+
+
+@query(
+    "m1_naive_bayes_stream",
+    nb_scored_sql(SECOND_HALF_SQL) + "SELECT vec_id, label, pred FROM p2",
+)
 def m1_stream(spark, sf):
     out, state = scratch_path(spark, "bayes"), scratch_path(spark, "bayes-state")
     handle = st.bayes_stream(spark, out, state, "embedding", "label", WIDTH, range(CLASSES))
