@@ -28,7 +28,8 @@ def block_cells(
     """``n``, sum and sum of squares per block, label and feature. Exploding the
     vector keeps the aggregate inside generated code (one wide aggregate per
     element does not), and the map-side combine shrinks it before the shuffle."""
-    cells = df.select(*keys, block, label, F.posexplode(features).alias("i", "_x"))
+    labelled = df.filter(F.col(label).isNotNull())
+    cells = labelled.select(*keys, block, label, F.posexplode(features).alias("i", "_x"))
     x = F.col("_x").cast("double")
     return cells.groupBy(*keys, block, label, "i").agg(
         F.count("*").alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("ss")
@@ -174,6 +175,19 @@ def score_by_join(
     return joined.withColumn(name, scored).drop("params")
 
 
+def _rows_of(vectors: pa.Array) -> np.ndarray:
+    """List column as a matrix; a missing vector or element is NaN, which leaves
+    every class without a score."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    present = vectors.is_valid().to_numpy(zero_copy_only=False)
+    if present.all():
+        return flat.reshape(len(vectors), -1)
+    out = np.full((len(vectors), len(flat) // max(present.sum(), 1)), np.nan)
+    if present.any():
+        out[present] = flat.reshape(present.sum(), -1)
+    return out
+
+
 def score_with_small_models(
     df: DataFrame,
     models: DataFrame,
@@ -203,14 +217,16 @@ def score_with_small_models(
             out = np.zeros(len(blocks), dtype=np.int32)
             known = np.zeros(len(blocks), dtype=bool)
             if len(blocks):
-                x = batch.column(vec).flatten().to_numpy(zero_copy_only=False)
-                x = x.reshape(len(blocks), -1).astype(np.float64)
+                x = _rows_of(batch.column(vec))
                 for b in np.unique(blocks):
                     if b not in by_block:
                         continue
                     labels, base, mean, inv = by_block[b]
                     rows = blocks == b
                     known |= rows
+                    if x.shape[1] != mean.shape[1]:  # not one vector in this batch
+                        out[rows] = labels[0]
+                        continue
                     d = x[rows][:, None, :] - mean[None, :, :]
                     # labels ascend, so the first maximum is the lowest label
                     best = np.argmax(base - np.einsum("ncd,cd->nc", d * d, inv), axis=1)
