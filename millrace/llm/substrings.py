@@ -168,9 +168,28 @@ def packed(batch: int, keys: np.ndarray, buckets: int):
         yield int(bucket[a]), batch, keys[a:b][once].tobytes(), keys[a:b][~once].tobytes()
 
 
-def as_records(blob: bytes, words: int) -> np.ndarray:
-    """Hashes as one comparable value each."""
-    return np.frombuffer(blob, "u8" if words == 1 else [("a", "u8"), ("b", "u8")])
+def keys_of(blobs, words: int) -> np.ndarray:
+    """Hashes of many blobs, as rows of ``words`` 64-bit parts."""
+    return np.frombuffer(b"".join(blobs), "u8").reshape(-1, words)
+
+
+class KeySet:
+    """A set of hashes that is sorted once and then looked up."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys[np.lexsort(keys.T[::-1])]
+        lead = self.keys[:, 0]
+        runs = np.diff(np.r_[np.flatnonzero(np.r_[True, lead[1:] != lead[:-1]]), len(lead)]) if len(lead) else [0]
+        self.longest = int(max(runs))  # rows of one first part: 1, but for a collision
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        hit = np.zeros(len(keys), bool)
+        if len(self.keys):
+            at = np.searchsorted(self.keys[:, 0], keys[:, 0])
+            for step in range(self.longest):
+                there = np.minimum(at + step, len(self.keys) - 1)
+                hit |= (self.keys[there] == keys).all(axis=1)
+        return hit
 
 
 def repeats(sent: DataFrame, words: int) -> DataFrame:
@@ -178,15 +197,25 @@ def repeats(sent: DataFrame, words: int) -> DataFrame:
     least twice anywhere: batch, blob."""
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        once = [as_records(x, words) for x in frame["once"]]
-        more = [as_records(x, words) for x in frame["more"]]
-        values, counts = np.unique(np.concatenate(once + more), return_counts=True)
-        twice = np.union1d(values[counts > 1], np.concatenate(more))
-        out = []
-        for batch, o, m in zip(frame["batch"], once, more):
-            found = np.concatenate([o[np.isin(o, twice)] if len(twice) else o[:0], m])
-            if len(found):
-                out.append((batch, found.tobytes()))
+        blobs = [*frame["once"], *frame["more"]]
+        sizes = np.array([len(x) // (8 * words) for x in blobs])
+        keys = keys_of(blobs, words)
+        if not len(keys):
+            return pd.DataFrame({"batch": [], "blob": []})
+        weight = np.repeat(np.r_[np.ones(len(frame), "i8"), np.full(len(frame), 2)], sizes)
+        order = np.lexsort(keys.T[::-1])
+        there = keys[order]
+        first = np.r_[True, (there[1:] != there[:-1]).any(axis=1)]
+        starts = np.flatnonzero(first)
+        times = np.add.reduceat(weight[order], starts)
+        twice = np.zeros(len(keys), bool)
+        twice[order] = (times > 1)[np.cumsum(first) - 1]
+        ends = np.r_[0, np.cumsum(sizes)]
+        n, out = len(frame), []
+        for k, batch in enumerate(frame["batch"]):
+            parts = [keys[a:b][twice[a:b]] for a, b in ((ends[k], ends[k + 1]), (ends[n + k], ends[n + k + 1]))]
+            if len(parts[0]) + len(parts[1]):
+                out.append((batch, np.concatenate(parts).tobytes()))
         return pd.DataFrame(out, columns=["batch", "blob"])
 
     return sent.groupBy("bucket").applyInPandas(answer, "batch long, blob binary")
@@ -265,13 +294,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
     )
 
     def extend(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts, twice = Texts(length), np.unique(np.concatenate([EMPTY, *(as_records(x, 1) for x in answers["blob"])]))
+        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 1))
         starts, n_words, full = [], [], []
         for text in frame["text"]:
             words, ids = texts.hashes(text)
             n_words.append(len(words))
             at, hashes = texts.anchors(ids)
-            at = at[np.isin(hashes, twice)] if len(twice) else at[:0]
+            at = at[twice.has(hashes[:, None])]
             starts.append(texts.starts(len(words), at) if len(at) else None)
             if len(at):
                 full.append(texts.full(ids, starts[-1]))
@@ -300,21 +329,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
     verdicts = repeats(sent, 2).withColumnRenamed("batch", "_batch")
 
     def decide(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts = Texts(length)
-        twice = np.unique(np.concatenate([as_records(b"", 2), *(as_records(x, 2) for x in answers["blob"])]))
+        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 2))
         rows = pd.DataFrame(list(map(dict, frame["_row"])), columns=names)
         rows["text"] = frame["_raw"].to_numpy()
         gone = []
         for text, blob in zip(frame["_raw"], frame["_starts"]):
             starts = np.frombuffer(blob, "<i8")
             words, ids = texts.hashes(text)
-            hashes = np.ascontiguousarray(texts.full(ids, starts)).view([("a", "u8"), ("b", "u8")])[:, 0]
-            hit = starts[np.isin(hashes, twice)] if len(twice) else starts[:0]
+            hit = starts[twice.has(texts.full(ids, starts))]
             edge = np.zeros(len(words) + 1, "i8")
             np.add.at(edge, hit, 1)
             np.add.at(edge, hit + length, -1)
             gone.append(np.cumsum(edge[:-1]) > 0)
-        rows = rows.assign(**{c: rows[c] for c in own if c in rows})
         return results(rows.reset_index(drop=True), rows["n_words"].to_numpy(), gone)
 
     ended = candidates.groupBy("_batch").cogroup(verdicts.groupBy("_batch")).applyInPandas(decide, result)
