@@ -163,7 +163,8 @@ class Tokens:
                 span = next(spans, None)
             n = len(self.doc)
             self.label.append(span[1] + 1 if span and span[0] < m.end() else 0)
-            if n and self.doc[-1] == doc and self.at[-1] == at - 1:
+            beside = n > 0 and self.doc[-1] == doc and self.at[-1] == at - 1
+            if beside:
                 self.edges.append((n - 1, n, 0))
             self.doc.append(doc)
             self.at.append(at)
@@ -172,7 +173,7 @@ class Tokens:
             self.checks.append(checked(word))
             key = likeness(word)
             if key:
-                if key in seen and seen[key] != n - 1:
+                if key in seen and not (beside and seen[key] == n - 1):
                     self.edges.append((seen[key], n, 1))
                 seen[key] = n
 

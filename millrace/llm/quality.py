@@ -28,11 +28,11 @@ REACH = 6.0
 #: Ratios judged, and the least spread that each is taken to have. A document
 #: is never rejected for a ratio below FLOORS + REACH * spread.
 RATIOS = {
-    "symbols": F.col("n_symbols") / F.col("n_words"),
-    "copied_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    "repeated": F.col("n_repeat_words") / F.col("n_words"),
-    "word_length": F.col("word_chars") / F.col("n_words"),
-    "capitals": F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1)),
+    "symbols": "n_symbols / n_words",
+    "copied_lines": "n_dup_lines / greatest(n_lines, 1)",
+    "repeated": "n_repeat_words / n_words",
+    "word_length": "word_chars / n_words",
+    "capitals": "n_capitals / greatest(word_chars, 1)",
 }
 SPREADS = {"symbols": 0.02, "copied_lines": 0.1, "repeated": 0.05, "word_length": 0.5, "capitals": 0.05}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -112,7 +112,7 @@ def sketches(counted: DataFrame) -> DataFrame:
     """lang, source, ratio, bin, n; with source, then lang too, null and level
     1 and 2 where sketches are merged. Counts leave every task as sums."""
     judged = counted.where(~base_failed())
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), bin_of(v).alias("bin")) for k, v in RATIOS.items()]))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), bin_of(F.expr(v)).alias("bin")) for k, v in RATIOS.items()]))
     rows = judged.select("lang", "source", each.alias("_r")).select("lang", "source", "_r.ratio", "_r.bin")
     own = rows.groupBy("lang", "source", "ratio", "bin").agg(F.count("*").alias("n"))
     own = materialise(own.withColumn("level", F.lit(0)), "sketches")
@@ -162,7 +162,7 @@ def judged(counted: DataFrame, reach: float = REACH, least: int = LEAST_DOCS) ->
     )
     groups = materialise(groups, "group_cutoffs")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    beyond = [F.coalesce(value > F.col(f"_max_{k}"), F.lit(False)) for k, value in RATIOS.items()]
+    beyond = [F.coalesce(F.expr(value) > F.col(f"_max_{k}"), F.lit(False)) for k, value in RATIOS.items()]
     failed = base_failed()
     out = counted.join(groups, same, "left").withColumn("base_failed", failed)
     verdict = ~failed

@@ -17,7 +17,8 @@ more only where a document has a candidate.
 
 Null text has no words, and stays null. A document of fewer than ``length``
 words loses nothing. Repeated rows are documents of their own, so each makes
-the other a repeat. All columns are kept; an empty table gives an empty one."""
+the other a repeat. All columns are kept, but for those of the names of the
+results, which these replace. An empty table gives an empty one."""
 
 from __future__ import annotations
 
@@ -194,7 +195,8 @@ class KeySet:
 
 def repeats(sent: DataFrame, words: int) -> DataFrame:
     """For (bucket, batch, once, more) the hashes of each batch that occur at
-    least twice anywhere: batch, blob."""
+    least twice anywhere: batch, blob (of first parts: a batch looks up its own
+    windows only, in which 64 bits tell them apart)."""
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         blobs = [*frame["once"], *frame["more"]]
@@ -215,7 +217,7 @@ def repeats(sent: DataFrame, words: int) -> DataFrame:
         for k, batch in enumerate(frame["batch"]):
             parts = [keys[a:b][twice[a:b]] for a, b in ((ends[k], ends[k + 1]), (ends[n + k], ends[n + k + 1]))]
             if len(parts[0]) + len(parts[1]):
-                out.append((batch, np.concatenate(parts).tobytes()))
+                out.append((batch, np.concatenate(parts)[:, 0].tobytes()))
         return pd.DataFrame(out, columns=["batch", "blob"])
 
     return sent.groupBy("bucket").applyInPandas(answer, "batch long, blob binary")
@@ -239,10 +241,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
     """``docs`` (with a column text) plus n_words and n_removed; with
     ``digests`` kept_sha256 of the kept words joined by one space; with
     ``new_text`` the text without the removed words, else no text."""
+    added = ("n_words", "n_removed", "kept_sha256")
+    docs = docs.drop(*added)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     batches = max(1, -(-size // BATCH_CHARS))
     buckets = max(1, size // (20 * BUCKET_HASHES))
-    first = docs.columns[0]
+    first = next((c for c in docs.columns if c != "text"), "text")
     keyed = docs.withColumn("_batch", F.pmod(F.xxhash64(first, F.length("text")), F.lit(batches)))
 
     def anchors(frames):
@@ -305,7 +309,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
             if len(at):
                 full.append(texts.full(ids, starts[-1]))
         rows = results(frame, n_words, [None] * len(frame))
-        out = pd.DataFrame({"_row": rows.to_dict("records"), "_batch": key[0]})
+        out = pd.DataFrame({"_row": rows.astype(object).where(rows.notna(), None).to_dict("records"), "_batch": key[0]})
         out["_starts"] = [None if s is None else s.astype("<i8").tobytes() for s in starts]
         out["_raw"] = [None if s is None else t for s, t in zip(starts, frame["text"])]
         out["bucket"], out["once"], out["more"] = None, None, None
@@ -329,14 +333,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
     verdicts = repeats(sent, 2).withColumnRenamed("batch", "_batch")
 
     def decide(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 2))
+        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 1))
         rows = pd.DataFrame(list(map(dict, frame["_row"])), columns=names)
         rows["text"] = frame["_raw"].to_numpy()
         gone = []
         for text, blob in zip(frame["_raw"], frame["_starts"]):
             starts = np.frombuffer(blob, "<i8")
             words, ids = texts.hashes(text)
-            hit = starts[twice.has(texts.full(ids, starts))]
+            hit = starts[twice.has(texts.full(ids, starts)[:, :1])]
             edge = np.zeros(len(words) + 1, "i8")
             np.add.at(edge, hit, 1)
             np.add.at(edge, hit + length, -1)
