@@ -14,11 +14,27 @@ from millrace.runtime import materialise
 ORACLE_SQL = None
 
 
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def own_names(stage):
+    """Columns that no stage knows travel under names that none of them uses."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in KNOWN else f"extra_{n}_" for n, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).toDF(*docs.columns)
+
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
+@own_names
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.quality_rules(docs, keep_text=True).where("kept").select(*docs.columns)
 
 
+@own_names
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each SimHash component; of
     repeated rows with that doc_id, all that are equal in text collapse to one.
@@ -29,11 +45,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
+@own_names
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that occur elsewhere."""
     return with_length(substrings.remove_repeats(docs, digests=False), docs)
 
 
+@own_names
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
     return with_length(private.mask_private(docs), docs)
