@@ -44,7 +44,7 @@ def propagate(cells: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS
     """``cells`` (group, group_two, home, shard, n): how many members of a group
     that started at ``home`` are on ``shard``. Moves whole cells or parts of
     them; returns cells after the last round."""
-    group = ["group", "group_two"]
+    group, idle = ["group", "group_two"], 0
     for turn in range(rounds):
         load = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # <= shards rows
         room = [max(0, capacity - load.get(s, 0)) for s in range(shards)]
@@ -66,15 +66,17 @@ def propagate(cells: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS
         share = F.array(*[F.lit(min(1.0, room[s] / wanted[s]) if wanted.get(s) else 0.0) for s in range(shards)])
         part = F.get(share, F.col("to"))
         luck = F.pmod(F.shiftrightunsigned(F.xxhash64("group", F.lit(turn)), 11), F.lit(1_000_000)) / 1e6
-        large = F.lit(max(1, capacity // 100))
-        moving = F.when(~F.col("asks"), 0).when(F.col("n") > large, F.floor(F.col("n") * part)).otherwise(F.when(luck < part, F.col("n")).otherwise(0))
+        large = F.lit(max(16, capacity // 100))
+        some = F.floor(F.col("n") * part + luck)  # rounded up or down by the same hash
+        whole = F.when(luck < part, F.col("n")).otherwise(0)
+        moving = F.when(~F.col("asks"), 0).when(F.col("n") > large, F.least(some, F.col("n"))).otherwise(whole)
         moved = asked.withColumn("m", moving.cast("long"))
         gone = moved.where("m > 0").select(*group, "home", F.col("to").alias("shard"), F.col("m").alias("n"))
         stay = moved.where("n > m").select(*group, "home", "shard", (F.col("n") - F.col("m")).alias("n"))
         cells = materialise(stay.unionByName(gone).groupBy(*group, "home", "shard").agg(F.sum("n").alias("n")), "cells")
-        if not gone.isEmpty():
-            continue
-        break
+        idle = idle + 1 if gone.isEmpty() else 0
+        if idle == 2:
+            break
     return cells
 
 

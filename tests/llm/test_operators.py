@@ -245,16 +245,17 @@ def test_base_spans():
 
 
 def test_field_keeps_labels_consistent(spark):
-    texts = [f"Call +1 (523) 555-{n} at once. Later 555-{n} was busy." for n in range(1000, 1200)] + ["Room 1234 is free."] * 200
+    texts = [f"Call +1 (523) 555-{n} at once. Later call +1 (523) 555-{n} again." for n in range(1000, 1200)] + ["Room 1234 is free."] * 200
     tokens = private.Tokens()
     for n, t in enumerate(texts):
         tokens.add(n, t, private.base_spans(t))
     flat = private.fit(tokens)
-    p = private.marginals(tokens, flat)
+    far = private.Tokens()
+    far.add(0, text := "Call +1 (523) 555-1000 at once. Later 555-1000 was busy.", private.base_spans(text))
+    p = private.marginals(far, flat)
     alone = private.Tokens()
     alone.add(0, "Later 555-1000 was busy.", [])
-    repeated = [i for i in range(len(tokens.doc)) if tokens.doc[i] == 0][-1]
-    assert p[repeated, 4] > private.marginals(alone, flat)[0, 4]  # evidence from afar
+    assert p[-1, 4] > private.marginals(alone, flat)[0, 4]  # evidence from afar
     docs = spark.createDataFrame([(1, "mail a@b.example.com now", "x")], "doc_id long, text string, key string")
     assert private.mask_private(docs, flat).collect()[0].text == "mail [EMAIL] now"
 
