@@ -74,20 +74,17 @@ def linear_scan(
     map_ddl = "_a array<double>, _b array<double>"
 
     def as_maps(groups: list[pd.DataFrame]) -> pd.DataFrame:
-        # a block that is not full is the last of its key: nothing follows it
-        full = [g for g in groups if len(g) == block_rows]
+        # every block has a map, also one with gaps or the last: see block_starts
         made = []
-        for pdf in full:
+        for pdf in groups:
             a, b = np.eye(size), np.zeros((size, outputs))
             for x, y in _chunks(*_arrays(pdf)):
                 solved = np.linalg.solve(_lower(x, lr), np.hstack([x, y]))
                 a -= lr * x.T @ (solved[:, :size] @ a)
                 b += lr * x.T @ (solved[:, size:] - solved[:, :size] @ b)
             made.append((a.ravel(), b.ravel()))
-        heads = [g[[*keys, "_super", "_block"]].iloc[:1] for g in full]
-        out = pd.concat(heads, ignore_index=True) if heads else groups[0].iloc[:0][
-            [*keys, "_super", "_block"]
-        ]
+        heads = [g[[*keys, "_super", "_block"]].iloc[:1] for g in groups]
+        out = pd.concat(heads, ignore_index=True)
         return out.assign(
             _a=pd.Series([m[0] for m in made], dtype=object),
             _b=pd.Series([m[1] for m in made], dtype=object),
@@ -115,13 +112,14 @@ def linear_scan(
         return pdf.drop(columns=["_a", "_b"]).assign(_w=found)
 
     def block_starts(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Weights at the end of every block, under the number of the next."""
+        """Weights at the start of every block, carried over by order, so that
+        missing positions and whole missing blocks do not matter."""
         w, found = np.asarray(right["_w"].iloc[0]).reshape(size, outputs), []
         left = left.sort_values("_block")
         for ra, rb in zip(left["_a"], left["_b"]):
-            w = after(ra, rb, w)
             found.append(w.ravel())
-        return left.drop(columns=["_a", "_b"]).assign(_block=left["_block"] + 1, _w=found)
+            w = after(ra, rb, w)
+        return left.drop(columns=["_a", "_b"]).assign(_w=found)
 
     def replay(groups: list[pd.DataFrame]) -> pd.DataFrame:
         done = []

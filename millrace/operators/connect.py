@@ -105,14 +105,14 @@ def gather(
 ) -> DataFrame:
     """The predictions of one record, one slot per model. A missing slot holds
     0.0 and ``complete`` is false. Conditional aggregates combine map-side."""
-    slots = [
-        F.coalesce(F.max(F.when(F.col(model) == i, F.col(pred).cast("double"))), F.lit(0.0))
-        for i in range(models)
-    ]
+    found = [F.max(F.when(F.col(model) == i, F.col(pred).cast("double"))) for i in range(models)]
+    complete = F.lit(True)
+    for slot in found:  # a repeated prediction does not stand in for a missing one
+        complete = complete & slot.isNotNull()
     return tagged.groupBy(*by).agg(
-        F.array(*slots).alias("features"),
+        F.array(*[F.coalesce(slot, F.lit(0.0)) for slot in found]).alias("features"),
         F.max(actual).alias("actual"),
-        (F.count(pred) >= models).alias("complete"),
+        complete.alias("complete"),
     )
 
 

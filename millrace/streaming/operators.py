@@ -83,14 +83,14 @@ def gather_stream(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Predictions of one record, brought together by their event-time window."""
-    slots = [
-        F.coalesce(F.max(F.when(F.col("model_idx") == i, F.col("pred"))), F.lit(0.0))
-        for i in range(models)
-    ]
+    found = [F.max(F.when(F.col("model_idx") == i, F.col("pred"))) for i in range(models)]
+    complete = F.lit(True)
+    for slot in found:
+        complete = complete & slot.isNotNull()
     aggs = [
-        F.array(*slots).alias("features"),
+        F.array(*[F.coalesce(slot, F.lit(0.0)) for slot in found]).alias("features"),
         F.max("actual").alias("actual"),
-        (F.count("pred") >= models).alias("complete"),
+        complete.alias("complete"),
     ]
     return windowed(tagged, ts, size, aggs, delay=delay, keys=by)
 

@@ -109,3 +109,11 @@ def test_late_rows(spark):
     df = stamped(spark, [(0, 100, 1.0), (1, 95, 1.0), (2, 89, 1.0), (3, 200, 1.0), (4, 150, 1.0)])
     late = windows.late_rows(df, "ts", "seq", 10, widths=(2, 2))
     assert sorted(r["seq"] for r in late.collect()) == [2, 4]
+
+
+def test_a_repeated_prediction_is_no_other_model(spark):
+    from millrace.operators.connect import gather
+
+    rows = [(1, 0, 1.0, 1), (1, 0, 0.0, 1), (2, 0, 1.0, 0), (2, 1, 1.0, 0)]
+    got = gather(spark.createDataFrame(rows, "seq long, model_idx int, pred double, actual int"), 2)
+    assert {r.seq: r.complete for r in got.collect()} == {1: False, 2: True}

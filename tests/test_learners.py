@@ -55,6 +55,15 @@ def test_linear_equals_the_loop(spark, block_rows, fan):
     assert np.abs(got - delta_rule(x, y, 0.03)).max() < 1e-9
 
 
+def test_linear_survives_gaps(spark):
+    x, y = regression(200, 3, 1)
+    stay = [i for i in range(200) if i != 37 and not 60 <= i < 100]
+    df = regression_df(spark, x, y).filter("seq <> 37 and not (seq >= 60 and seq < 100)")
+    out = linear_scan(df, "seq", "x", "y", 3, 1, 0.05, block_rows=20, blocks_per_super=2).orderBy("seq")
+    got = np.array([r["pred"] for r in out.collect()])
+    assert np.abs(got - delta_rule(x[stay], y[stay], 0.05)).max() < 1e-9
+
+
 def test_keyed_linear_equals_one_loop_per_key(spark):
     x, y = regression(300, 3, 1)
     keys = [None if i % 7 == 0 else "hot" if i % 3 else "b" for i in range(300)]
