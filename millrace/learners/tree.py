@@ -1,15 +1,21 @@
 """Hoeffding trees (Domingos & Hulten, 2000), grown in rounds.
 
 A tree is one row of arrays, so a single tree and a million trees (one per key)
-are the same table. In each round rows are routed by a column expression, their
-``(leaf, feature, bin, class)`` counts come from one partial aggregate, and the
-few counts of a key decide its splits. Rounds double in length, so the number of
+are the same table. In each round rows are routed by a column expression, and one
+partial aggregate gives the statistics of ``(leaf, feature, class)``. Splits are
+searched leaf by leaf and applied key by key. Rounds double in length, so the number of
 Spark jobs grows with the logarithm of the rows. Every row is scored with the
 tree as of the start of its round; all versions stay in one table and the scores
 are a single pass at the end.
 
-Numeric features are counted in quantile bins taken from the first round;
-nominal features have one bin per code.
+Numeric features are summed up by count, mean, squared deviations, least and
+greatest value, over all rows a leaf has seen; candidate cuts are evenly spaced
+between the extremes, and the rows on either side follow from normal
+distributions. Nominal features have one count per code. Values that are null,
+NaN or infinite are left out.
+
+A split that does not fit ``max_nodes`` gives way to the next good one; leaves
+that could not split for ``max_nodes`` or ``max_depth`` are listed in ``capped``.
 """
 
 from __future__ import annotations
@@ -52,7 +58,7 @@ class TreeParams:
 _TREE_DDL = (
     "feature array<int>, kind array<int>, threshold array<double>, child array<int>, "
     "arity array<int>, depth array<int>, prior array<double>, label_at array<int>, "
-    "dropped array<int>"
+    "dropped array<int>, capped array<int>"
 )
 _TREE_COLS = [part.split()[0] for part in _TREE_DDL.split(", ")]
 
@@ -61,10 +67,18 @@ def _stump(p: TreeParams) -> dict:
     return {
         "feature": [-1], "kind": [0], "threshold": [0.0], "child": [0], "arity": [0],
         "depth": [0], "prior": [0.0] * p.classes, "label_at": [0], "dropped": [],
+        "capped": [],
     }
 
 
-# --- splitting (a few hundred counts per leaf) -------------------------------
+# --- splitting ----------------------------------------------------------------
+
+_SEARCH_DDL = (
+    "leaf int, own array<double>, s_feature array<int>, s_kind array<int>, s_cut array<double>, "
+    "s_arity array<int>, s_branches array<double>, poor array<int>"
+)
+_SEARCH_COLS = [part.split()[0] for part in _SEARCH_DDL.split(", ")]
+_erf = np.vectorize(math.erf, otypes=[float])
 
 
 def _entropy(counts: np.ndarray) -> np.ndarray:
@@ -74,91 +88,130 @@ def _entropy(counts: np.ndarray) -> np.ndarray:
     return -(share * logs).sum(axis=-1)
 
 
-def _gain(parent: np.ndarray, branches: np.ndarray) -> float:
+def _gains(branches: np.ndarray) -> np.ndarray:
+    """Information gain of splits given as (..., branch, class) counts."""
     weights = branches.sum(axis=-1)
-    if (weights > 0).sum() < 2:
-        return 0.0
-    return float(_entropy(parent) - (weights * _entropy(branches)).sum() / weights.sum())
-
-
-def _best_split(table: np.ndarray, codes: int | None, p: TreeParams):
-    """Best split of one feature from its (bin, class) counts:
-    ``(gain, kind, bin or code, branch counts)``."""
-    parent = table.sum(axis=0)
-    options = [(0.0, NUMERIC, 0, None)]
-    if codes is None:
-        below = np.cumsum(table, axis=0)[:-1]
-        for b, low in enumerate(below):
-            branches = np.stack([low, parent - low])
-            options.append((_gain(parent, branches), NUMERIC, b, branches))
-    elif p.binary_splits:
-        for v in range(codes):
-            branches = np.stack([table[v], parent - table[v]])
-            options.append((_gain(parent, branches), ONE_VALUE, v, branches))
-    else:
-        options.append((_gain(parent, table[:codes]), MULTIWAY, 0, table[:codes]))
-    return max(options, key=lambda o: o[0])
-
-
-def grow(tree: dict, stats: pd.DataFrame, edges: np.ndarray, p: TreeParams) -> dict:
-    """Apply the Hoeffding bound to every leaf that has seen enough rows."""
-    t = {c: list(tree[c]) for c in _TREE_COLS}
+    total = np.maximum(weights.sum(axis=-1), 1e-300)
+    inside = (weights * _entropy(branches)).sum(axis=-1) / total
+    useful = (weights > 0).sum(axis=-1) >= 2
+    return np.where(useful, _entropy(branches.sum(axis=-2)) - inside, 0.0)
+
+
+def _numeric_splits(cells: pd.DataFrame, p: TreeParams) -> dict[int, tuple]:
+    """Best cut of every numeric feature: ``(gain, kind, cut, branch counts)``."""
+    at, row = np.unique(cells["i"], return_inverse=True)
+    shape = (len(at), p.classes)
+    where = (row, cells["label"].to_numpy())
+    n, mean, dev = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+    lo, hi = np.full(shape, np.inf), np.full(shape, -np.inf)
+    for target, name in ((n, "n"), (mean, "mean"), (dev, "m2"), (lo, "lo"), (hi, "hi")):
+        target[where] = cells[name]
+    dev = np.sqrt(dev / np.maximum(n, 1))
+    low, high = lo.min(axis=1, keepdims=True), hi.max(axis=1, keepdims=True)
+    share = np.arange(1, p.bins) / p.bins
+    cuts = low * (1 - share) + high * share  # (feature, cut)
+    z = (cuts[:, :, None] - mean[:, None]) / np.maximum(dev, 1e-300)[:, None]
+    below = n[:, None] * 0.5 * (1 + _erf(np.clip(z, -40, 40) / math.sqrt(2)))
+    below = np.where(cuts[:, :, None] < lo[:, None], 0.0, below)
+    below = np.where(cuts[:, :, None] >= hi[:, None], n[:, None], below)
+    branches = np.stack([below, n[:, None] - below], axis=2)
+    gains = _gains(branches)
+    best = gains.argmax(axis=1)
+    return {
+        int(f): (float(gains[k, b]), NUMERIC, float(cuts[k, b]), branches[k, b])
+        for k, (f, b) in enumerate(zip(at, best))
+    }
+
+
+def _nominal_split(table: np.ndarray, p: TreeParams) -> tuple:
+    """Best split of a nominal feature from its (code, class) counts."""
+    if not p.binary_splits:
+        return float(_gains(table)), MULTIWAY, 0.0, table
+    branches = np.stack([table, table.sum(axis=0) - table], axis=1)
+    gains = _gains(branches)
+    best = int(gains.argmax())
+    return float(gains[best]), ONE_VALUE, float(best), branches[best]
+
+
+def search_leaf(cells: pd.DataFrame, p: TreeParams) -> dict:
+    """Class counts of one leaf, the splits that the Hoeffding bound allows (best
+    first) and, with ``remove_poor``, the features that fall behind by it."""
     nominal = dict(p.nominal)
-    levels = max([p.bins, *nominal.values()])
+    seen = cells.groupby(["i", "label"])["n"].sum().unstack(fill_value=0)
+    own = np.zeros(p.classes)
+    # the feature with the fewest missing values tells the rows of a leaf
+    fullest = seen.loc[seen.sum(axis=1).idxmax()]
+    own[fullest.index.to_numpy()] = fullest.to_numpy()
+    out = {c: [] for c in _SEARCH_COLS} | {"leaf": int(cells["leaf"].iloc[0]), "own": own.tolist()}
+    n = own.sum()
+    if n < p.grace or (own > 0).sum() < 2:
+        return out
+    coded = cells["i"].isin(list(nominal))
+    found = _numeric_splits(cells[~coded], p) if not coded.all() else {}
+    for f, part in cells[coded].groupby("i"):
+        table = np.zeros((nominal[f], p.classes))
+        table[part["bin"], part["label"]] = part["n"]
+        found[int(f)] = _nominal_split(table, p)
+    ranked = sorted(found.items(), key=lambda kv: (-kv[1][0], kv[0]))
+    gain = ranked[0][1][0]
+    # not splitting at all is the rival when there is only one feature
+    rival = ranked[1][1][0] if len(ranked) > 1 else 0.0
     span = math.log2(max(p.classes, 2))
-    dropped = set(t["dropped"])
-    for leaf, cells in stats.groupby("leaf"):
-        leaf = int(leaf)
-        counts = np.zeros((p.width, levels, p.classes))
-        counts[cells["i"], cells["bin"], cells["label"]] = cells["n"]
-        # every counted feature of a leaf has seen the same rows
-        seen = counts.sum(axis=1)
-        own = seen[int(seen.sum(axis=1).argmax())]
-        prior = np.array(t["prior"][leaf * p.classes : (leaf + 1) * p.classes]) + own
+    bound = math.sqrt(span * span * math.log(1 / p.split_confidence) / (2 * n))
+    if gain > 0 and (gain - rival > bound or bound < p.tie):
+        for k, (f, (g, kind, cut, branches)) in enumerate(ranked):
+            if k == 0 or g > bound:
+                out["s_feature"].append(f)
+                out["s_kind"].append(kind)
+                out["s_cut"].append(cut)
+                out["s_arity"].append(len(branches))
+                out["s_branches"].extend(branches.ravel().tolist())
+    elif p.remove_poor:
+        out["poor"] = [f for f, option in ranked if gain - option[0] > bound]
+    return out
+
+
+def grow(tree: dict, leaves: pd.DataFrame, p: TreeParams) -> dict:
+    """Apply the splits that were found for the leaves of one tree."""
+    t = {c: list(tree[c]) for c in _TREE_COLS}
+    dropped, capped = set(t["dropped"]), set()
+    for found in leaves.sort_values("leaf").to_dict("records"):
+        leaf = int(found["leaf"])
+        prior = np.array(t["prior"][leaf * p.classes : (leaf + 1) * p.classes]) + found["own"]
         t["label_at"][leaf] = int(prior.argmax())
-        n = own.sum()
-        if n < p.grace or (own > 0).sum() < 2 or t["depth"][leaf] >= p.max_depth:
+        dropped |= {leaf * p.width + int(f) for f in found["poor"]}
+        room = p.max_nodes - len(t["feature"])
+        fits = [k for k, size in enumerate(found["s_arity"]) if size <= room]
+        if not fits or t["depth"][leaf] >= p.max_depth:
+            capped |= {leaf} if len(found["s_arity"]) else set()
             continue
-        found = {
-            i: _best_split(counts[i], nominal.get(i), p)
-            for i in range(p.width)
-            if leaf * p.width + i not in dropped
-        }
-        ranked = sorted(found.items(), key=lambda kv: -kv[1][0])
-        gain, kind, at, branches = ranked[0][1]
-        # not splitting at all is the rival when there is only one feature
-        rival = ranked[1][1][0] if len(ranked) > 1 else 0.0
-        bound = math.sqrt(span * span * math.log(1 / p.split_confidence) / (2 * n))
-        fits = branches is not None and len(t["feature"]) + len(branches) <= p.max_nodes
-        if fits and gain > 0 and (gain - rival > bound or bound < p.tie):
-            feature = ranked[0][0]
-            t["feature"][leaf] = feature
-            t["kind"][leaf] = kind
-            t["threshold"][leaf] = float(edges[feature][at]) if kind == NUMERIC else float(at)
-            t["child"][leaf] = len(t["feature"])
-            t["arity"][leaf] = len(branches)
-            for branch in branches:
-                t["feature"].append(-1)
-                t["kind"].append(0)
-                t["threshold"].append(0.0)
-                t["child"].append(0)
-                t["arity"].append(0)
-                t["depth"].append(t["depth"][leaf] + 1)
-                t["prior"].extend(float(c) for c in branch)
-                t["label_at"].append(int(branch.argmax()) if branch.any() else t["label_at"][leaf])
-        elif p.remove_poor:
-            dropped |= {
-                leaf * p.width + i for i, option in found.items() if gain - option[0] > bound
-            }
-    t["dropped"] = sorted(dropped)
+        pick = fits[0]
+        start = int(sum(found["s_arity"][:pick])) * p.classes
+        size = int(found["s_arity"][pick])
+        branches = np.reshape(found["s_branches"][start : start + size * p.classes], (size, -1))
+        t["feature"][leaf] = int(found["s_feature"][pick])
+        t["kind"][leaf] = int(found["s_kind"][pick])
+        t["threshold"][leaf] = float(found["s_cut"][pick])
+        t["child"][leaf] = len(t["feature"])
+        t["arity"][leaf] = size
+        for branch in branches:
+            t["feature"].append(-1)
+            t["kind"].append(0)
+            t["threshold"].append(0.0)
+            t["child"].append(0)
+            t["arity"].append(0)
+            t["depth"].append(t["depth"][leaf] + 1)
+            t["prior"].extend(float(c) for c in branch)
+            t["label_at"].append(int(branch.argmax()) if branch.any() else t["label_at"][leaf])
+    t["dropped"], t["capped"] = sorted(dropped), sorted(capped)
     return t
 
 
 # --- routing and counting ----------------------------------------------------
 
 
-def route(features: str, depth: int) -> Column:
-    """Leaf of a row: follow the arrays from the root."""
+def route(features: str) -> Column:
+    """Leaf of a row: follow the arrays from the root, as deep as the tree is."""
 
     def down(node: Column, _: Column) -> Column:
         x = F.get(F.col(features), F.get("feature", node))
@@ -172,36 +225,34 @@ def route(features: str, depth: int) -> Column:
             F.get("child", node) + F.coalesce(branch, F.lit(0))
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), down)
-
-
-def quantile_edges(df: DataFrame, features: str, p: TreeParams) -> np.ndarray:
-    """``bins - 1`` cut points per feature: a table of fixed size."""
-    probs = [k / p.bins for k in range(1, p.bins)]
-    cells = df.select(F.posexplode(features).alias("i", "x"))
-    found = cells.groupBy("i").agg(F.percentile_approx("x", probs, 1000).alias("e")).collect()
-    edges = np.zeros((p.width, p.bins - 1))
-    for r in found:
-        edges[r["i"]] = r["e"]
-    return edges
-
-
-def _bin(x: Column, i: Column, edges: np.ndarray, p: TreeParams) -> Column:
-    """Number of cut points below the value; the code itself when nominal. The
-    cut points are one literal array per level, so this stays generated code."""
-    level = F.lit(0)
-    for k in range(p.bins - 1):
-        cuts = F.expr("array(" + ",".join(f"{float(v)!r}D" for v in edges[:, k]) + ")")
-        level = level + (x > F.get(cuts, i)).cast("int")
-    if p.nominal:
-        codes = [0] * p.width
-        for at, size in p.nominal:
-            codes[at] = size
-        size = F.get(F.lit(codes), i)
-        level = F.when(size > 0, F.greatest(F.least(x.cast("int"), size - 1), F.lit(0))).otherwise(
-            level
-        )
-    return level
+    return F.aggregate(F.sequence(F.lit(0), F.array_max("depth")), F.lit(0), down)
+
+
+def _bin(x: Column, i: Column, p: TreeParams) -> Column:
+    """The code of a nominal feature, 0 for a numeric one."""
+    if not p.nominal:
+        return F.lit(0)
+    codes = [0] * p.width
+    for at, size in p.nominal:
+        codes[at] = size
+    size = F.get(F.lit(codes), i)
+    return F.when(size > 0, F.greatest(F.least(x.cast("int"), size - 1), F.lit(0))).otherwise(0)
+
+
+def _usable(x: Column) -> Column:
+    """Neither null, NaN (which Spark orders last) nor infinite."""
+    return F.abs(x) < F.lit(float("inf"))
+
+
+def _merged(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Statistics of earlier rounds and of this one, at most two rows a group."""
+    n, mean = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    apart = F.max("mean") - F.min("mean")
+    between = F.when(F.count("*") > 1, apart * apart * F.min("n") * F.max("n") / n).otherwise(0.0)
+    return parts.groupBy(*by).agg(
+        n.alias("n"), mean.alias("mean"), (F.sum("m2") + between).alias("m2"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    )
 
 
 def _attach(rows: DataFrame, trees: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -219,10 +270,10 @@ def hoeffding_rounds(
     params: TreeParams,
     keys: Sequence[str] = (),
     first: int = 1024,
-) -> tuple[DataFrame, DataFrame, np.ndarray]:
+) -> tuple[DataFrame, DataFrame]:
     """Grow the trees. Returns the versions table (``round`` = the round a
-    version scores), the counts each version was left with, and the bin edges.
-    Both tables hold at most ``max_nodes`` leaves per key and round."""
+    version scores) and the statistics each version was left with. Both hold at
+    most ``max_nodes`` leaves per key and round."""
     spark = df.sparkSession
     keys, p = list(keys), params
     rows = df.select(
@@ -233,18 +284,22 @@ def hoeffding_rounds(
         doubling_block(rank, first).alias("round"),
     )
     last = rows.agg(F.max("round")).first()[0] or 0
-    edges = quantile_edges(rows.filter(F.col(rank) < first), "_x", p)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_ddl = "".join(f"{k} {fields[k]}, " for k in keys)
     stump = _stump(p)
     start = spark.createDataFrame([tuple(stump[c] for c in _TREE_COLS)], _TREE_DDL)
 
-    def update(stats: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
-        if stats.empty:
+    def search(cells: pd.DataFrame) -> pd.DataFrame:
+        head = cells[keys].iloc[:1].reset_index(drop=True)
+        found = search_leaf(cells, p)
+        return head.assign(**{c: [found[c]] for c in _SEARCH_COLS})[[*keys, *_SEARCH_COLS]]
+
+    def update(leaves: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if leaves.empty:
             return trees[[*keys, *_TREE_COLS]]
         old = stump if trees.empty else trees.iloc[0].to_dict()
-        head = stats[keys].iloc[:1].reset_index(drop=True)
-        new = grow(old, stats, edges, p)
+        head = leaves[keys].iloc[:1].reset_index(drop=True)
+        new = grow(old, leaves, p)
         return head.assign(**{c: [new[c]] for c in _TREE_COLS})[[*keys, *_TREE_COLS]]
 
     versions, history = None, None
@@ -257,20 +312,29 @@ def hoeffding_rounds(
                 "dropped", F.lit(None).cast("array<int>")
             )
         else:
-            routed = _attach(part, live, keys).withColumn("leaf", route("_x", p.max_depth))
+            routed = _attach(part, live, keys).withColumn("leaf", route("_x"))
         cells = routed.select(
             *keys, "leaf", "label", "dropped", F.posexplode("_x").alias("i", "_v")
         )
-        cells = cells.filter(F.col("_v").isNotNull() & F.col("label").isNotNull())
+        cells = cells.filter(_usable(F.col("_v")) & F.col("label").isNotNull())
         if p.remove_poor:
             cells = cells.filter(
                 ~F.coalesce(
                     F.array_contains("dropped", F.col("leaf") * p.width + F.col("i")), F.lit(False)
                 )
             )
-        counts = cells.groupBy(
-            *keys, "leaf", "i", _bin(F.col("_v"), F.col("i"), edges, p).alias("bin"), "label"
-        ).agg(F.count("*").alias("n"))
+        by = [*keys, "leaf", "i", "bin", "label"]
+        counts = (
+            cells.withColumn("bin", _bin(F.col("_v"), F.col("i"), p))
+            .groupBy(*by)
+            .agg(
+                F.count("*").alias("n"),
+                F.avg("_v").alias("mean"),
+                (F.var_pop("_v") * F.count("*")).alias("m2"),
+                F.min("_v").cast("double").alias("lo"),
+                F.max("_v").cast("double").alias("hi"),
+            )
+        )
         if stats is not None:
             # counts of leaves that have not been split go on
             kept = (
@@ -279,18 +343,16 @@ def hoeffding_rounds(
                 .filter(~F.array_contains("dropped", F.col("leaf") * p.width + F.col("i")))
                 .select(*counts.columns)
             )
-            counts = (
-                counts.unionByName(kept)
-                .groupBy(*keys, "leaf", "i", "bin", "label")
-                .agg(F.sum("n").alias("n"))
-            )
+            counts = _merged(counts.unionByName(kept), by)
         # both tables carry the number of the round they serve
         stats = materialise(counts.withColumn("round", F.lit(r + 1)), "tree-counts")
         trees = live
         if trees is None:
             trees = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}") if keys else start
         grown = (
-            stats.groupBy(*keys)
+            stats.groupBy(*keys, "leaf")
+            .applyInPandas(search, f"{key_ddl}{_SEARCH_DDL}")
+            .groupBy(*keys)
             .cogroup(trees.groupBy(*keys))
             .applyInPandas(update, f"{key_ddl}{_TREE_DDL}")
         )
@@ -300,9 +362,11 @@ def hoeffding_rounds(
     if versions is None:
         versions = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}, round int")
         history = spark.createDataFrame(
-            [], f"{key_ddl}leaf int, i int, bin int, label int, n bigint, round int"
+            [],
+            f"{key_ddl}leaf int, i int, bin int, label int, n bigint, mean double, m2 double, "
+            "lo double, hi double, round int",
         )
-    return versions, history, edges
+    return versions, history
 
 
 def score_rounds(
@@ -326,7 +390,7 @@ def score_rounds(
         # one row of max_nodes entries per round, rounds grow with log(rows)
         versions = F.broadcast(versions)
     joined = rows.join(versions, [*keys, "round"], "left")
-    leaf = route("_x", params.max_depth)
+    leaf = route("_x")
     return (
         joined.withColumn("leaf", F.when(F.col("feature").isNull(), 0).otherwise(leaf))
         .withColumn("pred", F.coalesce(F.get("label_at", F.col("leaf")), F.lit(0)))
@@ -335,33 +399,52 @@ def score_rounds(
 
 
 def _bayes_votes(
-    scored: DataFrame, rank: str, history: DataFrame, edges: np.ndarray, p: TreeParams, keys
+    scored: DataFrame, rank: str, history: DataFrame, p: TreeParams, keys
 ) -> DataFrame:
-    """Naive Bayes over the bin counts of each row's leaf, as a join on
-    ``(round, leaf, feature, bin)``. The sums per row combine map-side."""
+    """Naive Bayes over the statistics of each row's leaf (normal distributions,
+    or shares of codes), as a join on ``(round, leaf, feature, code)``. The sums
+    per row combine map-side; a value that a class never had tells nothing."""
     at = [*keys, "round", "leaf"]
-    of_class = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col("n"))), F.lit(0))
-                for c in range(p.classes)]
-    bins = history.groupBy(*at, "i", "bin").agg(F.array(*of_class).alias("hit"))
-    totals = history.groupBy(*at, "i").agg(F.array(*of_class).alias("all"))
-    levels = max([p.bins, *[size for _, size in p.nominal]])
-    cells = scored.select(*at, rank, F.posexplode("_x").alias("i", "_v")).withColumn(
-        "bin", _bin(F.col("_v"), F.col("i"), edges, p)
+
+    def per_class(value):
+        return F.array(
+            *[F.coalesce(F.sum(F.when(F.col("label") == c, value)), F.lit(0.0)) for c in range(p.classes)]
+        )
+
+    n = F.col("n").cast("double")
+    bins = history.groupBy(*at, "i", "bin").agg(
+        per_class(n).alias("hit"),
+        per_class(F.col("mean")).alias("_mean"),
+        per_class(F.greatest(F.col("m2") / n, F.lit(1e-6))).alias("_var"),
+    )
+    totals = history.groupBy(*at, "i").agg(per_class(n).alias("all"))
+    codes = [0] * p.width
+    for position, size in p.nominal:
+        codes[position] = size
+    cells = (
+        scored.select(*at, rank, F.posexplode("_x").alias("i", "_v"))
+        .filter(_usable(F.col("_v")))
+        .withColumn("bin", _bin(F.col("_v"), F.col("i"), p))
     )
     terms = cells.join(totals, [*at, "i"]).join(bins, [*at, "i", "bin"], "left")
-    sums = [
-        F.sum(
-            F.log(
-                (F.coalesce(F.get("hit", F.lit(c)), F.lit(0)) + 1.0)
-                / (F.get("all", F.lit(c)) + float(levels))
-            )
-        ).alias(f"_l{c}")
-        for c in range(p.classes)
-    ]
+    size = F.get(F.lit(codes), F.col("i"))
+
+    def term(c):
+        hit = F.coalesce(F.get("hit", F.lit(c)), F.lit(0.0))
+        mean, var = F.get("_mean", F.lit(c)), F.get("_var", F.lit(c))
+        off = F.col("_v") - mean
+        normal = -0.5 * (F.log(2 * math.pi * var) + off * off / var)
+        share = F.log((hit + 1.0) / (F.get("all", F.lit(c)) + size))
+        return F.when(size > 0, share).otherwise(F.when(hit > 0, normal).otherwise(0.0))
+
+    sums = [F.sum(term(c)).alias(f"_l{c}") for c in range(p.classes)]
     prior = [F.max(F.get("all", F.lit(c))).alias(f"_n{c}") for c in range(p.classes)]
     ranked = F.array(
         *[
-            F.struct((F.log(F.col(f"_n{c}") + 1.0) + F.col(f"_l{c}")).alias("s"), F.lit(-c).alias("c"))
+            F.struct(
+                F.when(F.col(f"_n{c}") > 0, F.log(f"_n{c}") + F.col(f"_l{c}")).otherwise(-1e300).alias("s"),
+                F.lit(-c).alias("c"),
+            )
             for c in range(p.classes)
         ]
     )
@@ -407,12 +490,12 @@ def prequential_hoeffding(
     """Grow and score. ``leaf='nb'`` scores leaves by naive Bayes, ``'nba'`` by
     whichever rule did better at that leaf so far."""
     keys = list(keys)
-    versions, history, edges = hoeffding_rounds(df, rank, features, label, params, keys, first)
+    versions, history = hoeffding_rounds(df, rank, features, label, params, keys, first)
     scored = score_rounds(df, rank, features, label, versions, params, keys, keep, first)
     out = [*dict.fromkeys([*keys, rank, *keep]), label, "round", "leaf", "pred"]
     if params.leaf == "mc":
         return scored.select(*out)
-    votes = _bayes_votes(scored, rank, history, edges, params, keys)
+    votes = _bayes_votes(scored, rank, history, params, keys)
     both = scored.drop("_x").join(votes, [*keys, rank], "left")
     if params.leaf == "nb":
         return both.withColumn("pred", F.coalesce("_nb", "pred")).select(*out)

@@ -13,7 +13,7 @@ from millrace.learners.network import (
     perceptron,
     train_in_rounds,
 )
-from millrace.learners.tree import TreeParams, prequential_hoeffding
+from millrace.learners.tree import TreeParams, hoeffding_rounds, prequential_hoeffding
 from millrace.operators.order import doubling_bounds, fixed_block, with_rank
 
 
@@ -307,7 +307,6 @@ def test_nominal_multiway_split(spark):
 def test_keyed_trees_equal_separate_trees(spark):
     df = planted(spark, 1200).withColumn("k", (F.col("seq") % 3).cast("int"))
     df = with_rank(df, "seq", ["k"])
-    # same bins for all keys would differ from bins of one key: keys share rows
     same = df.filter("k = 0").select("rank", "x", "label")
     copies = same.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
     p = TreeParams(6, 2, split_confidence=0.1, grace=30)
@@ -327,6 +326,36 @@ def test_one_class_and_tiny_input(spark):
     assert [r["pred"] for r in few.collect()] == [0] * 5
 
 
+def test_feature_that_is_constant_at_first_can_be_split(spark):
+    rng = np.random.default_rng(4)
+    x = rng.random((4000, 2))
+    y = (x[:, 0] > 0.5).astype(int)
+    x[:64, 0] = 0.5
+    y[:64] = 0
+    rows = [(i, x[i].tolist(), int(y[i])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "seq long, x array<double>, label int")
+    p = TreeParams(2, 2, split_confidence=0.01, grace=50, tie=0.1)
+    out = prequential_hoeffding(df, "seq", "x", "label", p, first=64)
+    assert out.filter("seq >= 2048").agg(F.avg((F.col("pred") == F.col("label")).cast("int"))).first()[0] > 0.95
+
+
+def test_leaves_that_do_not_fit_are_reported(spark):
+    p = TreeParams(6, 2, split_confidence=0.1, grace=30, max_nodes=2)
+    versions, _ = hoeffding_rounds(planted(spark, 1500), "seq", "x", "label", p, first=64)
+    last = versions.orderBy(F.desc("round")).first()
+    assert last["feature"] == [-1] and last["capped"] == [0]
+
+
+def test_statistics_of_a_leaf_merge_exactly(spark):
+    df = planted(spark, 600)
+    p = TreeParams(6, 2, grace=10_000)  # never splits, so everything stays at the root
+    _, history = hoeffding_rounds(df, "seq", "x", "label", p, first=64)
+    got = history.filter("round = 4 and i = 2 and label = 1").first()
+    x = [r["x"][2] for r in df.filter("seq < 512 and label = 1").collect()]
+    assert got["n"] == len(x) and (got["lo"], got["hi"]) == (min(x), max(x))
+    assert np.allclose([got["mean"], got["m2"]], [np.mean(x), np.var(x) * len(x)])
+
+
 def test_poor_attributes_are_dropped(spark):
     p = TreeParams(6, 2, split_confidence=0.1, grace=30, remove_poor=True, tie=0.01)
     out = prequential_hoeffding(planted(spark, 2000), "seq", "x", "label", p, first=64)
