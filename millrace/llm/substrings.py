@@ -27,6 +27,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -237,17 +238,25 @@ def spans_kept(text: str, gone: np.ndarray) -> str:
 SENT = "bucket int, batch long, once binary, more binary"
 
 
+def digest(text: str | None, gone: np.ndarray | None) -> str:
+    words = text.encode().split() if text else []
+    kept = words if gone is None else [w for w, x in zip(words, gone) if not x]
+    return hashlib.sha256(b" ".join(kept)).hexdigest()
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True, new_text: bool = True) -> DataFrame:
     """``docs`` (with a column text) plus n_words and n_removed; with
     ``digests`` kept_sha256 of the kept words joined by one space; with
-    ``new_text`` the text without the removed words, else no text."""
-    added = ("n_words", "n_removed", "kept_sha256")
-    docs = docs.drop(*added)
+    ``new_text`` the text without the removed words, else no text. Other
+    columns travel as Arrow under names of their own, so no value changes."""
+    docs = docs.drop("n_words", "n_removed", "kept_sha256")
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     batches = max(1, -(-size // BATCH_CHARS))
     buckets = max(1, size // (20 * BUCKET_HASHES))
-    first = next((c for c in docs.columns if c != "text"), "text")
-    keyed = docs.withColumn("_batch", F.pmod(F.xxhash64(first, F.length("text")), F.lit(batches)))
+    fields = [f for f in docs.schema.fields if f.name != "text"]
+    carried = [f"_c{k}" for k in range(len(fields))]
+    keyed = docs.select(*[F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, carried)], "text")
+    keyed = keyed.withColumn("_batch", F.pmod(F.xxhash64(*carried[:1], F.length("text")), F.lit(batches)))
 
     def anchors(frames):
         texts = Texts(length)
@@ -260,47 +269,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
 
     found = repeats(keyed.select("_batch", "text").mapInPandas(anchors, SENT), 1)
 
-    others = [f for f in docs.schema.fields if f.name != "text"]
-    result = T.StructType(others)
+    result = T.StructType([T.StructField(c, f.dataType) for f, c in zip(fields, carried)])
     if new_text:
         result.add("text", "string")
     result.add("n_words", "long").add("n_removed", "long")
     if digests:
         result.add("kept_sha256", "string")
-    names = [f.name for f in result.fields]
-    own = [f.name for f in docs.schema.fields]
 
-    def results(frame: pd.DataFrame, n_words, gone) -> pd.DataFrame:
-        out = frame[own].copy()
-        out["n_words"] = n_words
-        out["n_removed"] = [int(g.sum()) if g is not None else 0 for g in gone]
+    def results(rows: pa.Table, texts: list, n_words, gone: list) -> dict[str, pa.Array]:
+        out = {c: rows[c] for c in carried}
+        if new_text:
+            new = [t if g is None or not g.any() else spans_kept(t, g) for t, g in zip(texts, gone)]
+            out["text"] = pa.array(new, "string")
+        out["n_words"] = pa.array(n_words, "int64")
+        out["n_removed"] = pa.array([0 if g is None else int(g.sum()) for g in gone], "int64")
         if digests:
-            told = []
-            for text, g in zip(frame["text"], gone):
-                words = text.encode().split() if text else []
-                kept = words if g is None else [w for w, x in zip(words, g) if not x]
-                told.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            out["kept_sha256"] = told
-        out["text"] = [t if g is None or not g.any() else spans_kept(t, g) for t, g in zip(frame["text"], gone)]
-        return out[names]
-
-    # one row each: a finished document (its columns in _row), a candidate (also _text), or hashes
-    middle = T.StructType(
-        [
-            T.StructField("_row", result),
-            T.StructField("_batch", T.LongType()),
-            T.StructField("_starts", T.BinaryType()),
-            T.StructField("_raw", T.StringType()),
-            T.StructField("bucket", T.IntegerType()),
-            T.StructField("once", T.BinaryType()),
-            T.StructField("more", T.BinaryType()),
-        ]
-    )
+            out["kept_sha256"] = pa.array([digest(t, g) for t, g in zip(texts, gone)], "string")
+        return out
+
+    # a row is a finished document, a candidate (_starts and _raw too), or hashes (bucket, once, more)
+    middle = T.StructType([*result.fields, *T.StructType.fromDDL("_batch long, _starts binary, _raw string").fields])
+    middle = T.StructType([*middle.fields, *T.StructType.fromDDL("bucket int, once binary, more binary").fields])
 
-    def extend(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 1))
-        starts, n_words, full = [], [], []
-        for text in frame["text"]:
+    def extend(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        texts, twice = Texts(length), KeySet(keys_of(answers["blob"].to_pylist(), 1))
+        raw, starts, n_words, full = rows["text"].to_pylist(), [], [], []
+        for text in raw:
             words, ids = texts.hashes(text)
             n_words.append(len(words))
             at, hashes = texts.anchors(ids)
@@ -308,36 +302,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
             starts.append(texts.starts(len(words), at) if len(at) else None)
             if len(at):
                 full.append(texts.full(ids, starts[-1]))
-        rows = results(frame, n_words, [None] * len(frame))
-        out = pd.DataFrame({"_row": rows.astype(object).where(rows.notna(), None).to_dict("records"), "_batch": key[0]})
-        out["_starts"] = [None if s is None else s.astype("<i8").tobytes() for s in starts]
-        out["_raw"] = [None if s is None else t for s, t in zip(starts, frame["text"])]
-        out["bucket"], out["once"], out["more"] = None, None, None
-        if new_text:
-            for s, row in zip(starts, out["_row"]):
-                if s is not None:
-                    row["text"] = None
-        if full:
-            sent = pd.DataFrame(packed(key[0], np.concatenate(full), buckets), columns=["bucket", "_batch", "once", "more"])
-            sent["_row"], sent["_starts"], sent["_raw"] = None, None, None
-            out = pd.concat([out, sent[out.columns]], ignore_index=True)
-        return out.astype({"bucket": "Int32"})
-
-    left, right = keyed.groupBy("_batch"), found.withColumnRenamed("batch", "_batch").groupBy("_batch")
-    middle_rows = materialise(left.cogroup(right).applyInPandas(extend, middle), "substrings")
-    done = middle_rows.where("bucket is null and _starts is null").select("_row.*")
-    candidates = middle_rows.where("_starts is not null").select("_row", "_batch", "_starts", "_raw")
+        # what a candidate has in the end is not known yet
+        shown = [t if s is None else None for t, s in zip(raw, starts)]
+        out = results(rows, shown, n_words, [None] * len(raw))
+        out["_batch"] = rows["_batch"]
+        out["_starts"] = pa.array([None if s is None else s.astype("<i8").tobytes() for s in starts], "binary")
+        out["_raw"] = pa.array([None if s is None else t for s, t in zip(starts, raw)], "string")
+        for name, kind in (("bucket", "int32"), ("once", "binary"), ("more", "binary")):
+            out[name] = pa.nulls(len(raw), kind)
+        documents = pa.table(out)
+        if not full:
+            return documents
+        sent = list(zip(*packed(rows["_batch"][0].as_py(), np.concatenate(full), buckets)))
+        own = dict(zip(("bucket", "_batch", "once", "more"), sent))
+        hashes = [
+            pa.array(own[f.name], f.type) if f.name in own else pa.nulls(len(sent[0]), f.type) for f in documents.schema
+        ]
+        return pa.concat_tables([documents, pa.Table.from_arrays(hashes, schema=documents.schema)])
+
+    def own_names(rows: DataFrame) -> DataFrame:
+        told = dict(zip(carried, (f.name for f in fields)))
+        return rows.select(*[F.col(c).alias(told.get(c, c)) for c in result.names])
+
+    met = keyed.groupBy("_batch").cogroup(found.withColumnRenamed("batch", "_batch").groupBy("_batch"))
+    middle_rows = materialise(met.applyInArrow(extend, middle), "substrings")
+    done = own_names(middle_rows.where("bucket is null and _starts is null"))
+    candidates = middle_rows.where("_starts is not null").select(*carried, "n_words", "_batch", "_starts", "_raw")
     sent = middle_rows.where("bucket is not null").select("bucket", F.col("_batch").alias("batch"), "once", "more")
     if candidates.isEmpty():
         return done
     verdicts = repeats(sent, 2).withColumnRenamed("batch", "_batch")
 
-    def decide(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts, twice = Texts(length), KeySet(keys_of(answers["blob"], 1))
-        rows = pd.DataFrame(list(map(dict, frame["_row"])), columns=names)
-        rows["text"] = frame["_raw"].to_numpy()
-        gone = []
-        for text, blob in zip(frame["_raw"], frame["_starts"]):
+    def decide(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        texts, twice = Texts(length), KeySet(keys_of(answers["blob"].to_pylist(), 1))
+        raw, gone = rows["_raw"].to_pylist(), []
+        for text, blob in zip(raw, rows["_starts"].to_pylist()):
             starts = np.frombuffer(blob, "<i8")
             words, ids = texts.hashes(text)
             hit = starts[twice.has(texts.full(ids, starts)[:, :1])]
@@ -345,7 +344,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
             np.add.at(edge, hit, 1)
             np.add.at(edge, hit + length, -1)
             gone.append(np.cumsum(edge[:-1]) > 0)
-        return results(rows.reset_index(drop=True), rows["n_words"].to_numpy(), gone)
+        return pa.table(results(rows, raw, rows["n_words"].to_pylist(), gone))
 
-    ended = candidates.groupBy("_batch").cogroup(verdicts.groupBy("_batch")).applyInPandas(decide, result)
-    return done.unionByName(ended)
+    ended = candidates.groupBy("_batch").cogroup(verdicts.groupBy("_batch")).applyInArrow(decide, result)
+    return done.unionByName(own_names(ended))
