@@ -18,7 +18,7 @@ import struct
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import slices
+from millrace.llm.common import map_exact, slices
 
 #: Pre-tokens whose ids are remembered by a task.
 REMEMBERED = 150_000
@@ -139,4 +139,4 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, ids: bool =
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInPandas(run, schema + ", ids array<int>" * ids)
+    return map_exact(docs.select("doc_id", "text"), run, schema + ", ids array<int>" * ids)

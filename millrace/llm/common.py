@@ -3,8 +3,14 @@ numbers in bounded tasks, connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.runtime import materialise
 
@@ -93,3 +99,16 @@ def slices(texts, size: int = 1_000_000):
             run, held = [], 0
     if run:
         yield run
+
+
+def map_exact(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """``mapInPandas``, but longs stay whole numbers in columns with nulls, where
+    pandas alone would make them doubles."""
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
+    whole = {pa.int64(): pd.Int64Dtype()}.get
+
+    def exact(batches):
+        for frame in run(pa.Table.from_batches([b]).to_pandas(types_mapper=whole) for b in batches):
+            yield pa.RecordBatch.from_pandas(frame, schema=target, preserve_index=False)
+
+    return rows.mapInArrow(exact, schema)

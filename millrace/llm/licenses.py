@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import map_exact
+
 THRESHOLD = 0.9
 PHRASES = {
     b"gnu general public license": "gpl",
@@ -168,4 +170,4 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
             yield frame.astype({"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
 
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_exact(docs.select("doc_id", "text"), run, schema)

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import map_exact
+
 GRADES = 3
 WIDTH = 1 << 16
 SAMPLE_DOCS = 8000
@@ -183,4 +185,4 @@ def grade_documents(docs: DataFrame, weights: np.ndarray, levels: int = GRADES,
             )
 
     schema = "doc_id long, expected_grade double, tail_probability double, kept boolean"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_exact(docs.select("doc_id", "text"), run, schema)

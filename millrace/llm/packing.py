@@ -18,14 +18,16 @@ import json
 import re
 import zlib
 from bisect import insort
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import FIRST_LETTER, bpe_model
-from millrace.llm.common import slices
+from millrace.llm.common import map_exact, slices
 from millrace.runtime import materialise
 
 LIMIT = 2048
@@ -161,7 +163,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, end_i
             frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield frame.astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(encode, PIECES)
+    return map_exact(docs.select("doc_id", "text"), encode, PIECES)
 
 
 class Bins:
@@ -226,6 +228,19 @@ class Bins:
         self.free[source] = self.limit
         return True
 
+    def pairs(self, items: list[int]) -> list[list[int]]:
+        """One pair of items for every sum of two sizes."""
+        by_size: dict[int, list[int]] = {}
+        for i in items:
+            by_size.setdefault(self.sizes[i], []).append(i)
+        sizes, out = sorted(by_size, reverse=True), {}
+        for n, x in enumerate(sizes):
+            if len(by_size[x]) > 1:
+                out.setdefault(2 * x, by_size[x][:2])
+            for y in sizes[n + 1 :]:
+                out.setdefault(x + y, [by_size[x][0], by_size[y][0]])
+        return list(out.values())
+
     def _step(self, source: int) -> bool:
         mine = sorted(self.items[source], key=lambda i: -self.sizes[i])
         for i in mine:
@@ -241,8 +256,7 @@ class Bins:
         size = np.array([self.sizes[i] for i in item])
         room = size + np.array(self.free)[owner]
         rest = self.limit - self.free[source]
-        outs = [[i] for i in mine] + [[i, j] for n, i in enumerate(mine[:12]) for j in mine[n + 1 : 12]]
-        for out in outs:  # one for one, two for one
+        for out in [[i] for i in mine] + self.pairs(mine):  # one for one, two for one
             x = sum(self.sizes[i] for i in out)
             left = room - x
             # the other bin must end up fuller than this one was before
@@ -251,19 +265,18 @@ class Bins:
                 k = int(np.flatnonzero(ok)[np.argmin(left[ok])])
                 self.give(source, out, int(owner[k]), [int(item[k])])
                 return True
-        pairs = [(b, i, j) for b in bins for n, i in enumerate(self.items[b]) for j in self.items[b][n + 1 :]][:200_000]
-        if not pairs:
-            return False
-        two = np.array([self.sizes[i] + self.sizes[j] for _, i, j in pairs])
-        room = two + np.array([self.free[b] for b, _, _ in pairs])
-        for i in mine:  # one for two
-            left = room - self.sizes[i]
-            ok = (two < self.sizes[i]) & (left >= 0) & (self.limit - left > rest)
-            if ok.any():
-                k = int(np.flatnonzero(ok)[np.argmin(left[ok])])
-                b, p, q = pairs[k]
-                self.give(source, [i], b, [p, q])
-                return True
+        pairs = ((b, *p) for b in bins for p in self.pairs(self.items[b]))
+        while block := list(islice(pairs, 100_000)):
+            two = np.array([self.sizes[i] + self.sizes[j] for _, i, j in block])
+            room = two + np.array([self.free[b] for b, _, _ in block])
+            for i in mine:  # one for two
+                left = room - self.sizes[i]
+                ok = (two < self.sizes[i]) & (left >= 0) & (self.limit - left > rest)
+                if ok.any():
+                    k = int(np.flatnonzero(ok)[np.argmin(left[ok])])
+                    b, p, q = block[k]
+                    self.give(source, [i], b, [p, q])
+                    return True
         return False
 
     def search(self, patience: int = 20) -> None:
@@ -312,19 +325,23 @@ def pack(pieces: DataFrame, limit: int = LIMIT, group_pieces: int = GROUP_PIECES
         groups = -(-n // group_pieces)
         schema = rest.select(*own, "_uid").schema.add("_bin", "long").add("offset", "long").add("_fill", "long")
 
-        def pack_group(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values("_uid", kind="stable").drop(columns="_group")
-            frame["_bin"] = pack_sizes(frame["length"].to_numpy(), limit)
-            frame = frame.sort_values(["_bin", "_uid"], kind="stable")
-            size = frame.groupby("_bin")["length"]
-            frame["offset"] = size.cumsum() - frame["length"]
-            frame["_fill"] = size.transform("sum")
+        def pack_group(table: pa.Table) -> pa.Table:
+            table = table.drop_columns("_group").sort_by("_uid")
+            bins = pack_sizes(table["length"].to_numpy(), limit)
+            order = np.argsort(bins, kind="stable")
+            table, bins = table.take(order), bins[order]
+            length, uid = table["length"].to_numpy(), table["_uid"].to_numpy()
+            first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
+            spread = lambda x: np.repeat(x, np.diff(np.r_[first, len(bins)]))
+            start = np.cumsum(length) - length
             # a bin is named by its smallest piece number, which no other bin has
-            frame["_bin"] = frame.groupby("_bin")["_uid"].transform("min")
-            return frame
+            more = {"_bin": spread(uid[first]), "offset": start - spread(start[first]), "_fill": spread(np.add.reduceat(length, first))}
+            for name, values in more.items():
+                table = table.append_column(name, pa.array(values, "int64"))
+            return table
 
         dealt = rest.select(*own, "_uid", F.pmod(F.xxhash64("_uid", F.lit(level)), F.lit(groups)).alias("_group"))
-        packed = materialise(dealt.groupBy("_group").applyInPandas(pack_group, schema), "packed")
+        packed = materialise(dealt.groupBy("_group").applyInArrow(pack_group, schema), "packed")
         done = packed.select(*own, F.col("_bin").alias("sequence_id"), "offset", "_fill")
         loose = packed.where(F.col("_fill") < LOOSE * limit)
         bins = packed.select("_bin").distinct().count() if groups > 1 else 0

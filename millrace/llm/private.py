@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import map_exact
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 4000
 FEATURES = 2048
@@ -356,7 +358,7 @@ def find_private(docs: DataFrame, flat: np.ndarray | None = None) -> DataFrame:
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, {counts}, base_sha256 string, spans string")
+    return map_exact(docs.select("doc_id", "text"), run, f"doc_id long, {counts}, base_sha256 string, spans string")
 
 
 def mask_private(docs: DataFrame, flat: np.ndarray | None = None) -> DataFrame:

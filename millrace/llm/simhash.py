@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, join_counted
+from millrace.llm.common import components, join_counted, map_exact
 from millrace.runtime import materialise
 
 SHINGLE = 3
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = [fingerprint((t or "").encode().translate(LOWER).split(), shingle) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": np.array(fps, "u8").view("i8")})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return map_exact(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 def half(fp: Column, which: Column) -> Column:

@@ -74,6 +74,16 @@ def test_edge_tables(spark, odd, empty, name):
     assert op(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_large_numbers_beside_nulls(spark, name):
+    large = 2**53 + 1
+    table = spark.createDataFrame([(large, "one two", large + 2), (None, "three", None), (-large, None, large)], "doc_id long, text string, x long")
+    got = forms(spark)[name](table)
+    assert {r.doc_id for r in got.collect()} == {large, None, -large}
+    if "x" in got.columns:
+        assert {r.x for r in got.collect()} == {large + 2, None, large}
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
