@@ -28,10 +28,10 @@ REACH = 6.0
 #: Ratios judged, and the least spread that each is taken to have. A document
 #: is never rejected for a ratio below FLOORS + REACH * spread.
 RATIOS = {
-    "symbols": "n_symbols / n_words",
+    "symbols": "try_divide(n_symbols, n_words)",
     "copied_lines": "n_dup_lines / greatest(n_lines, 1)",
-    "repeated": "n_repeat_words / n_words",
-    "word_length": "word_chars / n_words",
+    "repeated": "try_divide(n_repeat_words, n_words)",
+    "word_length": "try_divide(word_chars, n_words)",
     "capitals": "n_capitals / greatest(word_chars, 1)",
 }
 SPREADS = {"symbols": 0.02, "copied_lines": 0.1, "repeated": 0.05, "word_length": 0.5, "capitals": 0.05}
