@@ -19,13 +19,25 @@ def with_rank(
     dense_from: int | None = None,
 ) -> DataFrame:
     """0-based position of each row in ``order``. A source whose counter has no
-    gaps says so with ``dense_from`` (its first value) and pays no shuffle."""
+    gaps says so with ``dense_from`` (its first value) and pays no shuffle, but
+    one pass over that column: a gap, a repeat or a null raises."""
     if dense_from is not None and not keys:
+        check_dense(df, order, dense_from)
         # the bare column keeps range filters on the position pushable
         return df.withColumn(name, F.col(order) - dense_from if dense_from else F.col(order))
     return running(df, order, {name: count_state()}, keys, inclusive=False)
 
 
+def check_dense(df: DataFrame, order: str, first: int) -> None:
+    """Raises unless ``order`` holds every whole number from ``first`` on once:
+    its values must hash to the same as that range."""
+    mark = lambda c: F.bit_xor(F.xxhash64(F.col(c).cast("long"))).alias("x")
+    found = df.agg(F.count("*").alias("n"), F.count(order).alias("some"), mark(order)).first()
+    want = df.sparkSession.range(first, first + found["n"]).agg(mark("id")).first()
+    if found["some"] != found["n"] or found["x"] != want["x"]:
+        raise ValueError(f"{order} is not a gapless counter from {first}; leave dense_from out")
+
+
 def number_by(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
     """Gapless positions along any ordering, also a compound one without a whole
     number in it. Rows are range-partitioned on all of ``order``, so a value that

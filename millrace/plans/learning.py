@@ -35,7 +35,7 @@ from millrace.plans.preparation import EVENT_CODES
 from millrace.plans.registry import query, table
 from millrace.runtime import materialise, scratch_path
 from millrace.streaming import operators as st
-from millrace.streaming.run import drain, drain_batches, replay
+from millrace.streaming.run import drain, drain_batches, end_of_input, replay
 
 WIDTH, CLASSES = 64, 10
 
@@ -441,17 +441,14 @@ def m19(spark, sf):
 # --- streams -----------------------------------------------------------------------------
 
 
-def halves(spark, df, order, consume):
+def halves(spark, df, order, consume, closing=None):
     """The table arrives in two pieces, cut at half of its counter."""
     last = df.agg(F.max(order)).first()[0] or 0
-    replay(spark, df, order, [last // 2], consume)
+    replay(spark, df, order, [last // 2], consume, closing)
 
 
-def closed_sql(start: str, size: int, delay: int, what: str) -> str:
-    return (
-        f"SELECT CAST({SECOND_SQL} // {size} * {size} AS BIGINT) AS window_start, {what} FROM events GROUP BY 1 "
-        f"HAVING window_start + {size} <= (SELECT epoch(max(ts)) - {delay} FROM events)"
-    )
+def windows_sql(size: int, what: str) -> str:
+    return f"SELECT CAST({SECOND_SQL} // {size} * {size} AS BIGINT) AS window_start, {what} FROM events GROUP BY 1"
 
 
 def _window_stream(spark, sf, delay):
@@ -460,24 +457,22 @@ def _window_stream(spark, sf, delay):
     aggs = [F.count("*").alias("n"), F.sum("value").alias("total")]
 
     def consume(stream, checkpoint):
-        drain(st.windowed(stream, "ts", "1 hour", aggs, delay=delay), out, checkpoint)
+        drain(st.windowed(stream, "ts", "1 hour", aggs, delay=f"{delay} seconds"), out, checkpoint)
 
-    halves(spark, events, "event_id", consume)
+    halves(spark, events, "event_id", consume, end_of_input(events, "ts", HOUR + delay))
     return spark.read.parquet(out).select(
         F.unix_seconds("window.start").alias("window_start"), "n", F.round("total", 2).alias("total")
     )
 
 
-@query("w6_ordered_stream", closed_sql("", HOUR, 0, "count(*) AS n, round(sum(value), 2) AS total"))
+@query("w6_ordered_stream", windows_sql(HOUR, "count(*) AS n, round(sum(value), 2) AS total"))
 def w6(spark, sf):
-    return _window_stream(spark, sf, "0 seconds")
+    return _window_stream(spark, sf, 0)
 
 
-@query(
-    "w7_watermark_stream", closed_sql("", HOUR, 30000, "count(*) AS n, round(sum(value), 2) AS total")
-)
+@query("w7_watermark_stream", windows_sql(HOUR, "count(*) AS n, round(sum(value), 2) AS total"))
 def w7(spark, sf):
-    return _window_stream(spark, sf, "30000 seconds")
+    return _window_stream(spark, sf, 30000)
 
 
 @query(
@@ -488,7 +483,12 @@ def w7(spark, sf):
 def a1_stream(spark, sf):
     out, state = scratch_path(spark, "accuracy"), scratch_path(spark, "accuracy-state")
     handle = st.running_sums(
-        spark, out, state, "event_id", {"seen": F.lit(1), "hits": (F.col("value") > 250).cast("int")}
+        spark,
+        out,
+        state,
+        "event_id",
+        {"seen": F.lit(1), "hits": (F.col("value") > 250).cast("int")},
+        kind="bigint",
     )
     halves(
         spark,
@@ -578,8 +578,7 @@ def m1_stream(spark, sf):
 
 @query(
     "j1_gather_stream",
-    "SELECT event_id, CAST(event_id % 5 AS DOUBLE) AS x0, CAST(event_id % 3 AS DOUBLE) AS x1, 1 AS complete FROM events "
-    "WHERE floor(epoch(ts)) + 1 <= (SELECT epoch(max(ts)) - 30000 FROM events)",
+    "SELECT event_id, CAST(event_id % 5 AS DOUBLE) AS x0, CAST(event_id % 3 AS DOUBLE) AS x1, 1 AS complete FROM events",
 )
 def j1_stream(spark, sf):
     out = scratch_path(spark, "gathered")
@@ -596,7 +595,7 @@ def j1_stream(spark, sf):
         )
         drain(st.gather_stream(tagged, "ts", 2, by=["event_id"]), out, checkpoint)
 
-    halves(spark, events, "event_id", consume)
+    halves(spark, events, "event_id", consume, end_of_input(events, "ts", 1 + 30000))
     return spark.read.parquet(out).select(
         "event_id",
         F.col("features")[0].alias("x0"),

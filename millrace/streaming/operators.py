@@ -105,28 +105,32 @@ def running_sums(
     order: str,
     values: dict[str, Column],
     inclusive: bool = True,
+    kind: str = "double",
 ) -> Callable[[DataFrame, int], None]:
     """Handler that adds running sums over the whole stream so far. The state is
-    one row: the totals."""
+    one row: the totals, of type ``kind`` (``bigint`` keeps counts exact)."""
     names = list(values)
-    state = BatchState(spark, state_path, ", ".join(f"{n} double" for n in names))
+    state = BatchState(spark, state_path, ", ".join(f"{n} {kind}" for n in names))
+    zero = F.lit(0).cast(kind)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         start = state.before(batch_id).first()
-        base = [0.0 if start is None else start[n] for n in names]
+        base = [zero if start is None else F.lit(start[n]).cast(kind) for n in names]
+        batch = batch.persist()  # read by the scan's two passes and by the totals
         scanned = running(
-            batch, order, {n: State(values[n].cast("double")) for n in names}, inclusive=inclusive
+            batch, order, {n: State(values[n].cast(kind)) for n in names}, inclusive=inclusive
         )
         write_batch(
             scanned.withColumns({n: F.col(n) + b for n, b in zip(names, base)}), out, batch_id
         )
         totals = batch.agg(
             *[
-                (F.coalesce(F.sum(values[n].cast("double")), F.lit(0.0)) + b).alias(n)
+                (F.coalesce(F.sum(values[n].cast(kind)), zero) + b).alias(n)
                 for n, b in zip(names, base)
             ]
         )
         state.save(totals, batch_id)
+        batch.unpersist()
 
     return handle
 
@@ -136,7 +140,7 @@ def majority_stream(
 ) -> Callable[[DataFrame, int], None]:
     """Majority class over the whole stream so far, scored before learning."""
     counts = {f"c{c}": (F.col(label) == c).cast("bigint") for c in classes}
-    scan = running_sums(spark, f"{out}-counts", state_path, order, counts, inclusive=False)
+    scan = running_sums(spark, f"{out}-counts", state_path, order, counts, inclusive=False, kind="bigint")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         scan(batch, batch_id)

@@ -81,16 +81,30 @@ def write_named(batch: DataFrame, batch_id: int, path: str, tag: str = "tag") ->
     batch.write.mode("overwrite").partitionBy(tag).parquet(f"{path}/batch={batch_id}")
 
 
+def end_of_input(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """One row, null but for a time ``seconds`` after the last of ``df``. As the
+    last arrival of a stream it moves the watermark over every window that holds
+    a row, if ``seconds`` is the length of a window plus the allowed disorder.
+    Its own windows stay open, so it is in no result."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    end = df.agg((F.max(ts) + F.expr(f"INTERVAL {int(seconds)} SECONDS")).alias(ts))
+    return end.select(
+        *[(F.col(c) if c == ts else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
+    )
+
+
 def replay(
     spark: SparkSession,
     df: DataFrame,
     order: str,
     cuts: Sequence[int],
     consume: Callable[[DataFrame, str], None],
+    closing: DataFrame | None = None,
 ) -> None:
     """Feed a table to a stream in pieces that arrive one after the other.
     ``consume(stream, checkpoint)`` is called once per arrival with the same
-    checkpoint, so each piece is a micro-batch of one continuing query."""
+    checkpoint, so each piece is a micro-batch of one continuing query. Rows of
+    ``closing`` (see ``end_of_input``) arrive last."""
     folder, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "offsets")
     edges = [None, *cuts, None]
     for lo, hi in zip(edges, edges[1:]):
@@ -101,3 +115,6 @@ def replay(
             piece = piece.filter(F.col(order) < hi)
         piece.write.mode("append").parquet(folder)
         consume(spark.readStream.schema(df.schema).parquet(folder), checkpoint)
+    if closing is not None:
+        closing.write.mode("append").parquet(folder)
+        consume(spark.readStream.schema(df.schema).parquet(folder), checkpoint)

@@ -1,12 +1,13 @@
 """Empty tables, NULLs and keys seen once."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.learners import bayes, ensemble
 from millrace.learners.network import Network, train_in_rounds
 from millrace.learners.tree import TreeParams, prequential_hoeffding
 from millrace.operators import connect, metrics, windows
-from millrace.operators.order import fixed_block, number_by
+from millrace.operators.order import fixed_block, number_by, with_rank
 
 
 def empty(spark):
@@ -65,3 +66,11 @@ def test_keys_seen_once(spark):
     assert out.count() == 0
     once = metrics.warmup_accuracy(df, "seq", F.col("label") == 0, 1, ["k"])
     assert once.count() == 20 and {r["seen"] for r in once.collect()} == {1}
+
+
+@pytest.mark.parametrize("seqs", [[0, 1, 3], [0, 1, 1, 3], [1, 2, 3], [0, 1, None], [0, 0, 0]])
+def test_a_counter_with_gaps_is_not_taken_for_dense(spark, seqs):
+    rows = spark.createDataFrame([(s,) for s in seqs], "seq long")
+    with pytest.raises(ValueError, match="gapless"):
+        with_rank(rows, "seq", dense_from=0)
+    assert with_rank(rows.limit(0), "seq", dense_from=0).count() == 0

@@ -5,7 +5,7 @@ from millrace.operators import metrics, windows
 from millrace.runtime import scratch_path
 from millrace.sources import sinks, tables
 from millrace.streaming import operators as st
-from millrace.streaming.run import drain, drain_batches, replay, write_named
+from millrace.streaming.run import drain, drain_batches, end_of_input, replay, write_named
 
 
 def timed(spark, n=60):
@@ -99,3 +99,29 @@ def test_csv_stream_and_named_outputs(spark, tmp_path):
     drain_batches(marked, lambda b, i: write_named(b, i, out), scratch_path(spark, "ck"))
     back = spark.read.parquet(out)
     assert sinks.output(back, "main").count() == 30 and sinks.output(back, "odd").count() == 15
+
+
+def test_end_of_input_closes_every_window(spark):
+    df, out = timed(spark), scratch_path(spark, "closed")
+    aggs = [F.count("*").alias("n")]
+
+    def consume(stream, checkpoint):
+        drain(st.windowed(stream, "ts", "10 seconds", aggs, "4 seconds", "7 seconds"), out, checkpoint)
+
+    replay(spark, df, "seq", [20, 41], consume, end_of_input(df, "ts", 17))
+    got = {r["s"]: r["n"] for r in spark.read.parquet(out).selectExpr("unix_seconds(window.start) AS s", "n").collect()}
+    want: dict[int, int] = {}
+    for t in range(0, 120, 2):
+        for s in range(t // 4 * 4, t - 10, -4):
+            want[s] = want.get(s, 0) + 1
+    assert got == want
+    empty = end_of_input(df.limit(0), "ts", 17)
+    assert [r["ts"] for r in empty.collect()] == [None]
+
+
+def test_counts_of_a_stream_stay_whole(spark):
+    out, state = scratch_path(spark, "large"), scratch_path(spark, "large-state")
+    handle = st.running_sums(spark, out, state, "seq", {"total": F.lit(2**53 + 1)}, kind="bigint")
+    replay(spark, timed(spark, 4), "seq", [2], lambda stream, c: drain_batches(stream, handle, c))
+    got = sorted(r["total"] for r in spark.read.parquet(out).collect())
+    assert got == [k * (2**53 + 1) for k in (1, 2, 3, 4)]
