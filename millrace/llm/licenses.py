@@ -1,19 +1,23 @@
 """License scans as an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text; a template is a short license notice. A template
-is found where a block holds at least ``THRESHOLD`` of its distinct words.
-Template words are ordered by how often they occur in the whole corpus, rarest
-first. By the prefix filter a block can only reach the threshold if it holds
-one of a template's first (size - needed + 1) words; so only lines with such a
-word are looked at. A length filter (distinct words of the block) and a
-positional filter (words left after the common one, on either side) drop more;
-what stays is verified by counting common words. The templates are a fixed
-list, so their index goes to every task; the corpus is read twice, once for
-the word counts, and never shuffled.
+A block is a line of a text, or a window of consecutive words that may run
+over line ends, half as long again as the template (see ``width``); a template
+is a short license notice. A template is found where a block holds at least
+``THRESHOLD`` of its distinct words. Paragraphs are no blocks: a long text
+without blank lines would be one set of words, which holds short templates by
+chance. Template words are ordered by how often they occur in the whole corpus,
+rarest first. By the prefix filter a block can only reach the threshold if it
+holds one of a template's first (size - needed + 1) words; so only lines with
+such a word, and windows around one, are looked at. A length filter (distinct
+words of the block) and, in lines, a positional filter (words left after the
+common one, on either side) drop more; what stays is verified by counting
+common words. The templates are a fixed list, so their index goes to every
+task; the corpus is read twice, once for the word counts, and never shuffled.
 
 The base labels are exact phrases. Null text is an empty text, without words
 and labels, score 0. Repeated rows give repeated results, an empty table none.
-A very long line is one block."""
+A very long line is one block, and holds
+the windows in it."""
 
 from __future__ import annotations
 
@@ -63,6 +67,11 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(FOLD).split()
 
 
+def width(n_words: int) -> int:
+    """Words of a window: room for comment marks, versions, "the terms of"."""
+    return n_words + max(4, n_words // 2)
+
+
 class Index:
     """Templates with their words in corpus order, and prefixes by word."""
 
@@ -70,11 +79,13 @@ class Index:
         self.order = lambda w: (counts.get(w, 0), w)
         self.rank = {w: n for n, w in enumerate(sorted({w for _, t in templates for w in t.encode().split()}, key=self.order))}
         self.templates = []
+        self.widths = []
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for n, (label, text) in enumerate(templates):
             ordered = sorted(set(text.encode().split()), key=self.order)
             needed = max(1, math.ceil(threshold * len(ordered) - 1e-9))
             self.templates.append((label, ordered, frozenset(ordered), needed))
+            self.widths.append(width(len(text.split())))
             for at, word in enumerate(ordered[: len(ordered) - needed + 1]):
                 self.prefix.setdefault(word, []).append((n, at))
         self.first = frozenset(self.prefix)
@@ -105,6 +116,53 @@ class Index:
         return out
 
 
+    def windows(self, words: list[bytes], whole_text: set[bytes]) -> dict[int, float]:
+        """Templates found in windows of a text's words, with the share of their
+        words in the fullest window. Every template word is passed once."""
+        out: dict[int, float] = {}
+        places: dict[bytes, list[int]] | None = None
+        for n in {n for word in whole_text & self.first for n, _ in self.prefix[word]}:
+            _, ordered, whole, needed = self.templates[n]
+            if len(whole & whole_text) < needed:  # length filter on the text
+                continue
+            if places is None:
+                places = {}
+                for at, word in enumerate(words):
+                    if word in self.rank:
+                        places.setdefault(word, []).append(at)
+            reach = self.widths[n]
+            firsts = sorted(at for word in ordered[: len(ordered) - needed + 1] for at in places.get(word, ()))
+            best = self._fullest(words, firsts, whole, needed, reach)
+            if best >= needed:
+                out[n] = best / len(ordered)
+        return out
+
+    @staticmethod
+    def _fullest(words: list[bytes], firsts: list[int], whole: frozenset[bytes], needed: int, reach: int) -> int:
+        """Most distinct words of ``whole`` in ``reach`` words in a row that hold a prefix word."""
+        best, k = 0, 0
+        while k < len(firsts):
+            start, end = max(0, firsts[k] - reach + 1), firsts[k] + reach
+            k += 1
+            while k < len(firsts) and firsts[k] - reach < end:  # ranges that meet are one
+                end = firsts[k] + reach
+                k += 1
+            part = words[start:end]
+            if len(whole.intersection(part)) < needed:  # length filter on the range
+                continue
+            held: Counter = Counter()
+            for at, word in enumerate(part):
+                if at >= reach and part[at - reach] in whole:
+                    gone = part[at - reach]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                if word in whole:
+                    held[word] += 1
+                    best = max(best, len(held))
+        return best
+
+
 def word_counts(docs: DataFrame, templates=TEMPLATES) -> dict[bytes, int]:
     """Lines of the corpus that hold each template word: a table of fixed size."""
     wanted = frozenset(w for _, t in templates for w in t.encode().split())
@@ -140,8 +198,12 @@ def scan(text: str | None, index: Index) -> tuple:
     base = base_places(words) if words else []
     found: dict[int, float] = {}
     if not index.first.isdisjoint(words):
-        for line in text.encode().split(b"\n"):
-            for n, share in index.matches(set(line.translate(FOLD).split())).items():
+        lines = text.encode().split(b"\n")
+        blocks = [index.matches(set(line.translate(FOLD).split())) for line in lines]
+        if len(lines) > 1:  # else the line holds every window
+            blocks.append(index.windows(words, set(words)))
+        for block in blocks:
+            for n, share in block.items():
                 found[n] = max(share, found.get(n, 0.0))
     named = {label for _, label in base}
     labels = named | {index.templates[n][0] for n in found}

@@ -296,6 +296,38 @@ def test_licenses(spark):
     assert got[4].labels == "gpl" and got[5].labels == "cc-by,cc-by-nc"
 
 
+def test_wrapped_licenses():
+    import textwrap
+
+    index = licenses.Index({}, licenses.THRESHOLD)
+    for n, (label, notice) in enumerate(licenses.TEMPLATES):
+        for columns in (20, 40, 72):
+            for mark in ("", "// ", " * ", "# "):
+                lines = textwrap.wrap(f"copyright 2020 by someone {notice} 2 or later", columns)
+                text = "some words before\n\n" + "\n".join(mark + x for x in lines) + "\n\nand after"
+                _, _, _, _, _, labels, score = licenses.scan(text, index)
+                assert label in labels.split(",") and score == 1.0, (n, columns, mark)
+    assert licenses.scan("Licensed under the Apache\nLicense, Version 2.0", index)[4:] == ("apache", "apache", 1.0)
+    assert "lgpl" in licenses.scan("licensed under the gnu lesser general\npublic license version", index)[5].split(",")
+    far = "\n".join(f"{w} " + "other " * 30 for w in "released under the mit license".split())
+    assert licenses.scan(far, index)[5:] == ("", 0.0)
+
+
+def test_windows_against_every_window():
+    rng = np.random.default_rng(11)
+    names = [f"w{i}" for i in range(30)]
+    templates = tuple((f"t{n}", " ".join(rng.choice(names, 8))) for n in range(20))
+    index = licenses.Index({w.encode(): int(rng.integers(50)) for w in names}, 0.7, templates)
+    for _ in range(500):
+        text = [w.encode() for w in rng.choice([*names, *["other"] * 20], rng.integers(1, 120))]
+        want = {}
+        for n, (_, ordered, whole, needed) in enumerate(index.templates):
+            best = max(len(whole.intersection(text[k : k + index.widths[n]])) for k in range(len(text)))
+            if best >= needed:
+                want[n] = best / len(ordered)
+        assert index.windows(text, set(text)) == want
+
+
 def test_filters_lose_no_match():
     rng = np.random.default_rng(4)
     names = [f"w{i}" for i in range(30)]
