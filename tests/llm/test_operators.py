@@ -270,6 +270,51 @@ def test_field_keeps_labels_consistent(spark):
     assert private.mask_private(docs, flat).collect()[0].text == "mail [EMAIL] now"
 
 
+def weak_phone_field(share):
+    """Fitted weights under which a bare 555-1000 is a phone by ``share``."""
+    texts = [f"Call +1 (523) 555-{n} at once. Later call +1 (523) 555-{n} again." for n in range(1000, 1030)]
+    texts += [f"Order {n} came, order {n} went." for n in range(20000, 20400)]
+    tokens = private.Tokens()
+    for n, t in enumerate(texts):
+        tokens.add(n, t, private.base_spans(t))
+    flat = private.fit(tokens)
+    weights = flat[: private.FEATURES * 5].reshape(private.FEATURES, 5)
+    bare = private.Tokens()
+    bare.add(0, "so 555-1000 so", [])
+    own = bare.features()[0]
+    weights[own] = 0, -1, -1, -1, np.log(share / (1 - share)) / len(own)
+    return flat
+
+
+def test_field_reaches_every_repeat():
+    flat = weak_phone_field(0.1)
+    text = "Call +1 (523) 555-1000 now. " + "Then dial 555-1000 if so. " * 50
+    (base, spans), = private.spans_of([text], flat)
+    assert len(base) == 1 and len(spans) == 51 and private.masked(text, spans).count("[PHONE]") == 51
+
+
+def test_messages_give_exact_marginals_on_trees():
+    from itertools import product
+
+    flat = weak_phone_field(0.1)
+    text = "+1 (523) 555-1000 or 555-1000 so 555-1000 so 20001 20002 too"
+    tokens = private.Tokens()
+    tokens.add(0, text, private.base_spans(text))
+    weights, pairs = flat[: private.FEATURES * 5].reshape(-1, 5), flat[private.FEATURES * 5 :].reshape(2, 5, 5)
+    own = private.softmax(weights[tokens.features()].sum(axis=1)) + 1e-12
+    label = np.array(tokens.label)
+    own[label > 0] = np.exp(-60.0)
+    own[label > 0, label[label > 0]] = 1
+    free, want = np.flatnonzero(label == 0), np.zeros_like(own)
+    for some in product(range(5), repeat=len(free)):
+        y = label.copy()
+        y[free] = some
+        p = np.prod(own[range(len(y)), y]) * np.exp(sum(pairs[k][y[a], y[b]] for a, b, k in tokens.edges))
+        want[range(len(y)), y] += p
+    assert {k for _, _, k in tokens.edges} == {0, 1}
+    assert np.allclose(private.marginals(tokens, flat), want / want.sum(axis=1, keepdims=True), atol=1e-9)
+
+
 def test_bpe(spark, docs):
     import tiktoken
 
