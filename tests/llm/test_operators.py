@@ -417,6 +417,27 @@ def test_quality(spark, docs):
     assert not (got["base_failed"] & got["kept"]).any()
 
 
+def test_every_ratio_rejects_in_a_clean_source(spark):
+    rng = np.random.default_rng(12)
+    new = lambda n: ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[k : k + 4]) for k in range(0, len(w), 4))
+    clean = [lines(new(100)) for _ in range(400)]
+    once = new(8)
+    odd = {
+        "repeated": lines(new(40) + once + new(40) + new(1) + once + new(3)),  # 16 of 100 words
+        "copied_lines": "\n".join(once + once[::-1]),  # 8 of 16 lines, no five words in a row twice
+        "symbols": lines([w + "#" * (n < 30) for n, w in enumerate(new(100))]),
+        "word_length": lines([w * 2 for w in new(100)]),
+        "capitals": lines([w.upper() if n < 40 else w for n, w in enumerate(new(100))]),
+    }
+    rows = [(n, t, "en", "a") for n, t in enumerate([*clean, *odd.values()])]
+    got = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).toPandas()
+    got = got.set_index("doc_id")
+    assert got.loc[: len(clean) - 1, "kept"].all() and not got["base_failed"].any()
+    for n, name in enumerate(odd, len(clean)):
+        assert not got.loc[n, "kept"], name
+
+
 def test_sketch_quantiles(spark):
     rng = np.random.default_rng(6)
     values = np.exp(rng.normal(size=4000))
