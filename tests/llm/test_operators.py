@@ -229,6 +229,23 @@ def test_recall_of_the_query(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_recall_at_the_full_number_of_ranges(spark):
+    from pyspark.sql import functions as F
+
+    n = 6000
+    assert n // neighbours.LEAST_RANGE > neighbours.RANGES
+    x = np.random.default_rng(13).normal(size=(n, 64))
+    table = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "vector": x.tolist()}), "id long, vector array<double>")
+    got = neighbours.nearest(table, F.col("id") % 50 == 0).toPandas()
+    unit, hits = x / np.linalg.norm(x, axis=1, keepdims=True), []
+    for q in range(0, n, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        hits.append(len(set(np.argsort(-score)[:5]) & set(got[got.query_id == q]["id"])) / 5)
+    print("recall", np.mean(hits))
+    assert np.mean(hits) >= 0.9
+
+
 def brute_spans(text):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
