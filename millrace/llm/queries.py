@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, licenses, neighbours, ordinal, packing, private, quality, sharding, simhash, substrings
+from millrace.llm import (
+    bpe, licenses, neighbours, ordinal, packing, periods, pieces, private, quality, ranked, sharding, simhash, substrings,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,6 +90,21 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op11_ranked(spark, sf_dir):
+    return ranked.search_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+
+
+@query
+def op12_pieces(spark, sf_dir):
+    return pieces.encode_pieces(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op13_periods(spark, sf_dir):
+    return periods.periodic_runs(documents(spark, sf_dir), periods.recur)
+
+
 ORACLE["op2_substrings"] = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -180,3 +197,32 @@ FROM marked m LEFT JOIN chosen c ON {same.format("m", "c")}
 
 
 ORACLE["op8_quality"] = _quality_sql()
+
+
+ORACLE["op11_ranked"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), sized AS (
+  SELECT r, doc_id, len(ws) AS n FROM texts WHERE len(ws) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized
+), counted AS (
+  SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM texts) GROUP BY r, w
+), weighted AS (
+  SELECT w, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counted, totals GROUP BY w, docs
+), items AS (
+  SELECT row_number() OVER () AS j, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ws FROM benchmark
+), asked AS (
+  SELECT j, item_id, unnest(ws) AS w FROM items
+), scored AS (
+  SELECT j, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weighted USING (w) JOIN counted USING (w) JOIN sized USING (r), totals GROUP BY j, item_id, r, doc_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
