@@ -27,6 +27,7 @@ import hashlib
 import re
 import warnings
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -116,20 +117,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+#: Signs of a token's shape that are told as they are.
+LONG_SHAPE = 64
+
+
 def shape(word: str) -> str:
-    """Digits as 9 (runs longer than 6 as 9+), runs of letters as a."""
-    out, n, last = [], 0, ""
-    for c in word[:64] + "\0":
-        kind = "9" if "0" <= c <= "9" else "a" if c.isalpha() else c
-        if kind == last and kind in "9a":
-            n += 1
-            continue
-        if last == "9":
-            out.append("9" * n if n <= 6 else "9+")
-        elif last:
-            out.append(last)
-        last, n = kind, 1
-    return "".join(out)
+    """Digits as 9 and other signs as they are, runs longer than 6 as the sign and
+    +, runs of letters as a; of the whole token. A long shape ends in its hash."""
+    out = []
+    for kind, run in groupby(word, lambda c: "9" if "0" <= c <= "9" else "a" if c.isalpha() else c):
+        n = sum(1 for _ in run)
+        out.append("a" if kind == "a" else kind * n if n <= 6 else kind + "+")
+    told = "".join(out)
+    return told if len(told) <= LONG_SHAPE else f"{told[:LONG_SHAPE]}#{zlib.crc32(told.encode('utf-8', 'replace'))}"
 
 
 def likeness(word: str) -> str:
