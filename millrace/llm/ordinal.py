@@ -51,7 +51,7 @@ def word_features(word: str) -> tuple[int, int]:
     if letters == word:
         form = "A" if word.isupper() and len(word) > 1 else "a"
     else:
-        form = LETTERS.sub(lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word[:40])
+        form = LETTERS.sub(lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
     return bucket("w" + letters.lower()), bucket("s" + form)
 
 
@@ -139,7 +139,9 @@ def fit_on(docs: DataFrame, ratings: DataFrame, levels: int = GRADES, sample_doc
         share = int(sample_docs / n * 2**62)
         ratings = ratings.where(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("rated")), 2) < share)
     ratings = ratings.limit(2 * sample_docs)  # so the broadcast is bounded
-    rated = docs.select("doc_id", "text").join(F.broadcast(ratings), "doc_id")
+    rated = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ratings), "doc_id")
+    # one row for each document number: repeated rows do not make the fit larger
+    rated = rated.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade"))
 
     def train(batches):
         features, rows, grades = Features(), [], []
