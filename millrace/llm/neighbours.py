@@ -16,7 +16,7 @@ recall of 0.9. Where there is structure, more ``ranges`` cost less.
 
 Vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, nor do null ids. Repeated ids count once,
-and are no candidates of themselves. Ties go to the smaller id. With fewer
+with the first of their vectors in the order of arrays, and are no candidates of themselves. Ties go to the smaller id. With fewer
 candidates than asked for, all come back; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -92,11 +92,15 @@ def curve_keys(vectors: np.ndarray, planes, shifts, bits: int = BITS) -> np.ndar
 def usable(vectors: DataFrame) -> DataFrame:
     good = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
-    return vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & good & some).dropDuplicates(["id"])
+    good = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & good & some)
+    return good.groupBy("id").agg(F.min("vector").alias("vector"))
 
 
 def stacked(column: pd.Series) -> np.ndarray:
-    return np.array(column.to_list(), "f8")
+    """Vectors, each scaled by a power of two so that squares neither overflow
+    nor vanish: no digit and no cosine changes by that."""
+    rows = np.array(column.to_list(), "f8")
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
 def best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
