@@ -16,8 +16,9 @@ task; the corpus is read twice, once for the word counts, and never shuffled.
 
 The base labels are exact phrases. Null text is an empty text, without words
 and labels, score 0. Repeated rows give repeated results, an empty table none.
-A very long line is one block, and holds
-the windows in it."""
+A line longer than a template's
+windows is no block for it but is looked through in windows like the rest, so
+line breaks do not change what is found."""
 
 from __future__ import annotations
 
@@ -89,9 +90,11 @@ class Index:
             for at, word in enumerate(ordered[: len(ordered) - needed + 1]):
                 self.prefix.setdefault(word, []).append((n, at))
         self.first = frozenset(self.prefix)
+        self.least_width = min(self.widths, default=0)
 
-    def matches(self, block: set[bytes]) -> dict[int, float]:
-        """Templates found in a block, with the share of their words."""
+    def matches(self, block: set[bytes], n_words: int = 0) -> dict[int, float]:
+        """Templates found in a block of so many words, with the share of their
+        words. Of a block longer than a template's windows only those count."""
         met = block & self.first
         if not met:
             return {}
@@ -105,6 +108,8 @@ class Index:
                 if n in tried:
                     continue
                 tried.add(n)  # the first common prefix word decides
+                if n_words > self.widths[n]:
+                    continue
                 _, ordered, whole, needed = self.templates[n]
                 if len(known) < needed:  # length filter
                     continue
@@ -131,7 +136,14 @@ class Index:
                     if word in self.rank:
                         places.setdefault(word, []).append(at)
             reach = self.widths[n]
-            firsts = sorted(at for word in ordered[: len(ordered) - needed + 1] for at in places.get(word, ()))
+            met = [self.rank[word] for word in ordered if word in places]
+            prefix = [
+                word
+                for at, word in enumerate(ordered[: len(ordered) - needed + 1])
+                # positional filter on the text: template words from this one on
+                if word in places and sum(r >= self.rank[word] for r in met) >= needed
+            ]
+            firsts = sorted(at for word in prefix for at in places[word])
             best = self._fullest(words, firsts, whole, needed, reach)
             if best >= needed:
                 out[n] = best / len(ordered)
@@ -199,8 +211,11 @@ def scan(text: str | None, index: Index) -> tuple:
     found: dict[int, float] = {}
     if not index.first.isdisjoint(words):
         lines = text.encode().split(b"\n")
-        blocks = [index.matches(set(line.translate(FOLD).split())) for line in lines]
-        if len(lines) > 1:  # else the line holds every window
+        blocks = []
+        for line in lines:
+            own = line.translate(FOLD).split()
+            blocks.append(index.matches(set(own), len(own)))
+        if len(lines) > 1 or len(words) > index.least_width:  # else the line holds every window
             blocks.append(index.windows(words, set(words)))
         for block in blocks:
             for n, share in block.items():
