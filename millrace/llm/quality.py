@@ -10,7 +10,9 @@ takes its language's cutoffs, or the whole corpus's. Cutoffs are joined to the
 documents and those beyond one are rejected.
 
 Null text has no words. Null language and source are groups of their own.
-Repeated rows count as often as they come. An empty table gives an empty one."""
+Repeated rows count as often as they come. An empty table gives an empty one.
+Very long texts are counted whole. Other columns travel under names of their own;
+those that have the name of a result are replaced by it."""
 
 from __future__ import annotations
 
@@ -175,9 +177,19 @@ def judged(counted: DataFrame, reach: float = REACH, least: int = LEAST_DOCS) ->
 def quality_rules(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """``docs`` with their counts, base_failed and kept; text only if asked for.
     Columns lang and source are taken as null where ``docs`` has none."""
-    for c in ("lang", "source"):
-        if c not in docs.columns:
-            docs = docs.withColumn(c, F.lit(None).cast("string"))
-    counted = with_counts(docs)
+    docs = docs.drop(*COUNTS, "n_lines", "n_capitals", "base_failed", "kept")
+    others = [c for c in docs.columns if c not in ("text", "lang", "source")]
+    carried = [f"_c{k}" for k in range(len(others))]
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(own) for c, own in zip(others, carried)],
+        "text",
+        *[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")],
+    )
+    counted = with_counts(rows)
     counted = counted if keep_text else counted.drop("text")
-    return judged(materialise(counted, "counts"))
+    out = judged(materialise(counted, "counts"))
+    told = dict(zip(carried, others))
+    order = [c for c in docs.columns if keep_text or c != "text"]
+    order += [c for c in out.columns if c not in told and c not in order]
+    held = {name: own for own, name in told.items()}
+    return out.select(*[F.col(held.get(c, c)).alias(c) for c in order])
