@@ -256,7 +256,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
     fields = [f for f in docs.schema.fields if f.name != "text"]
     carried = [f"_c{k}" for k in range(len(fields))]
     keyed = docs.select(*[F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, carried)], "text")
-    keyed = keyed.withColumn("_batch", F.pmod(F.xxhash64(*carried[:1], F.length("text")), F.lit(batches)))
+    keyed = keyed.withColumn("_batch", F.pmod(F.xxhash64(*carried[:1], "text"), F.lit(batches)))
 
     def anchors(frames):
         texts = Texts(length)
