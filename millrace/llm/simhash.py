@@ -65,15 +65,16 @@ def HASH(xxhash):
     return lambda x: digest(x, SEED)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: str | None = None) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long; and ``carry``, a long."""
+    kept = ["doc_id"] + [carry] * bool(carry)
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint((t or "").encode().translate(LOWER).split(), shingle) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": np.array(fps, "u8").view("i8")})
+            yield pd.DataFrame({**{c: batch[c].astype("Int64") for c in kept}, "fp": np.array(fps, "u8").view("i8")})
 
-    return map_exact(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return map_exact(docs.select(*kept, "text"), run, "".join(f"{c} long, " for c in kept) + "fp long")
 
 
 def half(fp: Column, which: Column) -> Column:
@@ -195,16 +196,19 @@ def links(fps: DataFrame, heavy: int = HEAVY) -> DataFrame:
     return rows.groupBy("bucket").applyInPandas(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, carry: str | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id
-    reachable by links, the row's own included)."""
-    prints = materialise(fingerprints(docs, shingle), "fingerprints")
+    reachable by links, the row's own included). With ``carry``, a long column of
+    ``docs``, also that and ``root``, a fingerprint that names the component, also
+    where no document of it has a doc_id."""
+    prints = materialise(fingerprints(docs, shingle, carry), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("_n"))
     classes = materialise(classes, "classes")
     tree = components(links(classes.select("fp")), "stars")
     rooted = classes.join(tree, classes["fp"] == tree["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(rooted.select("fp", "root", "_n").join(least, "root").select("fp", "component_id", "_n"), "named")
+    named = materialise(rooted.select("fp", "root", "_n").join(least, "root").select("fp", "root", "component_id", "_n"), "named")
     total = named.agg(F.sum("_n")).first()[0] or 0
     out = join_counted(prints, named, "fp", "_n", total)
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return out.select("doc_id", digits, "component_id", *([carry, "root"] if carry else []))
