@@ -2,15 +2,18 @@
 
 Documents of equal text are linked. All documents start on the shard that a
 hash gives them. In every round each group of linked documents looks where most
-of its members are, among the shards that still have room; its other members
-ask to move there. A shard admits at most what its quota leaves, by a hash of
-the group, so that groups move as a whole; a group larger than a shard fills
-one shard after another. Rounds end when nothing moves. Documents without a
+of its members are, in every other round among the shards that still have room;
+its other members ask to move there. A shard admits at most what its quota and
+those that leave it make free, by a hash of the group, so that groups move as a
+whole; a group larger than a shard fills one shard after another. Rounds end when
+next to nothing moves (``SETTLED``). Documents without a
 link cut nothing wherever they are: at the end they, and what a shard has
 beyond its quota, fill all shards so that row counts are at most one apart.
 
 Rounds keep one row per group and shard; documents are read again at the end
-only. No task holds a shard or a group: see ``numbered``.
+only. No task holds a shard or a group: see ``numbered``. Of shards with as many members
+a hash of group and shard decides. Very long texts count with all their bytes; only
+doc_id and text are read, so other columns may have any name.
 
 Null text is an empty text (size 1), linked to other empty ones. Repeated rows
 are documents of their own. Fewer documents than shards leave shards empty; an
@@ -18,6 +21,9 @@ empty table gives an empty result."""
 
 from __future__ import annotations
 
+from itertools import count
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +31,8 @@ from millrace.llm.common import numbered
 from millrace.runtime import materialise
 
 SHARDS = 16
-ROUNDS = 12
+#: Rounds end when no more than this share of the linked documents moves.
+SETTLED = 1 / 1000
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -40,44 +47,66 @@ def described(docs: DataFrame) -> DataFrame:
     )
 
 
-def propagate(cells: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
+def admitted(wanted: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Of the moves ``wanted`` from shard i to shard j, the share for which there is
+    room once those that leave j are gone: arrivals of a shard that would overflow
+    are scaled down until none does. At most shards x shards numbers."""
+    flow = wanted.astype(float)
+    while True:
+        arrive, leave = flow.sum(axis=0), flow.sum(axis=1)
+        fits = np.divide(room + leave, arrive, out=np.ones(len(room)), where=arrive > 0)
+        if (fits > 1 - 1e-6).all():
+            return np.divide(flow, wanted, out=np.zeros_like(flow), where=wanted > 0)
+        flow *= np.minimum(fits, 1)
+        flow[flow < 1e-3] = 0
+
+
+def propagate(cells: DataFrame, capacity: int, shards: int) -> DataFrame:
     """``cells`` (group, group_two, home, shard, n): how many members of a group
     that started at ``home`` are on ``shard``. Moves whole cells or parts of
-    them; returns cells after the last round."""
-    group, idle = ["group", "group_two"], 0
-    for turn in range(rounds):
+    them. Members ask for the fullest shard of their group, in every other round
+    for the fullest one that has room, and only for a fuller one than their own (of
+    equals, by a hash), so the squares of members grow with every move and rounds
+    come to an end: after two in a row in which less than ``SETTLED`` of all moved."""
+    group, quiet = ["group", "group_two"], 0
+    linked = cells.agg(F.sum("n")).first()[0] or 0
+    place = F.struct("n", F.xxhash64(*group, "shard").alias("h"), "shard")
+    for turn in count():
         load = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # <= shards rows
-        room = [max(0, capacity - load.get(s, 0)) for s in range(shards)]
-        open_ = F.array(*[F.lit(x) for x in room])
+        room = np.array([max(0, capacity - load.get(s, 0)) for s in range(shards)])
+        open_ = F.array(*[F.lit(bool(r)) for r in room])
         held = cells.groupBy(*group, "shard").agg(F.sum("n").alias("n"))
-        # the fullest shard of a group that has room; it may be the one where members are
         best = held.groupBy(*group).agg(
-            F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("most"),
-            F.max(F.when(F.get(open_, F.col("shard")) > 0, F.struct("n", (-F.col("shard")).alias("s")))).alias("open"),
+            F.max(place).alias("most"), F.max(F.when(F.get(open_, F.col("shard")), place)).alias("open")
         )
-        asked = cells.join(best, group).withColumns({"most": -F.col("most.s"), "to": -F.col("open.s")})
-        # members of the fullest shard stay
-        asked = asked.withColumn("asks", F.coalesce((F.col("to") != F.col("shard")) & (F.col("most") != F.col("shard")), F.lit(False)))
+        target = F.col("most") if turn % 2 == 0 else F.col("open")
+        own = F.sum("n").over(Window.partitionBy(*group, "shard"))  # at most one row a home
+        asked = cells.withColumn("_own", own).join(best, group)
+        mine = F.struct(F.col("_own").alias("n"), F.xxhash64(*group, "shard").alias("h"), F.col("shard"))
+        asked = asked.withColumns({"to": target["shard"], "asks": F.coalesce(target > mine, F.lit(False))})
         asked = materialise(asked.select(*cells.columns, "to", "asks"), "asked")
-        wanted = {r["to"]: r["n"] for r in asked.where("asks").groupBy("to").agg(F.sum("n").alias("n")).collect()}
-        if not wanted:
-            break
-        # of each request the share for which there is room; small groups move whole
-        share = F.array(*[F.lit(min(1.0, room[s] / wanted[s]) if wanted.get(s) else 0.0) for s in range(shards)])
-        part = F.get(share, F.col("to"))
-        luck = F.pmod(F.shiftrightunsigned(F.xxhash64("group", F.lit(turn)), 11), F.lit(1_000_000)) / 1e6
-        large = F.lit(max(16, capacity // 100))
-        some = F.floor(F.col("n") * part + luck)  # rounded up or down by the same hash
-        whole = F.when(luck < part, F.col("n")).otherwise(0)
-        moving = F.when(~F.col("asks"), 0).when(F.col("n") > large, F.least(some, F.col("n"))).otherwise(whole)
-        moved = asked.withColumn("m", moving.cast("long"))
-        gone = moved.where("m > 0").select(*group, "home", F.col("to").alias("shard"), F.col("m").alias("n"))
-        stay = moved.where("n > m").select(*group, "home", "shard", (F.col("n") - F.col("m")).alias("n"))
-        cells = materialise(stay.unionByName(gone).groupBy(*group, "home", "shard").agg(F.sum("n").alias("n")), "cells")
-        idle = idle + 1 if gone.isEmpty() else 0
-        if idle == 2:
-            break
-    return cells
+        wanted = np.zeros((shards, shards))
+        for r in asked.where("asks").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():  # <= shards^2 rows
+            wanted[r["shard"], r["to"]] = r["n"]
+        moved = 0
+        if wanted.any():
+            share = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in admitted(wanted, room)])
+            part = F.get(F.get(share, F.col("shard")), F.col("to"))
+            # of each request the share for which there is room; small groups move whole
+            luck = F.pmod(F.shiftrightunsigned(F.xxhash64("group", F.lit(turn)), 11), F.lit(1_000_000)) / 1e6
+            large = F.lit(max(16, capacity // 100))
+            some = F.floor(F.col("n") * part + luck)  # rounded up or down by the same hash
+            whole = F.when(luck < part, F.col("n")).otherwise(0)
+            moving = F.when(~F.col("asks"), 0).when(F.col("n") > large, F.least(some, F.col("n"))).otherwise(whole)
+            step = asked.withColumn("m", moving.cast("long"))
+            gone = step.where("m > 0").select(*group, "home", F.col("to").alias("shard"), F.col("m").alias("n"))
+            stay = step.where("n > m").select(*group, "home", "shard", (F.col("n") - F.col("m")).alias("n"))
+            moved = gone.agg(F.sum("n")).first()[0] or 0
+            if moved:
+                cells = materialise(stay.unionByName(gone).groupBy(*group, "home", "shard").agg(F.sum("n").alias("n")), "cells")
+        quiet = quiet + 1 if moved <= SETTLED * linked else 0
+        if quiet == 2:
+            return cells
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
