@@ -31,11 +31,18 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, total:
     return with_hot.unionByName(without)
 
 
+#: Outer blocks of a group whose totals are summed up in one task.
+SUPER = 4096
+
+
 def numbered(rows: DataFrame, group: list[str], order: Column, tie: Column, per_block: int = 50_000) -> DataFrame:
     """Adds ``number``, gapless from 0 in each ``group``. ``order`` and ``tie``
-    are 64-bit hashes: rows are cut into blocks by the top bits of ``order``,
-    then of ``tie``, so that neither a large group nor one value of ``order``
-    makes a large task; only block totals meet in one window per group."""
+    are 64-bit hashes: rows are cut into blocks by bits of ``order``, then of
+    ``tie``; a block that is still larger than ``per_block`` (one value of
+    ``order`` with very many rows) is cut by as many values of other bits of ``tie``
+    as its counted size asks for. So no task is larger than a few blocks. Block
+    totals are summed up in two levels and meet their rows by the partitioning
+    that the numbering needs anyway, without a broadcast."""
     total = rows.count()
     cuts = max(1, total // per_block)
     rows = rows.withColumns(
@@ -47,17 +54,28 @@ def numbered(rows: DataFrame, group: list[str], order: Column, tie: Column, per_
         }
     )
     block = [*group, "_outer", "_inner"]
-    sizes = rows.groupBy(*block).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_outer", "_inner")
-    starts = sizes.select(
-        *block, (F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_start")
-    )
+    counted = rows.groupBy(*block).agg(F.count("*").alias("_n"))
+    if cuts > 64:  # else 64 inner blocks of one value of ``order`` are small enough
+        deep = materialise(counted.where(F.col("_n") > per_block).select(*block, F.expr(f"_n div {per_block} + 1").alias("_cuts")), "deep")
+        if not deep.isEmpty():
+            rows = rows.join(deep.hint("merge"), block, "left")
+            rows = rows.withColumn("_deep", F.pmod(F.shiftrightunsigned(F.xxhash64("_tie"), 8), F.coalesce("_cuts", F.lit(1)))).drop("_cuts")
+            block = [*block, "_deep"]
+            counted = rows.groupBy(*block).agg(F.count("*").alias("_n"))
+    sizes = counted.withColumn("_super", F.expr(f"_outer div {SUPER}"))
+    level = [*group, "_super"]
+    supers = sizes.groupBy(*level).agg(F.sum("_n").alias("_all"))
+    earlier = Window.partitionBy(*group).orderBy("_super").rowsBetween(Window.unboundedPreceding, 0)
+    supers = supers.select(*level, (F.sum("_all").over(earlier) - F.col("_all")).alias("_base"))
+    before = Window.partitionBy(*level).orderBy(*block[len(group) :]).rowsBetween(Window.unboundedPreceding, 0)
+    starts = sizes.withColumn("_upto", F.sum("_n").over(before)).join(supers.hint("merge"), level)
+    starts = starts.select(*block, (F.col("_base") + F.col("_upto") - F.col("_n")).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(*block).orderBy("_order", "_tie"))
     return (
         rows.withColumn("_at", inside)
-        .join(starts, block)
+        .join(starts.hint("merge"), block)
         .withColumn("number", F.col("_start") + F.col("_at") - 1)
-        .drop("_outer", "_inner", "_order", "_tie", "_start", "_at")
+        .drop(*block[len(group) :], "_order", "_tie", "_start", "_at")
     )
 
 
