@@ -36,13 +36,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @own_names
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each SimHash component; of
-    repeated rows with that doc_id, all that are equal in text collapse to one.
-    Documents without a doc_id have no number to be told by, and stay."""
-    found = simhash.near_duplicates(docs)
-    stays = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One row of each SimHash component: the one with the smallest doc_id, null
+    last; of rows that share that too, the first as stored. Rows of one doc_id whose
+    texts are in different components all stay, each for its own."""
+    # the rows are told apart by a number that is stored beside their texts
+    rows = materialise(docs.withColumn("row_", F.monotonically_increasing_id()), "numbered")
+    found = simhash.near_duplicates(rows, carry="row_")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_"))
+    stays = found.groupBy("root").agg(first.alias("first")).select(F.col("first.row_").alias("row_"))
+    return rows.join(stays, "row_", "left_semi").select(*docs.columns)
 
 
 @own_names
