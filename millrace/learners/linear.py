@@ -4,14 +4,18 @@ parallel over blocks.
 The update ``w += lr * (y - x.w) * x`` is affine in ``w``. A chunk of rows with
 matrix X therefore acts as one affine map: with the unit lower triangle
 ``L = I + lr * tril(X X', -1)`` the errors of the whole chunk are
-``e = L^-1 (y - X w0)`` and ``w1 = w0 + lr * X' e``. Blocks become pairs (A, b),
-the pairs are composed over super-blocks, and every block is then replayed from
-its true start weights. Three levels, nothing passes through the driver.
+``e = L^-1 (y - X w0)`` and ``w1 = w0 + lr * X' e``. Blocks become pairs (A, b).
+Pairs are composed as a tree whose fan-out follows from the size of a pair, so that
+no task holds more than ``MAP_BYTES`` of them; start weights go down the same tree,
+and every block is replayed from its own. A key whose rows are in one block starts
+from the first weights and needs no pair. Nothing passes through the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -22,12 +26,18 @@ from millrace.operators.grouped import map_sorted_groups
 from millrace.runtime import materialise
 
 BLOCK_ROWS = 1 << 13
-# With 64 features a composed map is 34 KB: a super-block of maps is 140 MB, and
-# 10^11 rows leave 3000 of them for the last step.
-BLOCKS_PER_SUPER = 1 << 12
+# Pairs that one task composes: 2000 of 64 features, 450 of 135.
+MAP_BYTES = 1 << 26
+MAX_FAN_OUT = 1 << 12
 _CHUNK = 64
 
 
+def fan_out(width: int, outputs: int) -> int:
+    """Pairs of one node of the tree."""
+    size = width + 1
+    return max(2, min(MAX_FAN_OUT, MAP_BYTES // (8 * size * (size + outputs))))
+
+
 def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     x = np.array(pdf["_x"].tolist(), dtype=np.float64)
     y = np.array(pdf["_y"].tolist(), dtype=np.float64)
@@ -55,11 +65,12 @@ def linear_scan(
     keep: Sequence[str] = (),
     init: float = 0.1,
     block_rows: int = BLOCK_ROWS,
-    blocks_per_super: int = BLOCKS_PER_SUPER,
+    blocks_per_super: int | None = None,
 ) -> DataFrame:
     """Prediction for each row before it trains on it. ``rank`` is the position
     per key; the bias is one more weight; every weight starts at ``init``."""
     keys, keep = list(keys), list(keep)
+    fan = blocks_per_super or fan_out(width, outputs)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_ddl = "".join(f"{k} {fields[k]}, " for k in keys)
     size = width + 1
@@ -68,13 +79,15 @@ def linear_scan(
         *passed,
         F.col(features).cast("array<double>").alias("_x"),
         F.col(targets).cast("array<double>").alias("_y"),
-        F.expr(f"`{rank}` div {int(block_rows)}").alias("_block"),
-        F.expr(f"`{rank}` div {int(block_rows) * int(blocks_per_super)}").alias("_super"),
+        F.expr(f"`{rank}` div {int(block_rows)}").alias("_node"),
     )
     map_ddl = "_a array<double>, _b array<double>"
 
+    def told(heads: pd.DataFrame, **columns: list) -> pd.DataFrame:
+        return heads.assign(**{c: pd.Series(v, dtype=object) for c, v in columns.items()})
+
     def as_maps(groups: list[pd.DataFrame]) -> pd.DataFrame:
-        # every block has a map, also one with gaps or the last: see block_starts
+        # every block has a map, also one with gaps or the last: see starts
         made = []
         for pdf in groups:
             a, b = np.eye(size), np.zeros((size, outputs))
@@ -83,43 +96,35 @@ def linear_scan(
                 a -= lr * x.T @ (solved[:, :size] @ a)
                 b += lr * x.T @ (solved[:, size:] - solved[:, :size] @ b)
             made.append((a.ravel(), b.ravel()))
-        heads = [g[[*keys, "_super", "_block"]].iloc[:1] for g in groups]
-        out = pd.concat(heads, ignore_index=True)
-        return out.assign(
-            _a=pd.Series([m[0] for m in made], dtype=object),
-            _b=pd.Series([m[1] for m in made], dtype=object),
-        )
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = np.eye(size), np.zeros((size, outputs))
-        pdf = pdf.sort_values("_block")
-        for ra, rb in zip(pdf["_a"], pdf["_b"]):
-            m = np.asarray(ra).reshape(size, size)
-            a, b = m @ a, m @ b + np.asarray(rb).reshape(size, outputs)
-        head = pdf[[*keys, "_super"]].iloc[:1].reset_index(drop=True)
-        return head.assign(_a=[a.ravel()], _b=[b.ravel()])
-
-    def after(ra, rb, w: np.ndarray) -> np.ndarray:
-        return np.asarray(ra).reshape(size, size) @ w + np.asarray(rb).reshape(size, outputs)
-
-    def super_starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Weights at the start of every super-block."""
-        w, found = np.full((size, outputs), init), []
-        pdf = pdf.sort_values("_super")
-        for ra, rb in zip(pdf["_a"], pdf["_b"]):
-            found.append(w.ravel())
-            w = after(ra, rb, w)
-        return pdf.drop(columns=["_a", "_b"]).assign(_w=found)
-
-    def block_starts(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Weights at the start of every block, carried over by order, so that
-        missing positions and whole missing blocks do not matter."""
-        w, found = np.asarray(right["_w"].iloc[0]).reshape(size, outputs), []
-        left = left.sort_values("_block")
-        for ra, rb in zip(left["_a"], left["_b"]):
-            found.append(w.ravel())
-            w = after(ra, rb, w)
-        return left.drop(columns=["_a", "_b"]).assign(_w=found)
+        heads = pd.concat([g[[*keys, "_node"]].iloc[:1] for g in groups], ignore_index=True)
+        return told(heads, _a=[m[0] for m in made], _b=[m[1] for m in made])
+
+    def compose(groups: list[pd.DataFrame]) -> pd.DataFrame:
+        made = []
+        for pdf in groups:
+            a, b = np.eye(size), np.zeros((size, outputs))
+            for ra, rb in zip(pdf["_a"], pdf["_b"]):
+                m = np.asarray(ra).reshape(size, size)
+                a, b = m @ a, m @ b + np.asarray(rb).reshape(size, outputs)
+            made.append((a.ravel(), b.ravel()))
+        heads = pd.concat([g[[*keys, "_parent"]].iloc[:1] for g in groups], ignore_index=True)
+        heads = heads.rename(columns={"_parent": "_node"})
+        return told(heads, _a=[m[0] for m in made], _b=[m[1] for m in made])
+
+    def starts(groups: list[pd.DataFrame]) -> pd.DataFrame:
+        """Weights at the start of every node, carried over by order from those of
+        its parent, so that missing positions and whole missing nodes do not matter."""
+        heads, found = [], []
+        for pdf in groups:
+            w = np.full((size, outputs), init)
+            if pdf["_w"].iloc[0] is not None:  # the parent's weights sort first
+                w = np.asarray(pdf["_w"].iloc[0]).reshape(size, outputs)
+                pdf = pdf.iloc[1:]
+            heads.append(pdf[[*keys, "_node"]])
+            for ra, rb in zip(pdf["_a"], pdf["_b"]):
+                found.append(w.ravel())
+                w = np.asarray(ra).reshape(size, size) @ w + np.asarray(rb).reshape(size, outputs)
+        return told(pd.concat(heads, ignore_index=True), _w=found)
 
     def replay(groups: list[pd.DataFrame]) -> pd.DataFrame:
         done = []
@@ -141,39 +146,49 @@ def linear_scan(
             return empty.assign(pred=pd.Series(dtype=object))
         return pd.concat(done, ignore_index=True).rename(columns={"_y": "actual"})
 
-    maps = map_sorted_groups(
-        rows,
-        [*keys, "_super", "_block"],
-        [rank],
-        as_maps,
-        f"{key_ddl}_super bigint, _block bigint, {map_ddl}",
-    )
-    # read twice below; written once so that the rows are reduced once
-    maps = materialise(maps, "linear-maps")
-    supers = maps.groupBy(*keys, "_super").applyInPandas(
-        compose, f"{key_ddl}_super bigint, {map_ddl}"
-    )
-    # one entry per 33 million rows of a key
-    super_w = supers.groupBy(*keys).applyInPandas(
-        super_starts, f"{key_ddl}_super bigint, _w array<double>"
-    )
-    block_w = (
-        maps.groupBy(*keys, "_super")
-        .cogroup(super_w.groupBy(*keys, "_super"))
-        .applyInPandas(block_starts, f"{key_ddl}_super bigint, _block bigint, _w array<double>")
-    )
-    # the weights behind a block enter the next one as a carry row
-    entering = block_w.select(
-        *keys, F.expr(f"_block div {int(blocks_per_super)}").alias("_super"), "_block", "_w"
-    )
-    joined = rows.withColumn("_w", F.lit(None).cast("array<double>")).unionByName(
-        entering, allowMissingColumns=True
-    )
+    long_rows, top = _of_many_blocks(rows, keys)
+    joined = rows.withColumn("_w", F.lit(None).cast("array<double>"))
+    if top:
+        few = dict(max_rows=min(fan, 1 << 16))  # bundles stay below two nodes of maps
+        maps = map_sorted_groups(long_rows, [*keys, "_node"], [rank], as_maps, f"{key_ddl}_node bigint, {map_ddl}")
+        levels = [materialise(maps, "linear-maps")]
+        while top >= fan:
+            top //= fan
+            up = levels[-1].withColumn("_parent", F.expr(f"_node div {int(fan)}"))
+            up = map_sorted_groups(up, [*keys, "_parent"], ["_node"], compose, f"{key_ddl}_node bigint, {map_ddl}", **few)
+            levels.append(materialise(up, "linear-maps"))
+        entering = None
+        for maps in reversed(levels):
+            down = maps.withColumns({"_parent": F.expr(f"_node div {int(fan)}"), "_w": F.lit(None).cast("array<double>")})
+            if entering is not None:
+                above = entering.withColumnRenamed("_node", "_parent")
+                down = down.unionByName(above, allowMissingColumns=True)
+            entering = map_sorted_groups(
+                down, [*keys, "_parent"], [F.col("_w").isNull(), "_node"], starts, f"{key_ddl}_node bigint, _w array<double>", **few
+            )
+        # the weights behind a block enter the next one as a carry row
+        joined = joined.unionByName(entering, allowMissingColumns=True)
     out_ddl = ", ".join(f"{c} {fields[c]}" for c in passed)
     return map_sorted_groups(
         joined,
-        [*keys, "_super", "_block"],
+        [*keys, "_node"],
         [F.col("_w").isNull(), rank],
         replay,
         f"{out_ddl}, actual array<double>, pred array<double>",
     )
+
+
+def _of_many_blocks(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """Rows of the keys that have more than one block, and the last block of all
+    of those (0 if there is none). Reads the keys and positions only."""
+    ends = rows.groupBy(*keys).agg(F.min("_node").alias("_first"), F.max("_node").alias("_last"))
+    ends = ends.where("_first < _last")
+    if keys:
+        # at most one key for every block of rows
+        ends = materialise(ends, "long-keys")
+    top = ends.agg(F.max("_last")).first()[0] or 0
+    if keys and top:
+        named = ends.select(*[F.col(k).alias(f"_long_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_long_{k}")) for k in keys])
+        rows = rows.join(named, same, "left_semi")
+    return rows, top

@@ -210,7 +210,21 @@ def m4(spark, sf):
     )
 
 
-@query("m10_keyed_linear")
+#: One step of the delta rule for each event of a user, weights as columns.
+KEYED_LINEAR_SQL = (
+    "WITH RECURSIVE e AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, "
+    "value / 500 AS a, (event_id % 7) / 7 AS b, 0.5 * value / 500 - 0.1 AS y FROM events), "
+    "s AS (SELECT user_id, CAST(0 AS BIGINT) AS r, CAST(NULL AS BIGINT) AS event_id, CAST(0.1 AS DOUBLE) AS w0, "
+    "CAST(0.1 AS DOUBLE) AS w1, CAST(0.1 AS DOUBLE) AS w2, CAST(0 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS p "
+    "FROM (SELECT DISTINCT user_id FROM events) UNION ALL "
+    "SELECT n.user_id, n.r, n.event_id, n.w0 + 0.05 * (n.y - n.p) * n.a, n.w1 + 0.05 * (n.y - n.p) * n.b, "
+    "n.w2 + 0.05 * (n.y - n.p), n.y, n.p FROM (SELECT s.user_id, e.r, e.event_id, w0, w1, w2, e.a, e.b, e.y, "
+    "w0 * e.a + w1 * e.b + w2 AS p FROM s JOIN e ON e.user_id IS NOT DISTINCT FROM s.user_id AND e.r = s.r + 1) n) "
+    "SELECT user_id, event_id, round(y, 9) AS actual, round(p, 9) AS pred FROM s WHERE r > 0"
+)
+
+
+@query("m10_keyed_linear", KEYED_LINEAR_SQL)
 def m10_linear(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id",

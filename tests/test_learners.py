@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.learners import bayes, ensemble
 from millrace.learners.baseline import majority_class, no_change
-from millrace.learners.linear import linear_scan
+from millrace.learners.linear import MAP_BYTES, MAX_FAN_OUT, _of_many_blocks, fan_out, linear_scan
 from millrace.learners.network import (
     Autoencoder,
     EncodedNetwork,
@@ -79,6 +79,34 @@ def test_keyed_linear_equals_one_loop_per_key(spark):
         assert np.abs(np.array([got[i] for i in at]) - want).max() < 1e-9
 
 
+@pytest.mark.parametrize("fan", [2, 3])
+def test_linear_of_many_levels(spark, fan):
+    """Blocks of 7 rows under a tree of fan-out 2 or 3: five levels or more."""
+    x, y = regression(900, 2, 1)
+    df = regression_df(spark, x, y)
+    out = linear_scan(df, "seq", "x", "y", 2, 1, 0.05, block_rows=7, blocks_per_super=fan).orderBy("seq")
+    got = np.array([r["pred"] for r in out.collect()])
+    assert np.abs(got - delta_rule(x, y, 0.05)).max() < 1e-9
+
+
+def test_linear_of_135_features(spark):
+    """The fan-out follows from the width: what a task composes stays below 500 MB."""
+    assert fan_out(135, 1) * 8 * 136 * 137 <= MAP_BYTES < 500e6 / 4
+    assert fan_out(3, 2) == MAX_FAN_OUT and fan_out(10_000, 1) == 2
+    x, y = regression(600, 135, 1)
+    out = linear_scan(regression_df(spark, x, y), "seq", "x", "y", 135, 1, 0.002, block_rows=50, blocks_per_super=4).orderBy("seq")
+    got = np.array([r["pred"] for r in out.collect()])
+    assert np.abs(got - delta_rule(x, y, 0.002)).max() < 1e-9
+
+
+def test_keys_of_one_block_need_no_maps(spark):
+    x, y = regression(300, 3, 1)
+    df = with_rank(regression_df(spark, x, y, [f"k{i % 40}" if i % 3 else "hot" for i in range(300)]), "seq", ["k"])
+    some, top = _of_many_blocks(df.withColumn("_node", F.expr("rank div 20")), ["k"])
+    assert {r["k"] for r in some.select("k").distinct().collect()} == {"hot"} and top == 4
+    assert _of_many_blocks(df.withColumn("_node", F.expr("rank div 2000")), ["k"])[1] == 0
+
+
 def test_linear_empty(spark):
     x, y = regression(3, 2, 1)
     df = regression_df(spark, x, y).filter("seq < 0")
