@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.grouped import map_sorted_groups
-from millrace.operators.order import doubling_block, doubling_bounds
-from millrace.runtime import scratch_path
+from millrace.operators.order import Rounds, doubling_block
+from millrace.runtime import materialise, scratch_path
 
 SLICE_ROWS = 2048
 LOCKSTEP = 64  # slices trained side by side in one task
@@ -188,14 +188,13 @@ def train_in_rounds(
     model,
     keys: Sequence[str] = (),
     keep: Sequence[str] = (),
-    first: int = 1024,
+    first: int | Rounds = 1024,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Columns ``keys``, ``rank``, ``keep``, ``actual``, ``pred`` (arrays) and
     ``round``. ``rank`` is the gapless position, per key when there are keys.
 
-    Every round filters ``df`` by position. Give it a table on storage (see
-    ``materialise``), where the filter reaches the scan, not a long plan."""
+    Rows are stored once, by round, so that many rounds do not mean many scans."""
     spark = df.sparkSession
     keys = list(keys)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -205,8 +204,10 @@ def train_in_rounds(
         F.col(features).cast("array<double>").alias("_x"),
         F.col(targets).cast("array<double>").alias("actual"),
         F.expr(f"`{rank}` div {int(slice_rows)}").alias("_slice"),
+        doubling_block(rank, first).alias("_round"),
     )
-    last = df.agg(F.max(doubling_block(rank, first))).first()[0]
+    rows = materialise(rows, "network-rows", ["_round"])
+    last = rows.agg(F.max("_round")).first()[0]
     out_path = scratch_path(spark, "network-rounds")
     out_ddl = ", ".join(f"{c} {fields[c]}" for c in passed) + (
         ", actual array<double>, pred array<double>, _w array<double>, _n bigint"
@@ -249,10 +250,8 @@ def train_in_rounds(
     origin = model.init()
     weights = None
     for r in range(0 if last is None else last + 1):
-        lo, hi = doubling_bounds(r, first)
-        part = rows.filter((F.col(rank) >= lo) & (F.col(rank) < hi)).withColumn(
-            "_w", F.lit(None).cast("array<double>")
-        )
+        part = rows.filter(F.col("_round") == r).drop("_round")
+        part = part.withColumn("_w", F.lit(None).cast("array<double>"))
         start = origin
         if keys and r:
             # one carry row per slice holds the key's weights; fresh column

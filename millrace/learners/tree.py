@@ -6,7 +6,9 @@ partial aggregate gives the statistics of ``(leaf, feature, class)``. Splits are
 searched leaf by leaf and applied key by key. Rounds double in length, so the number of
 Spark jobs grows with the logarithm of the rows. Every row is scored with the
 tree as of the start of its round; all versions stay in one table and the scores
-are a single pass at the end.
+are a single pass at the end. Within a round the round's own rows are routed again to
+the fresh leaves of a split and counted there, until no fresh leaf splits, so a tree
+can grow by several levels a round. Rows are stored once, by round.
 
 Numeric features are summed up by count, mean, squared deviations, least and
 greatest value, over all rows a leaf has seen; candidate cuts are evenly spaced
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.order import doubling_block, doubling_bounds
+from millrace.operators.order import Rounds, doubling_block, rounds_of
 from millrace.runtime import materialise
 
 NUMERIC, MULTIWAY, ONE_VALUE = 0, 1, 2
@@ -58,7 +60,7 @@ class TreeParams:
 _TREE_DDL = (
     "feature array<int>, kind array<int>, threshold array<double>, child array<int>, "
     "arity array<int>, depth array<int>, prior array<double>, label_at array<int>, "
-    "dropped array<int>, capped array<int>"
+    "dropped array<int>, capped array<int>, fresh int"
 )
 _TREE_COLS = [part.split()[0] for part in _TREE_DDL.split(", ")]
 
@@ -67,7 +69,7 @@ def _stump(p: TreeParams) -> dict:
     return {
         "feature": [-1], "kind": [0], "threshold": [0.0], "child": [0], "arity": [0],
         "depth": [0], "prior": [0.0] * p.classes, "label_at": [0], "dropped": [],
-        "capped": [],
+        "capped": [], "fresh": -1,
     }
 
 
@@ -171,13 +173,20 @@ def search_leaf(cells: pd.DataFrame, p: TreeParams) -> dict:
     return out
 
 
-def grow(tree: dict, leaves: pd.DataFrame, p: TreeParams) -> dict:
-    """Apply the splits that were found for the leaves of one tree."""
-    t = {c: list(tree[c]) for c in _TREE_COLS}
-    dropped, capped = set(t["dropped"]), set()
+def grow(tree: dict, leaves: pd.DataFrame, p: TreeParams, again: bool = False) -> dict:
+    """Apply the splits that were found for the leaves of one tree. ``again``: the
+    leaves are fresh ones, counted from rows that their priors already stand for.
+    ``fresh`` is the first node made by this call, -1 if there is none."""
+    t = {c: list(tree[c]) for c in _TREE_COLS if c != "fresh"}
+    dropped, capped, nodes = set(t["dropped"]), set(t["capped"]) if again else set(), len(t["feature"])
     for found in leaves.sort_values("leaf").to_dict("records"):
         leaf = int(found["leaf"])
-        prior = np.array(t["prior"][leaf * p.classes : (leaf + 1) * p.classes]) + found["own"]
+        at = slice(leaf * p.classes, (leaf + 1) * p.classes)
+        prior = np.array(t["prior"][at])
+        if again:
+            prior = np.maximum(prior - found["own"], 0.0)
+            t["prior"][at] = prior.tolist()
+        prior = prior + found["own"]
         t["label_at"][leaf] = int(prior.argmax())
         dropped |= {leaf * p.width + int(f) for f in found["poor"]}
         room = p.max_nodes - len(t["feature"])
@@ -204,28 +213,54 @@ def grow(tree: dict, leaves: pd.DataFrame, p: TreeParams) -> dict:
             t["prior"].extend(float(c) for c in branch)
             t["label_at"].append(int(branch.argmax()) if branch.any() else t["label_at"][leaf])
     t["dropped"], t["capped"] = sorted(dropped), sorted(capped)
+    t["fresh"] = nodes if len(t["feature"]) > nodes else -1
     return t
 
 
 # --- routing and counting ----------------------------------------------------
 
 
-def route(features: str) -> Column:
-    """Leaf of a row: follow the arrays from the root, as deep as the tree is."""
+def route(features: str, tree: str | None = None) -> Column:
+    """Leaf of a row: follow the arrays from the root, as deep as the tree is. The
+    arrays are columns, or fields of the struct ``tree``."""
+
+    def at(name: str, node: Column) -> Column:
+        return F.get(F.col(f"{tree}.{name}" if tree else name), node)
 
     def down(node: Column, _: Column) -> Column:
-        x = F.get(F.col(features), F.get("feature", node))
-        cut = F.get("threshold", node)
+        x = F.get(F.col(features), at("feature", node))
+        cut = at("threshold", node)
         branch = (
-            F.when(F.get("kind", node) == NUMERIC, (x > cut).cast("int"))
-            .when(F.get("kind", node) == ONE_VALUE, (x != cut).cast("int"))
-            .otherwise(F.greatest(F.least(x.cast("int"), F.get("arity", node) - 1), F.lit(0)))
+            F.when(at("kind", node) == NUMERIC, (x > cut).cast("int"))
+            .when(at("kind", node) == ONE_VALUE, (x != cut).cast("int"))
+            .otherwise(F.greatest(F.least(x.cast("int"), at("arity", node) - 1), F.lit(0)))
         )
-        return F.when(F.get("feature", node) < 0, node).otherwise(
-            F.get("child", node) + F.coalesce(branch, F.lit(0))
+        return F.when(at("feature", node) < 0, node).otherwise(
+            at("child", node) + F.coalesce(branch, F.lit(0))
         )
 
-    return F.aggregate(F.sequence(F.lit(0), F.array_max("depth")), F.lit(0), down)
+    depth = F.col(f"{tree}.depth" if tree else "depth")
+    return F.aggregate(F.sequence(F.lit(0), F.array_max(depth)), F.lit(0), down)
+
+
+def tree_vote(features: str, tree: str) -> Column:
+    """Class of a row by the tree in a struct; null where there is no tree."""
+    return F.get(F.col(f"{tree}.label_at"), route(features, tree))
+
+
+def tree_text(tree: str) -> Column:
+    """A tree in words: its size and depth, and the feature of every split in the
+    order in which they were made."""
+    features = F.col(f"{tree}.feature")
+    tests = F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(features) - 1), lambda i: F.get(features, i) >= 0),
+        lambda i: F.concat(F.lit("x"), F.get(features, i).cast("string"), F.lit("@"), F.get(F.col(f"{tree}.depth"), i).cast("string")),
+    )
+    leaves = F.size(F.filter(features, lambda f: f < 0))
+    return F.format_string(
+        "nodes %d leaves %d depth %d splits %s",
+        F.size(features), leaves, F.array_max(F.col(f"{tree}.depth")), F.array_join(tests, ","),
+    )
 
 
 def _bin(x: Column, i: Column, p: TreeParams) -> Column:
@@ -269,11 +304,12 @@ def hoeffding_rounds(
     label: str,
     params: TreeParams,
     keys: Sequence[str] = (),
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> tuple[DataFrame, DataFrame]:
     """Grow the trees. Returns the versions table (``round`` = the round a
     version scores) and the statistics each version was left with. Both hold at
-    most ``max_nodes`` leaves per key and round."""
+    most ``max_nodes`` leaves per key and round. ``first``: the length of the first
+    round where rounds double, or any ``Rounds``."""
     spark = df.sparkSession
     keys, p = list(keys), params
     rows = df.select(
@@ -283,6 +319,7 @@ def hoeffding_rounds(
         F.col(label).alias("label"),
         doubling_block(rank, first).alias("round"),
     )
+    rows = materialise(rows, "tree-rows", ["round"])
     last = rows.agg(F.max("round")).first()[0] or 0
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_ddl = "".join(f"{k} {fields[k]}, " for k in keys)
@@ -294,25 +331,21 @@ def hoeffding_rounds(
         found = search_leaf(cells, p)
         return head.assign(**{c: [found[c]] for c in _SEARCH_COLS})[[*keys, *_SEARCH_COLS]]
 
-    def update(leaves: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
-        if leaves.empty:
-            return trees[[*keys, *_TREE_COLS]]
-        old = stump if trees.empty else trees.iloc[0].to_dict()
-        head = leaves[keys].iloc[:1].reset_index(drop=True)
-        new = grow(old, leaves, p)
-        return head.assign(**{c: [new[c]] for c in _TREE_COLS})[[*keys, *_TREE_COLS]]
+    def updating(again: bool):
+        def update(leaves: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+            if leaves.empty:
+                return trees[[*keys, *_TREE_COLS]].assign(fresh=-1)
+            old = stump if trees.empty else trees.iloc[0].to_dict()
+            head = leaves[keys].iloc[:1].reset_index(drop=True)
+            new = grow(old, leaves, p, again)
+            return head.assign(**{c: [new[c]] for c in _TREE_COLS})[[*keys, *_TREE_COLS]]
 
-    versions, history = None, None
-    live, stats = None, None  # trees and counts at the start of the round
-    for r in range(last):  # the model of the last round is not needed to score it
-        lo, hi = doubling_bounds(r, first)
-        part = rows.filter((F.col(rank) >= lo) & (F.col(rank) < hi))
-        if live is None:
-            routed = part.withColumn("leaf", F.lit(0)).withColumn(
-                "dropped", F.lit(None).cast("array<int>")
-            )
-        else:
-            routed = _attach(part, live, keys).withColumn("leaf", route("_x"))
+        return update
+
+    by = [*keys, "leaf", "i", "bin", "label"]
+
+    def counted(routed: DataFrame) -> DataFrame:
+        """Statistics of (leaf, feature, class) over rows with their leaf."""
         cells = routed.select(
             *keys, "leaf", "label", "dropped", F.posexplode("_x").alias("i", "_v")
         )
@@ -323,8 +356,7 @@ def hoeffding_rounds(
                     F.array_contains("dropped", F.col("leaf") * p.width + F.col("i")), F.lit(False)
                 )
             )
-        by = [*keys, "leaf", "i", "bin", "label"]
-        counts = (
+        return (
             cells.withColumn("bin", _bin(F.col("_v"), F.col("i"), p))
             .groupBy(*by)
             .agg(
@@ -335,6 +367,24 @@ def hoeffding_rounds(
                 F.max("_v").cast("double").alias("hi"),
             )
         )
+
+    def grown(stats: DataFrame, trees: DataFrame, again: bool) -> DataFrame:
+        """Search the leaves that ``stats`` tells of, and split."""
+        found = stats.groupBy(*keys, "leaf").applyInPandas(search, f"{key_ddl}{_SEARCH_DDL}")
+        both = found.groupBy(*keys).cogroup(trees.groupBy(*keys))
+        return materialise(both.applyInPandas(updating(again), f"{key_ddl}{_TREE_DDL}"), "trees")
+
+    versions, history = None, None
+    live, stats = None, None  # trees and counts at the start of the round
+    for r in range(last):  # the model of the last round is not needed to score it
+        part = rows.filter(F.col("round") == r)
+        if live is None:
+            routed = part.withColumn("leaf", F.lit(0)).withColumn(
+                "dropped", F.lit(None).cast("array<int>")
+            )
+        else:
+            routed = _attach(part, live, keys).withColumn("leaf", route("_x"))
+        counts = counted(routed)
         if stats is not None:
             # counts of leaves that have not been split go on
             kept = (
@@ -345,18 +395,21 @@ def hoeffding_rounds(
             )
             counts = _merged(counts.unionByName(kept), by)
         # both tables carry the number of the round they serve
-        stats = materialise(counts.withColumn("round", F.lit(r + 1)), "tree-counts")
+        now = F.lit(r + 1)
+        stats = materialise(counts, "tree-counts").withColumn("round", now)
         trees = live
         if trees is None:
             trees = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}") if keys else start
-        grown = (
-            stats.groupBy(*keys, "leaf")
-            .applyInPandas(search, f"{key_ddl}{_SEARCH_DDL}")
-            .groupBy(*keys)
-            .cogroup(trees.groupBy(*keys))
-            .applyInPandas(update, f"{key_ddl}{_TREE_DDL}")
-        )
-        live = materialise(grown.withColumn("round", F.lit(r + 1)), "trees")
+        trees = grown(stats, trees, False)
+        while not (split := trees.filter("fresh >= 0")).isEmpty():
+            # the round's own rows, routed again to the leaves that are new; at
+            # most ``max_depth`` times
+            routed = _attach(part, split.withColumn("round", F.lit(r)), keys)
+            routed = routed.withColumn("leaf", route("_x")).filter("leaf >= fresh")
+            again = materialise(counted(routed), "tree-counts").withColumn("round", now)
+            stats = stats.unionByName(again)
+            trees = grown(again, trees, True)
+        live = trees.withColumn("round", now)
         versions = live if versions is None else versions.unionByName(live)
         history = stats if history is None else history.unionByName(stats)
     if versions is None:
@@ -369,6 +422,27 @@ def hoeffding_rounds(
     return versions, history
 
 
+def tree_snapshots(
+    df: DataFrame,
+    rank: str,
+    features: str,
+    label: str,
+    params: TreeParams,
+    keys: Sequence[str] = (),
+    first: int | Rounds = 1024,
+) -> DataFrame:
+    """Trees as published models: ``version``, ``valid_from`` (the first position
+    that may be scored with it) and ``params``, the tree as one struct of arrays. With
+    ``Rounds(n, 1.0)`` a model is published after every n rows."""
+    versions, _ = hoeffding_rounds(df, rank, features, label, params, keys, first)
+    return versions.select(
+        *keys,
+        F.col("round").alias("version"),
+        rounds_of(first).start(F.col("round")).alias("valid_from"),
+        F.struct(*_TREE_COLS).alias("params"),
+    )
+
+
 def score_rounds(
     df: DataFrame,
     rank: str,
@@ -378,7 +452,7 @@ def score_rounds(
     params: TreeParams,
     keys: Sequence[str] = (),
     keep: Sequence[str] = (),
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
     """Score every row with the version of its round: class 0 before the first."""
     rows = df.select(
@@ -485,7 +559,7 @@ def prequential_hoeffding(
     params: TreeParams,
     keys: Sequence[str] = (),
     keep: Sequence[str] = (),
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
     """Grow and score. ``leaf='nb'`` scores leaves by naive Bayes, ``'nba'`` by
     whichever rule did better at that leaf so far."""

@@ -21,6 +21,7 @@ def with_latest(
     params: str = "params",
     gate: bool = False,
     widths: Sequence[int] = WIDTHS,
+    by_reference: bool = False,
 ) -> DataFrame:
     """Add, per entry of ``snapshots``, the newest ``params`` whose ``valid_from``
     is at or before the row. Snapshots may come at any position.
@@ -28,9 +29,19 @@ def with_latest(
     Rows and snapshots are put in one order and the latest non-null snapshot of
     each model is carried along it, so any number of models costs one shuffle
     and each snapshot is copied once per block, not once per row.
-    ``gate`` keeps only rows that every model can score.
+    ``gate`` keeps only rows that every model can score. ``by_reference`` is for
+    models that are large beside a row: the scan carries ``valid_from`` alone, and
+    the model is joined to it, by broadcast or shuffle as its stored size asks for.
+    ``valid_from`` must then be unique within a model's snapshots.
     """
     names = list(snapshots)
+    if by_reference:
+        marks = {n: s.select(valid_from, F.col(valid_from).alias(params)) for n, s in snapshots.items()}
+        out = with_latest(df, order, marks, valid_from, params, gate, widths)
+        for n, snap in snapshots.items():
+            models = snap.select(F.col(valid_from).alias("_from"), F.col(params).alias("_params"))
+            out = out.join(models, F.col(n) == F.col("_from"), "left").drop(n, "_from").withColumnRenamed("_params", n)
+        return out
     step = len(names) + 1
     # a snapshot sorts before the row that shares its position
     merged = df.withColumns(

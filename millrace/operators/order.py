@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,10 +64,68 @@ def fixed_block(rank: str, size: int) -> Column:
     return F.expr(f"`{rank}` div {int(size)}")
 
 
-def doubling_block(rank: str, first: int) -> Column:
+@dataclass(frozen=True)
+class Rounds:
+    """Update rounds of a learner: the first ``first`` positions are round 0, and
+    every later round ends ``growth`` times as far from the start as it began; with
+    ``growth`` 1 all rounds are ``first`` long, as of a model published at a fixed
+    interval. The model that scores a row has seen at least 1/growth of the rows
+    before it, but for the last round's own."""
+
+    first: int = 1024
+    growth: float = 2.0
+
+    def __post_init__(self):
+        if self.first < 1 or self.growth < 1:
+            raise ValueError("rounds need first >= 1 and growth >= 1")
+
+    def ends(self, upto: int = 1 << 62) -> list[int]:
+        """Ends of the rounds that begin at or before ``upto``, for growth above 1."""
+        out = [self.first]
+        while out[-1] <= upto:
+            out.append(max(out[-1] + 1, math.ceil(out[-1] * self.growth)))
+        return out
+
+    def block(self, rank: str) -> Column:
+        """Round of a position."""
+        if self.growth == 1:
+            return F.expr(f"cast(`{rank}` div {self.first} as int)")
+        ends = self.ends()
+
+        def among(lo: int, hi: int) -> str:  # comparisons as a balanced tree
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return f"if(`{rank}` < {ends[mid]}L, {among(lo, mid)}, {among(mid + 1, hi)})"
+
+        return F.expr(among(0, len(ends) - 1))
+
+    def bounds(self, block: int) -> tuple[int, int]:
+        """First position of a round and the one behind its end."""
+        if self.growth == 1:
+            return block * self.first, (block + 1) * self.first
+        ends = self.ends()
+        return (ends[block - 1] if block else 0), ends[block]
+
+    def start(self, block: Column) -> Column:
+        """First position of a round given as a column."""
+        if self.growth == 1:
+            return block.cast("long") * self.first
+        return F.get(F.array(*[F.lit(e).cast("long") for e in [0, *self.ends()]]), block)
+
+
+def rounds_of(first: int | Rounds) -> Rounds:
+    """A plain number stands for rounds that double."""
+    return first if isinstance(first, Rounds) else Rounds(first)
+
+
+def doubling_block(rank: str, first: int | Rounds) -> Column:
     """Update rounds that double in length: positions below ``first`` are round
     0, the next ``first`` are round 1, the next ``2*first`` round 2, and so on.
-    Any number of rows needs only about log2(rows/first) model updates."""
+    Any number of rows needs only about log2(rows/first) model updates. Other
+    ``Rounds`` may be given instead."""
+    if isinstance(first, Rounds):
+        return first.block(rank)
     q = f"(`{rank}` div {int(first)})"
     return F.expr(f"case when {q} = 0 then 0 else length(bin({q})) end")
 
@@ -84,6 +144,8 @@ def full_count_windows(df: DataFrame, rank: str, size: int, *aggs: Column) -> Da
     )
 
 
-def doubling_bounds(block: int, first: int) -> tuple[int, int]:
+def doubling_bounds(block: int, first: int | Rounds) -> tuple[int, int]:
     """First position of a ``doubling_block`` round and the one behind its end."""
+    if isinstance(first, Rounds):
+        return first.bounds(block)
     return (0 if block == 0 else first << (block - 1)), first << block

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +47,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back. Cuts lineage, and
-    the result survives the loss of any executor."""
+    the result survives the loss of any executor. ``by``: columns by whose values
+    rows lie in folders, so that a filter on them reads only its own rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
