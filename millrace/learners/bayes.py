@@ -123,7 +123,7 @@ def snapshot_stream(
 TWO_PI = 6.283185307179586
 
 
-def _packed(models: DataFrame) -> DataFrame:
+def packed(models: DataFrame) -> DataFrame:
     """Per class the constant part of the log score and half the inverse
     variances, worked out once per model instead of once per row."""
 
@@ -170,7 +170,7 @@ def score_by_join(
     adaptive planner broadcasts the snapshot table when its measured size allows
     and shuffles on the block otherwise. ``gate`` drops rows that precede the
     first model; otherwise they get class 0."""
-    joined = df.join(_packed(models), [*keys, block], "inner" if gate else "left")
+    joined = df.join(packed(models), [*keys, block], "inner" if gate else "left")
     scored = predicted(F.col("params"), F.col(features), width)
     return joined.withColumn(name, scored).drop("params")
 
@@ -206,7 +206,7 @@ def score_with_small_models(
             np.array([p["mean"] for p in r["params"]]),
             np.array([p["inv"] for p in r["params"]]),
         )
-        for r in _packed(models).select(block, "params").collect()
+        for r in packed(models).select(block, "params").collect()
     }
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
     at, vec = df.columns.index(block), df.columns.index(features)

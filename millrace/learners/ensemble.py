@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from millrace.functions.features import key_text
 from millrace.learners import bayes
 from millrace.learners.network import class_targets, perceptron, train_in_rounds
-from millrace.learners.tree import TreeParams, prequential_hoeffding
-from millrace.operators.connect import gather, tag_predictions
+from millrace.learners.tree import TreeParams, prequential_hoeffding, tree_text, tree_vote
+from millrace.operators.connect import gather, tag_predictions, with_latest
 from millrace.operators.metrics import progress
 from millrace.operators.order import fixed_block
 from millrace.operators.scan import State, count_state, running
@@ -46,6 +46,13 @@ def keyed_class_report(
     return out.select(order, key_text(F.col(key), text).alias("info"))
 
 
+def keyed_tree_report(snapshots: DataFrame, key: str) -> DataFrame:
+    """Text description of every published tree of every key: its size, depth and
+    the features of its splits."""
+    text = tree_text("params")
+    return snapshots.select(key, "version", "valid_from", key_text(F.col(key), text).alias("info"))
+
+
 def attribute_subsets(
     width: int, size: int = 2, max_subsets: int | None = None, seed: int = 7
 ) -> list[tuple[int, ...]]:
@@ -147,6 +154,25 @@ def majority_snapshots(
     )
 
 
+def latest_votes(
+    df: DataFrame,
+    rank: str,
+    features: str,
+    width: int,
+    bayes_models: Mapping[str, DataFrame],
+    trees: Mapping[str, DataFrame],
+    gate: bool = True,
+) -> DataFrame:
+    """One column per model with its class for the row, by the newest snapshot of
+    each; models of different kinds share one as-of pass. With ``gate`` rows wait
+    for the first snapshots of all models, else a missing model votes for class 0."""
+    snaps = {n: bayes.packed(s) for n, s in bayes_models.items()} | dict(trees)
+    joined = with_latest(df, rank, snaps, gate=gate, by_reference=True)
+    votes = {n: bayes.predicted(F.col(n), F.col(features), width) for n in bayes_models}
+    votes |= {n: F.coalesce(tree_vote(features, n), F.lit(0)) for n in trees}
+    return joined.withColumns(votes)
+
+
 def stack_joined(
     frames: Sequence[DataFrame],
     rank: str,

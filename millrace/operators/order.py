@@ -79,11 +79,11 @@ class Rounds:
         if self.first < 1 or self.growth < 1:
             raise ValueError("rounds need first >= 1 and growth >= 1")
 
-    def ends(self, upto: int = 1 << 62) -> list[int]:
+    def ends(self, upto: int = 1 << 60) -> list[int]:
         """Ends of the rounds that begin at or before ``upto``, for growth above 1."""
         out = [self.first]
         while out[-1] <= upto:
-            out.append(max(out[-1] + 1, math.ceil(out[-1] * self.growth)))
+            out.append(min(max(out[-1] + 1, math.ceil(out[-1] * self.growth)), 1 << 62))
         return out
 
     def block(self, rank: str) -> Column:

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from millrace.functions import features as fx
 from millrace.functions.constants import METHANE_ALARM, METHANE_WARNING, METHANE_WINDOW_NORMS
 from millrace.functions.spec import FeatureSpec
-from millrace.learners import ensemble
 from millrace.learners.linear import linear_scan
 from millrace.learners.network import Autoencoder, EncodedNetwork, Network, train_in_rounds
-from millrace.learners.tree import TreeParams, prequential_hoeffding
+from millrace.learners.tree import TreeParams, prequential_hoeffding, tree_snapshots, tree_vote
 from millrace.operators import connect, metrics, windows
-from millrace.operators.order import with_rank
+from millrace.operators.order import Rounds, with_rank
 from millrace.plans import presets
 from millrace.runtime import materialise
 from millrace.sources.tables import line_order, read_csv
@@ -134,12 +133,22 @@ def window_network_job(
 
 
 def train_test_job(
-    spark: SparkSession, path: str, spec: FeatureSpec, classes: int, every: int = 1000
-) -> DataFrame:
-    """The same file as training and test stream: test rows are judged by the
-    newest snapshot, accuracy per full count window."""
+    spark: SparkSession, path: str, spec: FeatureSpec, classes: int, every: int = 1000,
+    growth: float = 1.0, **options,
+) -> DataFrame:
+    """The same file as training and test stream: a Hoeffding tree is published
+    after every ``every`` rows (with ``growth`` above 1 at growing intervals), test rows
+    are judged by the newest one, accuracy per full count window."""
     rows = load(spark, path, spec)
-    snaps = ensemble.majority_snapshots(rows, "rank", "label", range(classes), every)
-    judged = connect.with_latest_regular(rows.select("rank", "label"), "rank", snaps, every, "model")
-    right = connect.majority_vote(F.col("model")) == F.col("label")
+    params = TreeParams(
+        spec.width or spec.coded_width(),
+        classes,
+        nominal=tuple((i, 2) for i in spec.nominal_slots()),
+        **options,
+    )
+    snaps = tree_snapshots(rows, "rank", "features", "label", params, first=Rounds(every, growth))
+    judged = connect.with_latest(
+        rows.select("rank", "features", "label"), "rank", {"model": snaps}, by_reference=True
+    )
+    right = F.coalesce(tree_vote("features", "model"), F.lit(0)) == F.col("label")
     return metrics.window_accuracy(judged, "rank", right, every)

@@ -16,9 +16,9 @@ from millrace.learners.network import (
     perceptron,
     train_in_rounds,
 )
-from millrace.learners.tree import TreeParams, prequential_hoeffding
+from millrace.learners.tree import TreeParams, prequential_hoeffding, route, tree_snapshots, tree_vote
 from millrace.operators import connect, metrics
-from millrace.operators.order import fixed_block, number_by, with_rank
+from millrace.operators.order import Rounds, fixed_block, number_by, with_rank
 from millrace.plans.evaluation import (
     ARGMAX_SQL,
     CODED_SQL,
@@ -255,7 +255,8 @@ def planted(spark, sf):
 @query("m5_perceptron")
 def m5(spark, sf):
     rows = planted(spark, sf).withColumn("y", class_targets("label", 2))
-    out = train_in_rounds(rows, "rank", "x", "y", perceptron(WIDTH, 2, 0.5), keep=["label"], first=64)
+    rounds = Rounds(64, 1.5)
+    out = train_in_rounds(rows, "rank", "x", "y", perceptron(WIDTH, 2, 0.5), keep=["label"], first=rounds)
     return out.select("rank", "label", "round", fx.arg_max(F.col("pred")).alias("pred"))
 
 
@@ -323,18 +324,30 @@ def m15(spark, sf):
 # --- trees and ensembles ---------------------------------------------------------------
 
 TREE = dict(grace=50, split_confidence=0.01, tie=0.1)
+# for the few hundred rows of embeddings: leaves of 40 rows may split
+QUICK = dict(grace=40, split_confidence=0.05, tie=0.2)
+GROWING = Rounds(64, 1.5)
 
 
 @query("m6_hoeffding")
 def m6(spark, sf):
-    p = TreeParams(WIDTH, 2, **TREE)
-    return prequential_hoeffding(planted(spark, sf), "rank", "x", "label", p, first=64)
+    p = TreeParams(WIDTH, 2, **QUICK)
+    return prequential_hoeffding(planted(spark, sf), "rank", "x", "label", p, first=GROWING)
 
 
 @query("m8_hoeffding_mc")
 def m8(spark, sf):
-    p = TreeParams(WIDTH, 2, binary_splits=True, remove_poor=True, leaf="mc", **TREE)
-    return prequential_hoeffding(planted(spark, sf), "rank", "x", "label", p, first=64)
+    """With a nominal feature of five codes, which the label depends on, and one
+    that tells nothing."""
+    extra = F.array(F.pmod("rank", F.lit(5)).cast("double"), F.lit(0.5))
+    label = F.when(F.pmod("rank", F.lit(5)) == 2, 1 - F.col("label")).otherwise(F.col("label"))
+    rows = planted(spark, sf).withColumns(
+        {"x": F.concat(F.col("x").cast("array<double>"), extra), "label": label}
+    )
+    p = TreeParams(
+        WIDTH + 2, 2, nominal=((WIDTH, 5),), binary_splits=True, remove_poor=True, leaf="mc", **QUICK
+    )
+    return prequential_hoeffding(rows, "rank", "x", "label", p, first=GROWING)
 
 
 @query("m8_hoeffding_bayes_leaves")
@@ -380,6 +393,82 @@ def m16(spark, sf):
     )
 
 
+def coded_pairs(spark, sf):
+    """Two nominal features: the event code and a share of the users. The label
+    follows the code, but for every seventh event."""
+    y = F.col("code").isin(0, 3).cast("int")
+    rows = coded_events(spark, sf).select(
+        "event_id",
+        fx.vector([F.col("code"), F.pmod("user_id", F.lit(4))]).alias("x"),
+        F.when(F.pmod("event_id", F.lit(7)) == 0, 1 - y).otherwise(y).alias("label"),
+    )
+    return with_rank(rows, "event_id", dense_from=0)
+
+
+SNAPSHOT_ROUNDS = Rounds(128, 1.8)
+#: Class counts of each value of each feature before a round, the gain of a split on
+#: it, the first round in which the bound allows the best one, and votes on both sides.
+TREE_SNAPSHOTS_SQL = f"""
+WITH {CODED_SQL}, e2 AS (
+  SELECT event_id, code AS c, user_id % 4 AS u, CASE WHEN (event_id % 7 = 0) = (code IN (0, 3)) THEN 0 ELSE 1 END AS y,
+    {' + '.join(f'CAST(event_id >= {end} AS INTEGER)' for end in SNAPSHOT_ROUNDS.ends(10**9))} AS r FROM e
+), f AS (
+  SELECT r, 0 AS f, c AS v, y FROM e2 UNION ALL SELECT r, 1, u, y FROM e2
+), k AS (
+  SELECT r, f, v, y, count(*) AS n FROM f GROUP BY ALL
+), cum AS (
+  SELECT w.r, f, v, y, sum(n) AS n FROM (SELECT DISTINCT r FROM e2 WHERE r > 0) w JOIN k ON k.r < w.r GROUP BY ALL
+), branch AS (
+  SELECT r, f, v, sum(n) AS n, -sum(n / t * log2(n / t)) AS h, arg_min(y, (-n, y)) AS vote
+  FROM (SELECT *, sum(n) OVER (PARTITION BY r, f, v) AS t FROM cum) GROUP BY ALL
+), root AS (
+  SELECT r, sum(n) AS n, -sum(n / t * log2(n / t)) AS h, arg_min(y, (-n, y)) AS vote, count(*) AS classes
+  FROM (SELECT r, y, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY r) AS t FROM cum WHERE f = 0 GROUP BY r, y) GROUP BY r
+), gains AS (
+  SELECT b.r, f, CASE WHEN count(*) > 1 THEN any_value(a.h) - sum(b.n * b.h) / any_value(a.n) ELSE 0 END AS g
+  FROM branch b JOIN root a USING (r) GROUP BY b.r, f
+), best AS (
+  SELECT r, arg_min(f, (-g, f)) AS f, max(g) AS g, min(g) AS rival FROM gains GROUP BY r
+), chosen AS (
+  SELECT r AS s, f FROM best JOIN root USING (r)
+  WHERE n >= 50 AND classes = 2 AND g > 0 AND (g - rival > sqrt(ln(100) / (2 * n)) OR sqrt(ln(100) / (2 * n)) < 0.1)
+  ORDER BY r LIMIT 1
+)
+SELECT event_id, CAST(e2.r AS INTEGER) AS version, CAST(CASE WHEN e2.r >= s THEN 1 + CASE chosen.f WHEN 0 THEN c ELSE u END ELSE 0 END AS INTEGER) AS leaf,
+  CAST(CASE WHEN e2.r >= s THEN coalesce(b.vote, past.vote) ELSE coalesce(root.vote, 0) END AS INTEGER) AS pred
+FROM e2 LEFT JOIN chosen ON true LEFT JOIN root ON root.r = e2.r LEFT JOIN root past ON past.r = s
+LEFT JOIN branch b ON b.r = e2.r AND b.f = chosen.f AND b.v = CASE chosen.f WHEN 0 THEN c ELSE u END
+"""
+
+
+@query("c1_tree_snapshots", TREE_SNAPSHOTS_SQL)
+def c1_trees(spark, sf):
+    """Events scored by the newest published tree of one level."""
+    rows = coded_pairs(spark, sf)
+    p = TreeParams(2, 2, nominal=((0, 5), (1, 4)), max_depth=1, **TREE)
+    snaps = tree_snapshots(rows, "rank", "x", "label", p, first=SNAPSHOT_ROUNDS)
+    versioned = snaps.select("valid_from", F.struct("version", "params").alias("params"))
+    judged = connect.with_latest(rows, "rank", {"model": versioned}, by_reference=True)
+    judged = judged.select("event_id", "x", "model.version", F.col("model.params").alias("tree"))
+    return judged.select(
+        "event_id",
+        F.coalesce("version", F.lit(0)).alias("version"),
+        F.coalesce(route("x", "tree"), F.lit(0)).cast("int").alias("leaf"),
+        F.coalesce(tree_vote("x", "tree"), F.lit(0)).alias("pred"),
+    )
+
+
+@query("k7_tree_info")
+def k7_trees(spark, sf):
+    """What the tree of each key looks like whenever it is published."""
+    rows = mixed_events(spark, sf).drop("rank").withColumn("key", F.pmod("user_id", F.lit(4)))
+    ranked = materialise(with_rank(rows, "event_id", ["key"]), "events-by-key")
+    p = TreeParams(3, 2, nominal=((2, 5),), **TREE)
+    return ensemble.keyed_tree_report(
+        tree_snapshots(ranked, "rank", "x", "label", p, ["key"], first=Rounds(64, 2.0)), "key"
+    )
+
+
 STACK_FLAGS_SQL = (
     "WITH s AS (SELECT vec_id + 1 AS valid_from, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) OVER (ORDER BY vec_id) AS c0, "
     "sum(y) OVER (ORDER BY vec_id) AS c1 FROM (SELECT vec_id, CASE WHEN embedding[1]::DOUBLE + embedding[2]::DOUBLE > 0 "
@@ -408,48 +497,60 @@ def m17(spark, sf):
     )
 
 
+def base_models(spark, sf):
+    """Rows and the published models of three learners: naive Bayes, a default
+    Hoeffding tree, and one with binary splits, poor attributes dropped and
+    majority leaves."""
+    rows = materialise(planted(spark, sf), "planted")
+    nb = bayes.snapshot_stream(rows, "rank", "x", "label", WIDTH, (0, 1), 50)
+    pruned = TreeParams(WIDTH, 2, binary_splits=True, remove_poor=True, leaf="mc", **QUICK)
+    trees = {
+        "tree": tree_snapshots(rows, "rank", "x", "label", TreeParams(WIDTH, 2, **QUICK), first=GROWING),
+        "pruned": tree_snapshots(rows, "rank", "x", "label", pruned, first=Rounds(100, 1.5)),
+    }
+    return rows, {"nb": materialise(nb, "bayes-snapshots")}, trees
+
+
+VOTES = ("nb", "tree", "pruned")
+
+
+def voted_flags(spark, sf):
+    """Per row, from when all three models are there, whether each votes for class 0."""
+    rows, nb, trees = base_models(spark, sf)
+    voted = ensemble.latest_votes(rows, "rank", "x", WIDTH, nb, trees)
+    flags = F.array(*[F.col(n) == 0 for n in VOTES])
+    out = voted.select("rank", "label", fx.flags_to_features(flags).alias("x"))
+    return materialise(with_rank(materialise(out, "flags"), "rank", name="pos"), "stack-flags")
+
+
 @query("m17_stack_tree")
 def m17_tree(spark, sf):
-    """Flags of the base models, 'vote' form, into a Hoeffding tree."""
-    rows = materialise(
-        stack_flags(spark, sf).select(
-            "rank", "label", fx.flags_to_features(F.col("flags")).alias("x")
-        ),
-        "flags",
+    """Flags of the three base models, 'vote' form, into a Hoeffding tree."""
+    p = TreeParams(3, 2, nominal=((0, 2), (1, 2), (2, 2)), **QUICK)
+    return prequential_hoeffding(
+        voted_flags(spark, sf), "pos", "x", "label", p, keep=["rank"], first=GROWING
     )
-    stored = materialise(with_rank(rows, "rank", name="pos"), "stack-flags")
-    p = TreeParams(2, 2, nominal=((0, 2), (1, 2)), **TREE)
-    return prequential_hoeffding(stored, "pos", "x", "label", p, keep=["rank"], first=64)
 
 
 @query("m18_stack_votes")
 def m18(spark, sf):
-    """Latest naive Bayes snapshot and latest majority snapshot vote; rows before
-    the first snapshots wait; a perceptron learns from the flags."""
-    rows = planted(spark, sf)
-    voted = ensemble.bayes_class_votes(rows, "rank", "x", "label", WIDTH, (0, 1), 50, "nb")
-    snaps = {"m": ensemble.majority_snapshots(rows, "rank", "label", (0, 1), 40)}
-    both = connect.with_latest(
-        voted.select("rank", "label", "nb"), "rank", snaps, gate=True
-    )
-    nb_votes = F.array((F.col("nb") == 0).cast("bigint"), (F.col("nb") == 1).cast("bigint"))
-    flagged = connect.append_flags(both, [nb_votes, F.col("m")])
-    rows = materialise(
-        flagged.select("rank", "label", fx.flags_to_features(F.col("flags")).alias("x")), "flags"
-    )
-    stacked = with_rank(rows, "rank", name="pos")
-    return ensemble.combine_with_perceptron(stacked, "pos", "x", "label", 2, 2, 0.5, 64)
+    """The latest snapshots of three base models vote; rows before the first
+    snapshots wait; a perceptron learns from the flags."""
+    return ensemble.combine_with_perceptron(voted_flags(spark, sf), "pos", "x", "label", 3, 2, 0.5, 64)
 
 
 @query("m19_stack_joined")
 def m19(spark, sf):
-    rows = materialise(planted(spark, sf), "planted")
-    nb = ensemble.bayes_class_votes(
-        rows, "rank", "x", "label", WIDTH, (0, 1), 50, gate=False
-    ).select("rank", "label", "pred")
-    majority = majority_class(rows, "rank", "label", (0, 1)).select("rank", "label", "pred")
-    last = no_change(rows, "rank", "label").select("rank", "label", "pred")
-    return ensemble.stack_joined([nb, majority, last], "rank", "label", 2, 0.5, 64)
+    """Fresh predictions of the three base models as streams of their own, gathered
+    per record, into a perceptron; a model that is not there yet says class 0."""
+    rows, nb, trees = base_models(spark, sf)
+    each = []
+    for name in VOTES:
+        own = {name: nb[name]} if name in nb else {}
+        tree = {name: trees[name]} if name in trees else {}
+        voted = ensemble.latest_votes(rows, "rank", "x", WIDTH, own, tree, gate=False)
+        each.append(voted.select("rank", "label", F.col(name).alias("pred")))
+    return ensemble.stack_joined(each, "rank", "label", 2, 0.5, 64)
 
 
 # --- streams -----------------------------------------------------------------------------
