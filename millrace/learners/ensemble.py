@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.features import key_text
 from millrace.learners import bayes
 from millrace.learners.network import class_targets, perceptron, train_in_rounds
-from millrace.learners.tree import TreeParams, prequential_hoeffding, tree_text, tree_vote
+from millrace.learners.tree import NUMERIC, ONE_VALUE, TreeParams, hoeffding_rounds, tree_text, tree_vote
 from millrace.operators.connect import gather, tag_predictions, with_latest
 from millrace.operators.metrics import progress
-from millrace.operators.order import fixed_block
+from millrace.operators.order import Rounds, doubling_block, fixed_block
 from millrace.operators.scan import State, count_state, running
 from millrace.runtime import materialise
 
@@ -65,23 +66,149 @@ def attribute_subsets(
     return [every[i] for i in sorted(picks)]
 
 
-def subset_predictions(
+class Forest:
+    """Trees of subsets of one feature vector, in task memory: at most ``max_nodes``
+    nodes for each subset, both parameters of the ensemble."""
+
+    def __init__(self, subsets: Sequence[Sequence[int]], trees: DataFrame | None, only_known: bool = False):
+        self.subsets = subsets
+        self.trees: dict[int, dict] = {}
+        names = ("feature", "kind", "threshold", "child", "arity", "label_at")
+        for row in trees.toLocalIterator() if trees is not None else ():
+            tree = {c: np.array(row[c]) for c in names}
+            self.trees[row["model_idx"]] = tree | {"fresh": row["fresh"], "dropped": set(row["dropped"])}
+        self.members = sorted(self.trees) if only_known else range(len(subsets))
+
+    def leaves(self, m: int, x: np.ndarray) -> np.ndarray:
+        """Leaf of every row in tree ``m``, by the rule of ``tree.route``."""
+        node = np.zeros(len(x), np.int64)
+        tree = self.trees.get(m)
+        while tree is not None:
+            f = tree["feature"][node]
+            inner = np.flatnonzero(f >= 0)
+            if not len(inner):
+                break
+            at = node[inner]
+            v, cut, kind = x[inner, f[inner]], tree["threshold"][at], tree["kind"][at]
+            known = ~np.isnan(v)
+            code = np.where(known, v, 0.0).clip(-1, 1 << 30).astype(np.int64)
+            branch = np.where(kind == NUMERIC, v > cut, np.where(kind == ONE_VALUE, v != cut, code.clip(0, np.maximum(tree["arity"][at] - 1, 0))))
+            node[inner] = tree["child"][at] + np.where(known, branch, 0)
+        return node
+
+    def votes(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), len(self.subsets)), np.int32)
+        for m, tree in self.trees.items():
+            out[:, m] = tree["label_at"][self.leaves(m, x)]
+        return out
+
+
+def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    """Missing and infinite values, and missing vectors, as NaN."""
+    out = np.full((len(vectors), width), np.nan)
+    for i, v in enumerate(vectors):
+        if v is not None:
+            out[i, : len(v)] = np.array(v, float)[:width]
+    out[~np.isfinite(out)] = np.nan
+    return out
+
+
+def subset_counter(subsets: Sequence[Sequence[int]], params: TreeParams, members: str = "model_idx"):
+    """Statistics of (subset, leaf, feature, code, class) for ``hoeffding_rounds``,
+    of rows that are read once and never copied: every Arrow batch is routed through all
+    trees and summed up as matrices; what leaves a task is additive."""
+    codes = dict(params.nominal)
+    schema = f"{members} int, leaf int, i int, bin int, label int, n bigint, mean double, m2 double, lo double, hi double"
+
+    def count(part: DataFrame, trees: DataFrame | None, again: bool) -> DataFrame:
+        forest = Forest(subsets, trees, again)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                pdf = pdf[pdf["label"].notna()]
+                if not len(pdf):
+                    continue
+                x, label = _matrix(pdf["_x"], params.width), pdf["label"].to_numpy(np.int64)
+                found = []
+                for m in forest.members:
+                    leaf, tree = forest.leaves(m, x), forest.trees.get(m)
+                    ok = leaf >= tree["fresh"] if again else np.ones(len(x), bool)
+                    for f in subsets[m]:
+                        v = x[:, f]
+                        use = ok & ~np.isnan(v)
+                        if tree is not None and params.remove_poor and tree["dropped"]:
+                            use &= ~np.isin(leaf * params.width + f, list(tree["dropped"]))
+                        if use.any():
+                            code = v[use].clip(0, codes[f] - 1).astype(np.int64) if f in codes else 0
+                            found.append(_cells(m, f, leaf[use], code, label[use], v[use], params.classes, codes.get(f, 1)))
+                if found:
+                    yield pd.DataFrame(np.concatenate(found), columns=schema_names).astype(
+                        {c: "int64" for c in schema_names[:6]}
+                    )
+
+        schema_names = [c.split()[0] for c in schema.split(", ")]
+        cells = part.select("_x", "label").mapInPandas(run, schema)
+        n, mean = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+        spread = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - n * mean * mean
+        return cells.groupBy(members, "leaf", "i", "bin", "label").agg(
+            n.alias("n"), mean.alias("mean"), (F.sum("m2") + F.greatest(spread, F.lit(0.0))).alias("m2"),
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        )
+
+    return count
+
+
+def _cells(m, f, leaf, code, label, v, classes: int, codes: int) -> np.ndarray:
+    """Rows (subset, leaf, feature, code, class, n, mean, m2, lo, hi)."""
+    group = (leaf * codes + code) * classes + label
+    order = np.argsort(group, kind="stable")
+    group, v = group[order], v[order]
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    n = np.diff(first, append=len(group))
+    mean = np.add.reduceat(v, first) / n
+    off = v - np.repeat(mean, n)
+    which = group[first]
+    own = np.empty((len(first), 10))
+    own[:, 0], own[:, 1], own[:, 2] = m, which // (classes * codes), f
+    own[:, 3], own[:, 4], own[:, 5], own[:, 6] = which // classes % codes, which % classes, n, mean
+    own[:, 7] = np.add.reduceat(off * off, first)
+    own[:, 8], own[:, 9] = np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
+    return own
+
+
+def subset_votes(
     df: DataFrame,
     rank: str,
     features: str,
     label: str,
     subsets: Sequence[Sequence[int]],
     params: TreeParams,
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
-    """One Hoeffding tree per attribute subset. Rows are copied once per subset
-    with only that subset's few values; the subset number is the key."""
-    parts = F.array(
-        *[F.array(*[F.col(features)[i].cast("double") for i in subset]) for subset in subsets]
+    """One Hoeffding tree per attribute subset; ``rank``, ``label`` and ``votes``, the
+    class by each tree as of the start of the row's round. Rows are read once a pass,
+    whatever the number of subsets."""
+    stored = df.select(rank, label, F.col(features).alias("_x"), doubling_block(rank, first).alias("round"))
+    stored = materialise(stored, "subset-rows", ["round"])
+    versions, _ = hoeffding_rounds(
+        stored, rank, "_x", label, params, ["model_idx"], first, subset_counter(subsets, params)
     )
-    wide = df.select(rank, label, F.posexplode(parts).alias("model_idx", "_sub"))
-    narrow = TreeParams(**{**params.__dict__, "width": len(subsets[0])})
-    return prequential_hoeffding(wide, rank, "_sub", label, narrow, ["model_idx"], (), first)
+    last = stored.agg(F.max("round")).first()[0] or 0
+    kind = stored.schema[label].dataType.simpleString()
+    place = stored.schema[rank].dataType.simpleString()
+    out = None
+    for r in range(last + 1):
+        forest = Forest(subsets, versions.filter(F.col("round") == r) if r else None)
+
+        def score(batches: Iterator[pd.DataFrame], forest: Forest = forest) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                votes = forest.votes(_matrix(pdf["_x"], params.width))
+                yield pdf[[rank, label]].assign(votes=list(votes))
+
+        part = stored.filter(F.col("round") == r).select(rank, label, "_x")
+        scored = part.mapInPandas(score, f"`{rank}` {place}, `{label}` {kind}, votes array<int>")
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
 def combine_with_perceptron(
@@ -92,7 +219,7 @@ def combine_with_perceptron(
     width: int,
     classes: int,
     lr: float = 1.0,
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
     """Final learner over the gathered predictions, one perceptron per class.
     The gathered rows are written once; each round then reads its own range."""
@@ -118,23 +245,22 @@ def subset_ensemble(
     params: TreeParams,
     size: int = 2,
     max_subsets: int | None = None,
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
     """Trees on attribute subsets, combined by per-class perceptrons over their
     one-hot votes."""
     subsets = attribute_subsets(params.width, size, max_subsets)
-    votes = subset_predictions(df, rank, features, label, subsets, params, first)
-    row = gather(votes, len(subsets), [rank], actual=label)
+    votes = subset_votes(df, rank, features, label, subsets, params, first)
     hot = F.flatten(
         F.transform(
-            "features",
+            "votes",
             lambda v: F.transform(
                 F.sequence(F.lit(0), F.lit(params.classes - 1)),
                 lambda c: (v == c).cast("double"),
             ),
         )
     )
-    stacked = row.select(rank, hot.alias("features"), F.col("actual").alias(label))
+    stacked = votes.select(rank, hot.alias("features"), label)
     width = len(subsets) * params.classes
     return combine_with_perceptron(
         stacked, rank, "features", label, width, params.classes, 1.0, first
@@ -179,7 +305,7 @@ def stack_joined(
     label: str,
     classes: int,
     lr: float = 1.0,
-    first: int = 1024,
+    first: int | Rounds = 1024,
 ) -> DataFrame:
     """Fresh predictions of several learners, gathered per record, with a
     perceptron over the predicted class values on top."""

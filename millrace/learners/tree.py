@@ -23,7 +23,7 @@ that could not split for ``max_nodes`` or ``max_depth`` are listed in ``capped``
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -305,15 +305,18 @@ def hoeffding_rounds(
     params: TreeParams,
     keys: Sequence[str] = (),
     first: int | Rounds = 1024,
+    counter: Callable[..., DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Grow the trees. Returns the versions table (``round`` = the round a
     version scores) and the statistics each version was left with. Both hold at
     most ``max_nodes`` leaves per key and round. ``first``: the length of the first
-    round where rounds double, or any ``Rounds``."""
+    round where rounds double, or any ``Rounds``. ``counter(rows, trees, again)``
+    may give the statistics of the leaves instead, for trees that share their rows;
+    ``keys`` are then whole numbers that rows do not have (see ``subset_counter``)."""
     spark = df.sparkSession
     keys, p = list(keys), params
     rows = df.select(
-        *keys,
+        *([] if counter else keys),
         rank,
         F.col(features).alias("_x"),
         F.col(label).alias("label"),
@@ -322,7 +325,7 @@ def hoeffding_rounds(
     rows = materialise(rows, "tree-rows", ["round"])
     last = rows.agg(F.max("round")).first()[0] or 0
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    key_ddl = "".join(f"{k} {fields[k]}, " for k in keys)
+    key_ddl = "".join(f"{k} {'int' if counter else fields[k]}, " for k in keys)
     stump = _stump(p)
     start = spark.createDataFrame([tuple(stump[c] for c in _TREE_COLS)], _TREE_DDL)
 
@@ -378,13 +381,14 @@ def hoeffding_rounds(
     live, stats = None, None  # trees and counts at the start of the round
     for r in range(last):  # the model of the last round is not needed to score it
         part = rows.filter(F.col("round") == r)
-        if live is None:
-            routed = part.withColumn("leaf", F.lit(0)).withColumn(
-                "dropped", F.lit(None).cast("array<int>")
+        if counter:
+            counts = counter(part, live, False)
+        elif live is None:
+            counts = counted(
+                part.withColumn("leaf", F.lit(0)).withColumn("dropped", F.lit(None).cast("array<int>"))
             )
         else:
-            routed = _attach(part, live, keys).withColumn("leaf", route("_x"))
-        counts = counted(routed)
+            counts = counted(_attach(part, live, keys).withColumn("leaf", route("_x")))
         if stats is not None:
             # counts of leaves that have not been split go on
             kept = (
@@ -404,9 +408,12 @@ def hoeffding_rounds(
         while not (split := trees.filter("fresh >= 0")).isEmpty():
             # the round's own rows, routed again to the leaves that are new; at
             # most ``max_depth`` times
-            routed = _attach(part, split.withColumn("round", F.lit(r)), keys)
-            routed = routed.withColumn("leaf", route("_x")).filter("leaf >= fresh")
-            again = materialise(counted(routed), "tree-counts").withColumn("round", now)
+            if counter:
+                again = counter(part, split, True)
+            else:
+                routed = _attach(part, split.withColumn("round", F.lit(r)), keys)
+                again = counted(routed.withColumn("leaf", route("_x")).filter("leaf >= fresh"))
+            again = materialise(again, "tree-counts").withColumn("round", now)
             stats = stats.unionByName(again)
             trees = grown(again, trees, True)
         live = trees.withColumn("round", now)
