@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.grouped import map_sorted_groups
 from millrace.operators.order import Rounds, doubling_block, rounds_of
 from millrace.runtime import materialise
 
@@ -371,8 +372,31 @@ def hoeffding_rounds(
             )
         )
 
+    def grown_together(stats: DataFrame, trees: DataFrame, again: bool) -> DataFrame:
+        """The same for very many small trees: whole trees in bundles, each with its
+        own row before the statistics of its leaves."""
+
+        def work(groups: list[pd.DataFrame]) -> pd.DataFrame:
+            out = []
+            for pdf in groups:
+                known, cells = pdf[pdf["leaf"].isna()], pdf[pdf["leaf"].notna()]
+                old = known.iloc[0].to_dict() if len(known) else stump
+                new = {c: old[c] for c in _TREE_COLS} | {"fresh": -1}
+                if len(cells):
+                    cells = cells.astype({c: "int64" for c in ("leaf", "i", "bin", "label", "n")})
+                    leaves = pd.DataFrame([search_leaf(part, p) for _, part in cells.groupby("leaf")])
+                    new = grow(old, leaves, p, again)
+                out.append({**{k: pdf[k].iloc[0] for k in keys}, **new})
+            return pd.DataFrame(out)[[*keys, *_TREE_COLS]]
+
+        cells = stats.select(*by, "n", "mean", "m2", "lo", "hi")
+        both = cells.unionByName(trees.select(*keys, *_TREE_COLS), allowMissingColumns=True)
+        return map_sorted_groups(both, keys, [F.col("leaf").isNotNull(), "leaf"], work, f"{key_ddl}{_TREE_DDL}")
+
     def grown(stats: DataFrame, trees: DataFrame, again: bool) -> DataFrame:
         """Search the leaves that ``stats`` tells of, and split."""
+        if counter:
+            return materialise(grown_together(stats, trees, again), "trees")
         found = stats.groupBy(*keys, "leaf").applyInPandas(search, f"{key_ddl}{_SEARCH_DDL}")
         both = found.groupBy(*keys).cogroup(trees.groupBy(*keys))
         return materialise(both.applyInPandas(updating(again), f"{key_ddl}{_TREE_DDL}"), "trees")
