@@ -7,7 +7,7 @@ partial aggregate and a scan over the (small) block table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.carried import matrix_of, score_carried
 from millrace.operators.order import fixed_block, full_count_windows
 from millrace.operators.scan import State, running
 from millrace.runtime import materialise
@@ -77,18 +78,19 @@ def snapshots(
         widths=(1 << 12,),
         hot_rows=None,
     )
-    mean = F.col("ps") / F.col("pn")
-    seen = before.filter("pn > 0").select(
-        *keys,
-        block,
-        label,
-        F.col("pn").alias("n"),
-        "i",
-        mean.alias("m"),
-        F.greatest(F.lit(VARIANCE_FLOOR), F.col("pss") / F.col("pn") - mean * mean).alias("v"),
-    )
-    per_class = seen.groupBy(*keys, block, label).agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("i", "m", "v"))).alias("mv")
+    sums = [F.col("pn").alias("n"), F.col("ps").alias("s"), F.col("pss").alias("ss")]
+    return models_of(before.select(*keys, block, label, "i", *sums), label, [*keys, block])
+
+
+def models_of(sums: DataFrame, label: str, by: Sequence[str] = ("block",)) -> DataFrame:
+    """``params`` of every group ``by`` from its cells (``n``, ``s``, ``ss``)."""
+    mean = F.col("s") / F.col("n")
+    var = F.greatest(F.lit(VARIANCE_FLOOR), F.col("ss") / F.col("n") - mean * mean)
+    cell = F.struct("i", mean.alias("m"), var.alias("v"))
+    per_class = (
+        sums.filter("n > 0")
+        .groupBy(*by, label)
+        .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(cell)).alias("mv"))
     )
     params = F.struct(
         F.col(label).alias("label"),
@@ -96,7 +98,7 @@ def snapshots(
         F.transform("mv", lambda e: e["m"]).alias("mean"),
         F.transform("mv", lambda e: e["v"]).alias("var"),
     )
-    return per_class.groupBy(*keys, block).agg(F.sort_array(F.collect_list(params)).alias("params"))
+    return per_class.groupBy(*by).agg(F.sort_array(F.collect_list(params)).alias("params"))
 
 
 def snapshot_stream(
@@ -156,90 +158,21 @@ def predicted(params: Column, features: Column, width: int, default: int = 0) ->
     return F.coalesce(-F.array_max(F.transform(params, of_class))["l"], F.lit(default)).cast("int")
 
 
-def score_by_join(
-    df: DataFrame,
-    models: DataFrame,
-    block: str,
-    features: str,
-    width: int,
-    keys: Sequence[str] = (),
-    name: str = "pred",
-    gate: bool = False,
-) -> DataFrame:
-    """Join each row with the model of its block. No broadcast is forced: the
-    adaptive planner broadcasts the snapshot table when its measured size allows
-    and shuffles on the block otherwise. ``gate`` drops rows that precede the
-    first model; otherwise they get class 0."""
-    joined = df.join(packed(models), [*keys, block], "inner" if gate else "left")
-    scored = predicted(F.col("params"), F.col(features), width)
-    return joined.withColumn(name, scored).drop("params")
-
-
-def _rows_of(vectors: pa.Array) -> np.ndarray:
-    """List column as a matrix; a missing vector or element is NaN, which leaves
-    every class without a score."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    present = vectors.is_valid().to_numpy(zero_copy_only=False)
-    if present.all():
-        return flat.reshape(len(vectors), -1)
-    out = np.full((len(vectors), len(flat) // max(present.sum(), 1)), np.nan)
-    if present.any():
-        out[present] = flat.reshape(present.sum(), -1)
-    return out
-
-
-def score_with_small_models(
-    df: DataFrame,
-    models: DataFrame,
-    block: str,
-    features: str,
-    name: str = "pred",
-    gate: bool = False,
-) -> DataFrame:
-    """The same scores with all models shipped to the tasks and Arrow batches
-    scored as matrices: no shuffle, and about fifty times less work per row than
-    interpreted lambdas. Only for snapshot tables within ``SMALL_MODELS``."""
-    by_block = {
-        r[block]: (
-            np.array([p["label"] for p in r["params"]]),
-            np.array([p["base"] for p in r["params"]]),
-            np.array([p["mean"] for p in r["params"]]),
-            np.array([p["inv"] for p in r["params"]]),
-        )
-        for r in packed(models).select(block, "params").collect()
-    }
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
-    at, vec = df.columns.index(block), df.columns.index(features)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks = batch.column(at).to_numpy(zero_copy_only=False)
-            out = np.zeros(len(blocks), dtype=np.int32)
-            known = np.zeros(len(blocks), dtype=bool)
-            if len(blocks):
-                x = _rows_of(batch.column(vec))
-                for b in np.unique(blocks):
-                    if b not in by_block:
-                        continue
-                    labels, base, mean, inv = by_block[b]
-                    rows = blocks == b
-                    known |= rows
-                    if x.shape[1] != mean.shape[1]:  # not one vector in this batch
-                        out[rows] = labels[0]
-                        continue
-                    d = x[rows][:, None, :] - mean[None, :, :]
-                    # labels ascend, so the first maximum is the lowest label
-                    best = np.argmax(base - np.einsum("ncd,cd->nc", d * d, inv), axis=1)
-                    out[rows] = labels[best]
-            cols = [*batch.columns, pa.array(out)]
-            res = pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
-            yield res.filter(pa.array(known)) if gate else res
-
-    return df.mapInArrow(score, schema)
-
-
-# Upper bound, in numbers held, for models shipped to every task (64 MB).
-SMALL_MODELS = 8_000_000
+def _gaussian_labels(model: pa.Scalar, x: np.ndarray) -> np.ndarray:
+    """``predicted`` for a matrix of rows."""
+    classes = model.values
+    labels = classes.field("label").to_numpy(zero_copy_only=False)
+    base = classes.field("base").to_numpy(zero_copy_only=False)
+    mean = matrix_of(classes.field("mean"), x.shape[1])
+    inv = matrix_of(classes.field("inv"), x.shape[1])
+    # |x - m|^2 / v, class by class: no array of rows x classes x features
+    scores = np.empty((len(x), len(labels)))
+    for c in range(len(labels)):
+        d = x - mean[c]
+        scores[:, c] = base[c] - np.einsum("nd,nd,d->n", d, d, inv[c])
+    scores[np.isnan(scores)] = -np.inf
+    # labels ascend, so the first maximum is the lowest label
+    return labels[np.argmax(scores, axis=1)]
 
 
 def score_blocks(
@@ -248,17 +181,22 @@ def score_blocks(
     block: str,
     features: str,
     width: int,
-    classes: int,
     keys: Sequence[str] = (),
     name: str = "pred",
     gate: bool = False,
+    default: int = 0,
 ) -> DataFrame:
-    """Score rows with the model of their block. ``models`` is counted first:
-    a table within ``SMALL_MODELS`` goes to the tasks, a larger or keyed one is
-    joined."""
-    if not keys and models.count() * classes * width * 2 <= SMALL_MODELS:
-        return score_with_small_models(df, models, block, features, name, gate)
-    return score_by_join(df, models, block, features, width, keys, name, gate)
+    """Score rows with the model of their block, whatever the number of models:
+    each enters its block as a carry row. Rows before the first model get
+    ``default``, or are left out with ``gate``."""
+    vec = df.columns.index(features)
+
+    def work(model: pa.Scalar, rows: pa.RecordBatch) -> pa.Array:
+        return pa.array(_gaussian_labels(model, matrix_of(rows.column(vec), width)))
+
+    return score_carried(
+        df, packed(models), [*keys, block], "params", work, name, T.IntegerType(), default, gate
+    )
 
 
 def prequential_naive_bayes(
@@ -272,8 +210,8 @@ def prequential_naive_bayes(
     name: str = "pred",
 ) -> DataFrame:
     """Every row scored by the model of the blocks before its own. The snapshot
-    table is written to the shared folder once, then sized and read."""
+    table is written to the shared folder once."""
     models = materialise(
         snapshots(df, block, features, label, width, classes, keys), "bayes-models"
     )
-    return score_blocks(df, models, block, features, width, len(classes), keys, name)
+    return score_blocks(df, models, block, features, width, keys, name)

@@ -330,5 +330,5 @@ def bayes_class_votes(
         bayes.snapshots(blocked, "_b", features, label, width, classes), "bayes-models"
     )
     return bayes.score_blocks(
-        blocked, models, "_b", features, width, len(classes), name=name, gate=gate
+        blocked, models, "_b", features, width, name=name, gate=gate
     ).drop("_b")

@@ -28,9 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.operators.carried import matrix_of, score_carried
 from millrace.operators.grouped import map_sorted_groups
 from millrace.operators.order import Rounds, doubling_block, rounds_of
 from millrace.runtime import materialise
@@ -503,61 +506,58 @@ def score_rounds(
     )
 
 
-def _bayes_votes(
-    scored: DataFrame, rank: str, history: DataFrame, p: TreeParams, keys
+def _leaf_votes(model: pa.Scalar, x: np.ndarray, p: TreeParams) -> pa.Array:
+    """Naive Bayes over the statistics of one leaf for a matrix of rows: normal
+    distributions, or shares of codes. A value that a class never had tells
+    nothing; a row without any usable value has no vote."""
+    cells = {f: model.values.field(f).to_numpy(zero_copy_only=False) for f in _LEAF_CELL}
+    sizes = dict(p.nominal)
+    usable = np.isfinite(x)
+    logs = np.zeros((len(x), p.classes))
+    prior = np.zeros((len(x), p.classes))
+    told = np.zeros(len(x), dtype=bool)
+    for i in np.unique(cells["i"]):
+        of = cells["i"] == i
+        rows = usable[:, i]
+        label, n = cells["label"][of], cells["n"][of].astype(float)
+        every = np.bincount(label, n, p.classes)
+        told |= rows
+        prior[rows] = np.maximum(prior[rows], every)
+        if i in sizes:
+            hits = np.zeros((sizes[i], p.classes))
+            np.add.at(hits, (cells["bin"][of], label), n)
+            code = np.clip(np.trunc(x[rows, i]), 0, sizes[i] - 1).astype(int)
+            logs[rows] += np.log((hits[code] + 1.0) / (every + sizes[i]))
+            continue
+        mean = cells["mean"][of]
+        var = np.maximum(cells["m2"][of] / n, 1e-6)
+        off = x[rows, i][:, None] - mean
+        normal = np.zeros((len(off), p.classes))
+        normal[:, label] = -0.5 * (np.log(2 * np.pi * var) + off * off / var)
+        logs[rows] += normal
+    with np.errstate(divide="ignore"):
+        score = np.where(prior > 0, np.log(prior) + logs, -1e300)
+    return pa.array(score.argmax(axis=1), mask=~told)
+
+
+_LEAF_CELL = ("i", "bin", "label", "n", "mean", "m2")
+
+
+def _with_bayes_votes(
+    scored: DataFrame, history: DataFrame, p: TreeParams, keys: Sequence[str]
 ) -> DataFrame:
-    """Naive Bayes over the statistics of each row's leaf (normal distributions,
-    or shares of codes), as a join on ``(round, leaf, feature, code)``. The sums
-    per row combine map-side; a value that a class never had tells nothing."""
+    """Column ``_nb``: the vote of the statistics that a row's leaf had at the
+    start of its round. They are one row a leaf, bounded by features, classes and
+    codes, and enter the rows of the leaf as a carry row: rows are not spread over
+    their features and not joined."""
     at = [*keys, "round", "leaf"]
+    models = history.groupBy(*at).agg(F.collect_list(F.struct(*_LEAF_CELL)).alias("cells"))
+    vec = scored.columns.index("_x")
 
-    def per_class(value):
-        return F.array(
-            *[F.coalesce(F.sum(F.when(F.col("label") == c, value)), F.lit(0.0)) for c in range(p.classes)]
-        )
+    def work(model: pa.Scalar, rows: pa.RecordBatch) -> pa.Array:
+        return _leaf_votes(model, matrix_of(rows.column(vec), p.width), p)
 
-    n = F.col("n").cast("double")
-    bins = history.groupBy(*at, "i", "bin").agg(
-        per_class(n).alias("hit"),
-        per_class(F.col("mean")).alias("_mean"),
-        per_class(F.greatest(F.col("m2") / n, F.lit(1e-6))).alias("_var"),
-    )
-    totals = history.groupBy(*at, "i").agg(per_class(n).alias("all"))
-    codes = [0] * p.width
-    for position, size in p.nominal:
-        codes[position] = size
-    cells = (
-        scored.select(*at, rank, F.posexplode("_x").alias("i", "_v"))
-        .filter(_usable(F.col("_v")))
-        .withColumn("bin", _bin(F.col("_v"), F.col("i"), p))
-    )
-    terms = cells.join(totals, [*at, "i"]).join(bins, [*at, "i", "bin"], "left")
-    size = F.get(F.lit(codes), F.col("i"))
-
-    def term(c):
-        hit = F.coalesce(F.get("hit", F.lit(c)), F.lit(0.0))
-        mean, var = F.get("_mean", F.lit(c)), F.get("_var", F.lit(c))
-        off = F.col("_v") - mean
-        normal = -0.5 * (F.log(2 * math.pi * var) + off * off / var)
-        share = F.log((hit + 1.0) / (F.get("all", F.lit(c)) + size))
-        return F.when(size > 0, share).otherwise(F.when(hit > 0, normal).otherwise(0.0))
-
-    sums = [F.sum(term(c)).alias(f"_l{c}") for c in range(p.classes)]
-    prior = [F.max(F.get("all", F.lit(c))).alias(f"_n{c}") for c in range(p.classes)]
-    ranked = F.array(
-        *[
-            F.struct(
-                F.when(F.col(f"_n{c}") > 0, F.log(f"_n{c}") + F.col(f"_l{c}")).otherwise(-1e300).alias("s"),
-                F.lit(-c).alias("c"),
-            )
-            for c in range(p.classes)
-        ]
-    )
-    return (
-        terms.groupBy(*keys, rank)
-        .agg(*sums, *prior)
-        .select(*keys, rank, (-F.array_max(ranked)["c"]).alias("_nb"))
-    )
+    return score_carried(scored, models, at, "cells", work, "_nb", T.IntegerType())
 
 
 def _better_leaf_rule(scored: DataFrame, label: str, keys) -> DataFrame:
@@ -600,8 +600,7 @@ def prequential_hoeffding(
     out = [*dict.fromkeys([*keys, rank, *keep]), label, "round", "leaf", "pred"]
     if params.leaf == "mc":
         return scored.select(*out)
-    votes = _bayes_votes(scored, rank, history, params, keys)
-    both = scored.drop("_x").join(votes, [*keys, rank], "left")
+    both = _with_bayes_votes(scored, history, params, keys).drop("_x")
     if params.leaf == "nb":
         return both.withColumn("pred", F.coalesce("_nb", "pred")).select(*out)
     both = materialise(both, "tree-votes")

@@ -7,14 +7,13 @@ the block table is scanned.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.order import fixed_block, full_count_windows
-from millrace.operators.scan import State, count_state, running
+from millrace.operators.scan import State, count_state, decayed, running
 
 
 def prequential_accuracy(
@@ -117,64 +116,22 @@ def ewma_accuracy(
     ``bias='power'`` divides by ``1 - alpha^n``; ``'squaring'`` by
     ``1 - alpha^(2^(n-1))``, as if the running power were squared on each row.
 
-    Blocks are as long as ``alpha^-i`` stays well inside a double. A block's end
-    value reaches the next block with weight one and the one after that with
-    ``alpha^width`` (below 1e-100); older blocks no longer change a double, so
-    two carry rows replace a scan over blocks.
+    The average is an affine scan (``scan.decayed``) with bounded blocks for any
+    ``alpha``. An unknown answer counts as a wrong one.
     """
     if not 0.0 < alpha < 1.0:
         raise ValueError("alpha must lie between 0 and 1")
     if bias not in ("power", "squaring"):
         raise ValueError("bias must be 'power' or 'squaring'")
-    width = max(1, math.ceil(-100.0 / math.log10(alpha)))
-    keys = list(keys)
-    blocked = df.withColumns(
-        {
-            "_block": fixed_block(rank, width),
-            "_hit": correct.cast("double"),
-            "_carry": F.lit(None).cast("double"),
-        }
-    ).withColumn("_pos", (F.col(rank) - F.col("_block") * width).cast("int"))
-
-    ends = blocked.groupBy(*keys, "_block").agg(
-        F.sum(F.col("_hit") * F.pow(F.lit(alpha), F.lit(width - 1) - F.col("_pos"))).alias("_end")
-    )
-    carries = (
-        ends.select(
-            *keys,
-            (F.col("_end") * (1 - alpha)).alias("_end"),
-            "_block",
-            F.explode(F.array(F.lit(1), F.lit(2))).alias("_ahead"),
-        )
-        .select(
-            *keys,
-            (F.col("_block") + F.col("_ahead")).alias("_block"),
-            (F.col("_end") * F.when(F.col("_ahead") == 2, F.lit(alpha**width)).otherwise(1.0)).alias(
-                "_carry"
-            ),
-            F.lit(-1).alias("_pos"),
-        )
-    )
-    rows = blocked.unionByName(carries, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    decay = F.pow(F.lit(alpha), F.col("_pos"))
-    raw = F.coalesce(F.sum("_carry").over(w), F.lit(0.0)) * decay * alpha + (
-        F.sum(F.col("_hit") / decay).over(w) * decay * (1 - alpha)
-    )
+    rows = decayed(df, rank, correct.cast("double"), alpha, "raw", keys)
+    rows = rows.withColumn("raw", F.col("raw") * (1 - alpha))
     n = F.col(rank) + 1
     if bias == "power":
         left = F.pow(F.lit(alpha), n)
     else:
         # beyond 2^60 every power of alpha below one is zero in a double
         left = F.pow(F.lit(alpha), F.pow(F.lit(2.0), F.least(n - 1, F.lit(60))))
-    return (
-        rows.withColumn("raw", raw)
-        .filter(F.col("_pos") >= 0)
-        .drop("_block", "_pos", "_carry", "_hit")
-        .withColumn("corrected", F.col("raw") / (1 - left))
-    )
+    return rows.withColumn("corrected", F.col("raw") / (1 - left))
 
 
 def window_accuracy(df: DataFrame, rank: str, correct: Column, size: int) -> DataFrame:

@@ -15,6 +15,7 @@ of block totals as long as the input.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -129,3 +130,65 @@ def running(
             out = _scan(marked, order, hows, keys, inclusive, tuple(widths), "_hot").drop("_hot")
     zero = {n: F.coalesce(F.col(n), F.lit(0)) for n, s in states.items() if s.how == "sum"}
     return out.withColumns(zero) if zero else out
+
+
+# A state that has shrunk by this factor no longer changes a double.
+NOTHING_LEFT = 1e-100
+
+
+def decayed(
+    df: DataFrame,
+    order: str,
+    value: Column,
+    factor: float,
+    name: str,
+    keys: Sequence[str] = (),
+    max_rows: int = WIDTHS[0],
+) -> DataFrame:
+    """Add the running state ``s = factor * s + value`` with ``0 < factor < 1``.
+    ``order`` is a gapless 0-based position per key; a null value adds nothing.
+
+    A block acts on the state as one affine map: all blocks multiply by
+    ``factor^width`` and each adds its own end value. The state that leaves the
+    blocks is the same kind of scan over them, so no window holds more than
+    ``max_rows`` rows for any factor; levels end where ``factor^width`` leaves
+    nothing of an older state (three for a factor of 0.999999)."""
+    if not 0.0 < factor < 1.0:
+        raise ValueError("factor must lie between 0 and 1")
+    staged = df.withColumn(name, F.coalesce(value.cast("double"), F.lit(0.0)))
+    return _decayed(staged, order, factor, name, list(keys), max_rows, 0)
+
+
+def _decayed(df, order, factor, name, keys, max_rows, level):
+    block, pos, carry = f"_block{level}", f"_pos{level}", f"_enters{level}"
+    # weights within a block stay within a double
+    width = max(1, min(max_rows, math.ceil(math.log10(NOTHING_LEFT) / math.log10(factor))))
+    through = factor**width
+    blocked = df.withColumn(block, F.expr(f"`{order}` div {width}")).withColumn(
+        pos, (F.col(order) - F.col(block) * width).cast("int")
+    )
+    left = F.pow(F.lit(factor), F.lit(width - 1) - F.col(pos))
+    ends = blocked.groupBy(*keys, block).agg(F.sum(F.col(name) * left).alias(carry))
+    if through > NOTHING_LEFT:
+        ends = _decayed(ends, block, through, carry, keys, max_rows, level + 1)
+        ends = ends.withColumn("_ahead", F.lit(1))
+    else:
+        # one more block back, for weights just above the border
+        ends = ends.withColumn("_ahead", F.explode(F.array(F.lit(1), F.lit(2))))
+        older = F.when(F.col("_ahead") == 2, F.lit(through)).otherwise(1.0)
+        ends = ends.withColumn(carry, F.col(carry) * older)
+    entering = ends.select(
+        *keys,
+        (F.col(block) + F.col("_ahead")).alias(block),
+        F.lit(-1).alias(pos),
+        (F.col(carry) * factor).alias(carry),
+    )
+    rows = blocked.unionByName(entering, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, block).orderBy(pos).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    decay = F.pow(F.lit(factor), F.col(pos))
+    state = F.coalesce(F.sum(carry).over(w), F.lit(0.0)) + F.sum(F.col(name) / decay).over(w)
+    return (
+        rows.withColumn(name, state * decay).filter(F.col(pos) >= 0).drop(block, pos, carry)
+    )

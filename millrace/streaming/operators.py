@@ -169,24 +169,8 @@ def bayes_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         sums = cells.before(batch_id)
-        mean = F.col("s") / F.col("n")
-        var = F.greatest(
-            F.lit(bayes.VARIANCE_FLOOR), F.col("ss") / F.col("n") - mean * mean
-        )
-        per_class = sums.filter("n > 0").groupBy("block", label).agg(
-            F.max("n").alias("n"),
-            F.sort_array(F.collect_list(F.struct("i", mean.alias("m"), var.alias("v")))).alias("mv"),
-        )
-        params = F.struct(
-            F.col(label).alias("label"),
-            "n",
-            F.transform("mv", lambda e: e["m"]).alias("mean"),
-            F.transform("mv", lambda e: e["v"]).alias("var"),
-        )
-        model = per_class.groupBy("block").agg(F.sort_array(F.collect_list(params)).alias("params"))
-        rows = batch.withColumn("block", F.lit(0))
-        # one model: classes x width numbers
-        scored = bayes.score_with_small_models(rows, model, "block", features)
+        rows = batch.withColumn("block", F.lit(0)).persist()  # read by scores and sums
+        scored = bayes.score_blocks(rows, bayes.models_of(sums, label), "block", features, width)
         write_batch(scored.drop("block"), out, batch_id)
         fresh = bayes.block_cells(rows, "block", features, label)
         total = (
@@ -195,6 +179,7 @@ def bayes_stream(
             .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
         )
         cells.save(total, batch_id)
+        rows.unpersist()
 
     return handle
 

@@ -8,6 +8,9 @@ import os
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
+
+from millrace.learners import bayes
 
 KINDS = {
     "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int",
@@ -56,3 +59,10 @@ def difference(spark, fn, sql: str, sf_dir: str, con) -> str | None:
     if a != b:
         return f"values differ in {sum((a - b).values())} rows: {list((a - b).items())[:3]} / {list((b - a).items())[:3]}"
     return None
+
+
+def bayes_by_join(df, models, block, features, width):
+    """Scores of naive Bayes as column expressions, each row with its own model."""
+    joined = df.join(bayes.packed(models), block, "left")
+    pred = bayes.predicted(F.col("params"), F.col(features), width)
+    return joined.withColumn("pred", pred).drop("params")

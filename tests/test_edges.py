@@ -1,6 +1,7 @@
 """Empty tables, NULLs and keys seen once."""
 
 import pytest
+from compare import bayes_by_join
 from pyspark.sql import functions as F
 
 from millrace.learners import bayes, ensemble
@@ -52,8 +53,8 @@ def test_bayes_with_missing_vectors_elements_and_labels(spark):
     df = spark.createDataFrame(rows, "seq long, x array<double>, label int").repartition(3)
     df = df.withColumn("b", fixed_block("seq", 20))
     models = bayes.snapshots(df, "b", "x", "label", 2, (0, 1))
-    a = {r["seq"]: r["pred"] for r in bayes.score_by_join(df, models, "b", "x", 2).collect()}
-    b = {r["seq"]: r["pred"] for r in bayes.score_with_small_models(df, models, "b", "x").collect()}
+    a = {r["seq"]: r["pred"] for r in bayes_by_join(df, models, "b", "x", 2).collect()}
+    b = {r["seq"]: r["pred"] for r in bayes.score_blocks(df, models, "b", "x", 2).collect()}
     assert a == b and len(a) == 120 and None not in a.values()
     whole = [i for i in range(40, 120) if i % 16 != 3 and i % 9]
     assert all(a[i] == i % 2 for i in whole)

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from compare import bayes_by_join
 from pyspark.sql import functions as F
 
 from millrace.learners import bayes, ensemble
@@ -279,13 +280,13 @@ def test_partitioning_does_not_change_results(spark):
 # --- naive Bayes details -----------------------------------------------------------
 
 
-def test_bayes_paths_agree_and_match_a_loop(spark):
+def test_bayes_as_matrix_and_by_join_agree_and_match_a_loop(spark):
     df = planted(spark, 300).withColumn("b", fixed_block("seq", 40))
     models = bayes.snapshots(df, "b", "x", "label", 6, (0, 1))
-    joined = bayes.score_by_join(df, models, "b", "x", 6)
-    small = bayes.score_with_small_models(df, models, "b", "x")
+    joined = bayes_by_join(df, models, "b", "x", 6)
+    carried = bayes.score_blocks(df, models, "b", "x", 6)
     a = {r["seq"]: r["pred"] for r in joined.collect()}
-    assert a == {r["seq"]: r["pred"] for r in small.collect()}
+    assert a == {r["seq"]: r["pred"] for r in carried.collect()}
     rows = sorted(df.collect(), key=lambda r: r["seq"])
     x = np.array([r["x"] for r in rows])
     y = np.array([r["label"] for r in rows])
@@ -305,11 +306,8 @@ def test_bayes_paths_agree_and_match_a_loop(spark):
 def test_bayes_gate_drops_rows_without_a_model(spark):
     df = planted(spark, 120).withColumn("b", fixed_block("seq", 50))
     models = bayes.snapshots(df, "b", "x", "label", 6, (0, 1))
-    for out in (
-        bayes.score_by_join(df, models, "b", "x", 6, gate=True),
-        bayes.score_with_small_models(df, models, "b", "x", gate=True),
-    ):
-        assert out.agg(F.min("seq"), F.count("*")).first() == (50, 70)
+    out = bayes.score_blocks(df, models, "b", "x", 6, gate=True)
+    assert out.agg(F.min("seq"), F.count("*")).first() == (50, 70)
 
 
 def test_snapshots_only_after_full_blocks(spark):

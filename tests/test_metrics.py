@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import metrics
+from millrace.operators.scan import decayed
 
 
 def hits(spark, values):
@@ -18,7 +19,7 @@ def test_weighted_accuracy_golden(spark, bias, corrected):
     assert [r["corrected"] for r in rows] == pytest.approx(corrected)
 
 
-@pytest.mark.parametrize("alpha", [0.02, 0.5, 0.9, 0.999])
+@pytest.mark.parametrize("alpha", [0.02, 0.5, 0.9, 0.999, 0.999999])
 def test_weighted_accuracy_equals_a_loop(spark, alpha):
     values = [(i * 7 + i // 3) % 5 > 1 for i in range(1500)]
     values[300:900] = [False] * 600
@@ -33,6 +34,22 @@ def test_weighted_accuracy_equals_a_loop(spark, alpha):
     assert got == pytest.approx(want, abs=1e-12)
 
 
+@pytest.mark.parametrize("factor, max_rows", [(0.999999, 128), (0.9, 16), (0.001, 16), (0.97, 1 << 14)])
+def test_decayed_state_over_several_levels_equals_a_loop(spark, factor, max_rows):
+    values = [None if i % 11 == 0 else ((i * 7 + i // 3) % 5 - 1) * 0.5 for i in range(1500)]
+    rows = [(k, i, v) for k in ("a", None) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, rank long, v double").repartition(3)
+    out = decayed(df, "rank", F.col("v"), factor, "s", ["k"], max_rows)
+    assert sorted(out.columns) == ["k", "rank", "s", "v"]
+    s, want = 0.0, []
+    for v in values:
+        s = factor * s + (v or 0.0)
+        want.append(s)
+    got = out.orderBy("rank").collect()
+    for key in ("a", None):
+        assert [r["s"] for r in got if r["k"] == key] == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
 def test_weighted_accuracy_per_key(spark):
     df = spark.createDataFrame(
         [("a", 0, 1), ("a", 1, 0), (None, 0, 0), (None, 1, 1)], "k string, rank long, c int"

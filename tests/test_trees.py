@@ -4,6 +4,7 @@ any growth, and appended rows."""
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ import __spark_entry__ as contract
 from millrace.learners import bayes, ensemble
 from millrace.learners.linear import linear_scan
 from millrace.learners.network import class_targets, perceptron, train_in_rounds
-from millrace.learners.tree import TreeParams, prequential_hoeffding, tree_snapshots, tree_text, tree_vote
+from millrace.learners.tree import TreeParams, _leaf_votes, prequential_hoeffding, tree_snapshots, tree_text, tree_vote
 from millrace.operators.connect import with_latest
 from millrace.operators.order import Rounds, doubling_block, fixed_block
 from millrace.plans import learning
@@ -306,3 +307,47 @@ def test_subsets_take_missing_values(spark):
     out = ensemble.subset_votes(df, "seq", "x", "label", [(0, 1)], p, 64).orderBy("seq").collect()
     alone = prequential_hoeffding(df, "seq", "x", "label", p, first=64).orderBy("seq").collect()
     assert [r["votes"] for r in out] == [[r["pred"]] for r in alone]
+
+
+def test_leaf_votes_equal_a_loop():
+    rng = np.random.default_rng(4)
+    p = TreeParams(3, 3, nominal=((2, 4),))
+    n = 200
+    x = np.column_stack([rng.normal(size=n), rng.normal(size=n) * 3, rng.integers(-1, 6, n)]).astype(float)
+    x[rng.random((n, 3)) < 0.2] = np.nan
+    x[5] = np.nan
+    x[6, 0] = np.inf
+    cells = []
+    for c in (0, 2):  # class 1 was never seen
+        for i in (0, 1):
+            if (c, i) != (2, 1):  # class 2 never had feature 1
+                cells.append({"i": i, "bin": 0, "label": c, "n": 5 + c + i, "mean": 0.3 * c - i, "m2": 4.0 * c * (i + 1)})
+        for code in range(c, 4):
+            cells.append({"i": 2, "bin": code, "label": c, "n": 1 + code + c, "mean": 0.0, "m2": 0.0})
+    kind = pa.list_(
+        pa.struct([(f, pa.int32()) for f in ("i", "bin", "label")] + [("n", pa.int64()), ("mean", pa.float64()), ("m2", pa.float64())])
+    )
+    votes = _leaf_votes(pa.scalar(cells, kind), x, p).to_pylist()
+
+    def vote(row):
+        best = []
+        for c in range(3):
+            prior, total = 0, 0.0
+            for i, v in enumerate(row):
+                if not math.isfinite(v):
+                    continue
+                of = [e for e in cells if e["i"] == i and e["label"] == c]
+                count = sum(e["n"] for e in of)
+                prior = max(prior, count)
+                if i == 2:
+                    code = min(max(int(v), 0), 3)
+                    hit = sum(e["n"] for e in of if e["bin"] == code)
+                    total += math.log((hit + 1) / (count + 4))
+                elif of:
+                    var = max(of[0]["m2"] / of[0]["n"], 1e-6)
+                    total -= 0.5 * (math.log(2 * math.pi * var) + (v - of[0]["mean"]) ** 2 / var)
+            best.append((math.log(prior) + total if prior else -1e300, -c))
+        return -max(best)[1]
+
+    want = [vote(r) if np.isfinite(r).any() else None for r in x]
+    assert votes == want and votes[5] is None and {0, 2} <= set(votes)
