@@ -53,6 +53,17 @@ def _lower(x: np.ndarray, lr: float) -> np.ndarray:
     return np.eye(len(x)) + lr * np.tril(x @ x.T, -1)
 
 
+def replayed(w: np.ndarray, x: np.ndarray, y: np.ndarray, lr: float) -> tuple[np.ndarray, np.ndarray]:
+    """Predictions of rows in their order from weights ``w`` on, and the weights
+    behind them. ``x`` has its column of ones."""
+    preds = []
+    for part, wanted in _chunks(x, y):
+        e = np.linalg.solve(_lower(part, lr), wanted - part @ w)
+        preds.append(wanted - e)
+        w = w + lr * part.T @ e
+    return np.vstack(preds), w
+
+
 def linear_scan(
     df: DataFrame,
     rank: str,
@@ -135,12 +146,8 @@ def linear_scan(
                 pdf = pdf.iloc[1:]
             if pdf.empty:
                 continue
-            preds = []
-            for x, y in _chunks(*_arrays(pdf)):
-                e = np.linalg.solve(_lower(x, lr), y - x @ w)
-                preds.append(y - e)
-                w = w + lr * x.T @ e
-            done.append(pdf[[*passed, "_y"]].assign(pred=list(np.vstack(preds))))
+            pred, _ = replayed(w, *_arrays(pdf), lr)
+            done.append(pdf[[*passed, "_y"]].assign(pred=list(pred)))
         if not done:
             empty = groups[0].iloc[:0][[*passed, "_y"]].rename(columns={"_y": "actual"})
             return empty.assign(pred=pd.Series(dtype=object))

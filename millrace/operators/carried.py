@@ -1,4 +1,5 @@
-"""Rows scored as matrices with a model that travels with them.
+"""Rows scored as matrices with a model that travels with them, and learners whose
+state enters a micro-batch in the same way.
 
 A model is one row of its group (a block, or a leaf in a round). It is neither
 copied to every row nor shipped to every task: it enters the rows of its group as
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.runtime import materialise
 
@@ -132,3 +134,77 @@ def score_carried(
 
     out_type = pa.int32() if isinstance(kind, T.IntegerType) else pa.float64()
     return placed.mapInArrow(run, schema)
+
+
+def learn_carried(
+    rows: DataFrame,
+    states: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    start: Sequence[float],
+    step: Callable[[np.ndarray, pa.RecordBatch], tuple[dict[str, pa.Array], np.ndarray]],
+    made: T.StructType,
+) -> DataFrame:
+    """Rows of every key in ``order`` through a learner whose state is a vector.
+    ``states`` has the state that each known key starts with (``keys``, ``state``);
+    other keys begin with ``start``. ``step(state, rows)`` gets a stretch of rows of
+    one key and returns the columns ``made`` and the next state, so a task holds one
+    batch however many rows a key has.
+
+    The result has the rows with their new columns, and one row with ``state`` set
+    and nothing else beside its key for every key of either table."""
+    keys, wide = list(keys), len(rows.columns)
+    both = rows.withColumn("_carry", F.lit(1)).unionByName(
+        states.select(*keys, F.col("state").alias("_state"), F.lit(0).alias("_carry")),
+        allowMissingColumns=True,
+    )
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        both.withColumn("_group", F.xxhash64(*keys))
+        .repartition(parts, *keys)
+        .sortWithinPartitions(*keys, "_carry", order)
+        .select(*rows.columns, "_state", "_carry", "_group")
+    )
+    state_field = T.StructField("state", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*rows.schema.fields, *made.fields, state_field])
+    names = [f.name for f in schema.fields]
+    key_at = [rows.columns.index(k) for k in keys]
+    arrow = to_arrow_schema(schema)
+
+    def closing(key: pa.RecordBatch, state: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.nulls(1, f.type) for f in arrow]
+        for i in key_at:
+            columns[i] = key.column(i).cast(arrow.field(i).type)
+        columns[-1] = pa.array([state.tolist()], arrow.field(len(names) - 1).type)
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, key, state = None, None, None
+        for batch in batches:
+            total = batch.num_rows
+            if not total:
+                continue
+            carry = batch.column(wide + 1).to_numpy(zero_copy_only=False) == 0
+            groups = batch.column(wide + 2).to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero(carry | np.concatenate([[True], groups[1:] != groups[:-1]]))
+            own = batch.select(range(wide))
+            for a, b in zip(turns, [*turns[1:], total]):
+                a, b = int(a), int(b)
+                if groups[a] != group or key is None:
+                    if key is not None:
+                        yield closing(key, state)
+                    group, key, state = groups[a], own.slice(a, 1), np.array(start, dtype=float)
+                if carry[a]:
+                    state = np.array(batch.column(wide)[a].as_py(), dtype=float)
+                    a += 1
+                if a == b:
+                    continue
+                part = own.slice(a, b - a)
+                found, state = step(state, part)
+                columns = [*part.columns, *[found[f.name] for f in made.fields], pa.nulls(b - a)]
+                columns = [c.cast(f.type) for c, f in zip(columns, arrow)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        if key is not None:
+            yield closing(key, state)
+
+    return placed.mapInArrow(run, schema)

@@ -634,11 +634,13 @@ def m2_stream(spark, sf):
     "OVER (PARTITION BY user_id ORDER BY event_id) / (seen - 19), 9) AS accuracy FROM p WHERE seen >= 20",
 )
 def m10_stream(spark, sf):
-    out = scratch_path(spark, "keyed-majority")
+    out, state = scratch_path(spark, "keyed-majority"), scratch_path(spark, "keyed-majority-state")
+    handle = st.keyed_majority_stream(
+        spark, out, state, "user_id", "bigint", "event_id", "code", 5, 20
+    )
 
     def consume(stream, checkpoint):
-        scored = st.keyed_majority_stream(stream, "user_id", "bigint", "event_id", "code", 5, 20)
-        drain(scored, out, checkpoint)
+        drain_batches(stream, handle, checkpoint)
 
     halves(spark, coded_events(spark, sf).select("event_id", "user_id", "code"), "event_id", consume)
     return spark.read.parquet(out).select(

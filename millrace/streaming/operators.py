@@ -1,18 +1,19 @@
-"""Streaming forms of the operators. Windows, gathering and keyed learners use
-the state store; global running state is scanned inside each micro-batch from a
-small start state."""
+"""Streaming forms of the operators. Windows and gathering use the state store;
+running state, global or per key, is carried through each micro-batch from the
+state that the batch before it wrote."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
-from millrace.learners import bayes
+from millrace.learners import bayes, linear
+from millrace.operators.carried import learn_carried, matrix_of
 from millrace.operators.connect import with_latest
 from millrace.operators.scan import State, running
 from millrace.streaming.run import BatchState, write_batch
@@ -185,62 +186,110 @@ def bayes_stream(
 
 
 def latest_model_stream(
-    out: str, order: str, snapshots: Callable[[], DataFrame], score: Callable[[DataFrame], DataFrame]
+    out: str,
+    order: str,
+    snapshots: Callable[[], DataFrame],
+    score: Callable[[DataFrame], DataFrame],
+    valid_from: str = "valid_from",
 ) -> Callable[[DataFrame, int], None]:
     """Score a stream with whatever model snapshots have been published when the
-    micro-batch starts; ``snapshots()`` reads the snapshot folder anew."""
+    micro-batch starts; ``snapshots()`` reads the snapshot folder anew. Of the
+    folder a batch reads the positions, then only the newest model before its first
+    row and those inside its range (a filter on ``valid_from`` that reaches the scan)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(score(with_latest(batch, order, {"model": snapshots()})), out, batch_id)
+        batch = batch.persist()
+        first, last = batch.agg(F.min(order), F.max(order)).first()
+        known = snapshots()
+        if first is not None:
+            newest = known.filter(F.col(valid_from) <= first).agg(F.max(valid_from)).first()[0]
+            since = first if newest is None else newest
+            known = known.filter(F.col(valid_from).between(since, last))
+        write_batch(score(with_latest(batch, order, {"model": known}, valid_from)), out, batch_id)
+        batch.unpersist()
 
     return handle
 
 
-# --- keyed learners in the state store -----------------------------------------------
+# --- keyed learners, batch by batch ----------------------------------------------------
+
+
+def keyed_stream(
+    spark: SparkSession,
+    out: str,
+    state_path: str,
+    key: str,
+    key_type: str,
+    order: str,
+    columns: dict[str, Column],
+    start: Sequence[float],
+    step: Callable,
+    made: str,
+    finish: Callable[[DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
+    """Handler for a learner per key, exact for every row. The state of a key is a
+    vector of numbers and enters a micro-batch before the rows of its key, which are
+    sorted by ``order`` in the shuffle; a key with millions of rows in one batch is
+    read in Arrow batches like any other. The table of states is written anew by
+    every batch, so batches should be large beside the number of keys."""
+    state = BatchState(spark, state_path, f"{key} {key_type}, state array<double>")
+    fields = T.StructType.fromDDL(made)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(
+            F.col(key).cast(key_type).alias(key),
+            F.col(order).cast("bigint").alias(order),
+            *[c.alias(n) for n, c in columns.items()],
+        )
+        learned = learn_carried(rows, state.before(batch_id), [key], order, start, step, fields).persist()
+        write_batch(finish(learned.filter("state is null").drop("state")), out, batch_id)
+        state.save(learned.filter("state is not null").select(key, "state"), batch_id)
+        learned.unpersist()
+
+    return handle
 
 
 def keyed_majority_stream(
-    stream: DataFrame, key: str, key_type: str, order: str, label: str, classes: int, warmup: int = 1
-) -> DataFrame:
-    """Majority class per key with warm-up, exact per record for in-order input.
-    The state of a key is its row count, hits and class counts."""
-
-    def learn(
-        _: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        seen, hits, counts = state.get if state.exists else (0, 0, [0.0] * classes)
-        counts = np.array(counts)
-        rows = pd.concat(list(batches)).sort_values(order)
-        labels = rows[label].to_numpy()
+    spark: SparkSession,
+    out: str,
+    state_path: str,
+    key: str,
+    key_type: str,
+    order: str,
+    label: str,
+    classes: int,
+    warmup: int = 1,
+) -> Callable[[DataFrame, int], None]:
+    """Majority class per key with warm-up. The state of a key is its row count,
+    hits and class counts."""
+
+    def step(state: np.ndarray, rows: pa.RecordBatch) -> tuple[dict[str, pa.Array], np.ndarray]:
+        labels = rows.column(2).to_numpy(zero_copy_only=False)
         one_hot = (labels[:, None] == np.arange(classes)).astype(float)
-        before = counts + np.cumsum(one_hot, axis=0) - one_hot
-        pred = before.argmax(axis=1)
-        n = seen + 1 + np.arange(len(rows))
-        tested = n >= warmup
-        right = np.cumsum((pred == labels) & tested) + hits
-        state.update((int(n[-1]), int(right[-1]), (counts + one_hot.sum(axis=0)).tolist()))
-        out = pd.DataFrame(
-            {
-                key: rows[key].to_numpy(),
-                order: rows[order].to_numpy(),
-                "seen": n,
-                "pred": pred.astype("int32"),
-                "accuracy": right / np.maximum(n - warmup + 1, 1),
-            }
-        )
-        yield out[tested]
-
-    return stream.groupBy(key).applyInPandasWithState(
-        learn,
-        f"{key} {key_type}, {order} bigint, seen bigint, pred int, accuracy double",
-        "seen bigint, hits bigint, counts array<double>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+        upto = state[2:] + np.cumsum(one_hot, axis=0)
+        pred = (upto - one_hot).argmax(axis=1)
+        seen = state[0] + 1 + np.arange(len(labels))
+        hits = state[1] + np.cumsum((pred == labels) & (seen >= warmup))
+        shares = hits / np.maximum(seen - warmup + 1, 1)
+        found = {
+            "seen": pa.array(seen.astype(np.int64)),
+            "pred": pa.array(pred.astype(np.int32)),
+            "accuracy": pa.array(shares),
+        }
+        return found, np.concatenate([[seen[-1], hits[-1]], upto[-1]])
+
+    return keyed_stream(
+        spark, out, state_path, key, key_type, order,
+        {"_label": F.col(label).cast("int")}, [0.0] * (2 + classes), step,
+        "seen bigint, pred int, accuracy double",
+        lambda rows: rows.filter(F.col("seen") >= warmup).drop("_label"),
+    )
 
 
 def keyed_linear_stream(
-    stream: DataFrame,
+    spark: SparkSession,
+    out: str,
+    state_path: str,
     key: str,
     key_type: str,
     order: str,
@@ -250,35 +299,19 @@ def keyed_linear_stream(
     outputs: int,
     lr: float,
     init: float = 0.1,
-) -> DataFrame:
-    """Delta-rule learner per key; the state of a key is its weight matrix."""
-
-    def learn(
-        _: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        w = np.array(state.get[0]) if state.exists else np.full((width + 1) * outputs, init)
-        w = w.reshape(width + 1, outputs)
-        rows = pd.concat(list(batches)).sort_values(order)
-        preds = []
-        for x, y in zip(rows[features], rows[targets]):
-            x = np.append(np.asarray(x, dtype=float), 1.0)
-            p = x @ w
-            preds.append(p)
-            w = w + lr * np.outer(x, np.asarray(y, dtype=float) - p)
-        state.update((w.ravel().tolist(),))
-        yield pd.DataFrame(
-            {
-                key: rows[key].to_numpy(),
-                order: rows[order].to_numpy(),
-                "actual": rows[targets].to_numpy(),
-                "pred": preds,
-            }
-        )
-
-    return stream.groupBy(key).applyInPandasWithState(
-        learn,
-        f"{key} {key_type}, {order} bigint, actual array<double>, pred array<double>",
-        "weights array<double>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+) -> Callable[[DataFrame, int], None]:
+    """Delta-rule learner per key; the state of a key is its weight matrix, and
+    stretches of rows are solved together (``linear.replayed``)."""
+
+    def step(state: np.ndarray, rows: pa.RecordBatch) -> tuple[dict[str, pa.Array], np.ndarray]:
+        x, y = matrix_of(rows.column(2), width), matrix_of(rows.column(3), outputs)
+        x = np.hstack([x, np.ones((len(x), 1))])
+        pred, weights = linear.replayed(state.reshape(width + 1, outputs), x, y, lr)
+        return {"pred": pa.array(list(pred))}, weights.ravel()
+
+    return keyed_stream(
+        spark, out, state_path, key, key_type, order,
+        {"_x": F.col(features).cast("array<double>"), "actual": F.col(targets).cast("array<double>")},
+        [init] * ((width + 1) * outputs), step, "pred array<double>",
+        lambda rows: rows.drop("_x"),
+    )

@@ -57,11 +57,11 @@ def test_keyed_linear_stream_equals_the_loop(spark):
     rng = np.random.default_rng(4)
     rows = [(i, i % 3, rng.normal(size=2).tolist(), [float(i % 4)]) for i in range(60)]
     df = spark.createDataFrame(rows, "seq long, k long, x array<double>, y array<double>")
-    out = scratch_path(spark, "keyed")
+    out, state = scratch_path(spark, "keyed"), scratch_path(spark, "keyed-state")
+    handle = st.keyed_linear_stream(spark, out, state, "k", "bigint", "seq", "x", "y", 2, 1, 0.05)
 
     def consume(stream, checkpoint):
-        made = st.keyed_linear_stream(stream, "k", "bigint", "seq", "x", "y", 2, 1, 0.05)
-        drain(made, out, checkpoint)
+        drain_batches(stream, handle, checkpoint)
 
     replay(spark, df, "seq", [25], consume)
     got = {r["seq"]: r["pred"][0] for r in spark.read.parquet(out).collect()}
@@ -74,6 +74,60 @@ def test_keyed_linear_stream_equals_the_loop(spark):
                 w = w + 0.05 * np.outer(x, np.array(y) - x @ w)
 
 
+def test_keyed_streams_with_a_hot_a_null_and_a_resting_key(spark):
+    """One key has most rows of a batch, in many Arrow batches; one rests for a batch;
+    a batch that is run again gives the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    out, state = scratch_path(spark, "km"), scratch_path(spark, "km-state")
+    rows = [(2**60 + i, None if i % 9 == 0 else "hot" if i % 5 else "rest", None if i % 17 == 0 else i * i % 3) for i in range(1200)]
+    rows = [r for r in rows if not (r[1] == "rest" and 400 <= r[0] - 2**60 < 800)]
+    ddl = "seq long, k string, c int"
+    handle = st.keyed_majority_stream(spark, out, state, "k", "string", "seq", "c", 3, 5)
+    try:
+        for b in (0, 1, 1, 2):
+            part = [r for r in rows if (r[0] - 2**60) // 400 == b]
+            handle(spark.createDataFrame(part[::-1], ddl).repartition(4), b)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {r["seq"]: (r["k"], r["seen"], r["pred"], r["accuracy"]) for r in spark.read.parquet(out).collect()}
+    want, seen, hits, counts = {}, {}, {}, {}
+    for seq, k, c in rows:
+        of = counts.setdefault(k, [0, 0, 0])
+        pred = of.index(max(of))
+        seen[k] = seen.get(k, 0) + 1
+        if seen[k] >= 5:
+            hits[k] = hits.get(k, 0) + (pred == c)
+            want[seq] = (k, seen[k], pred, hits[k] / (seen[k] - 4))
+        if c is not None:
+            of[c] += 1
+    assert got == want
+
+
+def test_snapshots_published_during_a_stream_are_used_and_old_ones_not_read(spark):
+    out, folder = scratch_path(spark, "late-models"), scratch_path(spark, "published")
+    read = []
+
+    def publish(*positions):
+        made = spark.createDataFrame([(p, p * 10) for p in positions], "valid_from long, params long")
+        made.write.mode("append").parquet(folder)
+
+    def score(rows):
+        read.append({r["model"] for r in rows.select("model").distinct().collect()})
+        return rows
+
+    handle = st.latest_model_stream(out, "seq", lambda: spark.read.parquet(folder), score)
+    publish(3, 7)
+    handle(spark.range(0, 10).withColumnRenamed("id", "seq"), 0)
+    publish(12, 15, 40)
+    handle(spark.range(10, 20).withColumnRenamed("id", "seq"), 1)
+    handle(spark.range(20, 30).withColumnRenamed("id", "seq"), 2)
+    handle(spark.range(0).withColumnRenamed("id", "seq"), 3)
+    got = {r["seq"]: r["model"] for r in spark.read.parquet(out).collect()}
+    newest = lambda s: max((p * 10 for p in (3, 7, 12, 15) if p <= s), default=None)
+    assert got == {s: newest(s) for s in range(30)}
+    assert read == [{None, 30, 70}, {70, 120, 150}, {150}, set()]
+
+
 def test_confusion_stream_equals_batch(spark):
     df = spark.range(50).select(
         F.col("id").alias("seq"), (F.col("id") % 3).cast("int").alias("a"), (F.col("id") % 2).cast("int").alias("p")
