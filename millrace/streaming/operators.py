@@ -4,13 +4,15 @@ state that the batch before it wrote."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.learners import bayes, linear
 from millrace.operators.carried import learn_carried, matrix_of
@@ -50,22 +52,62 @@ def flatten_stream(
     delay: str = "0 seconds",
 ) -> DataFrame:
     """Sliding windows as flat vectors, and ``n`` for the short ones (``features``
-    is NULL there). The state holds the rows of every open window."""
-    member = F.struct(
-        F.col("_ts"), F.col(seq), F.col(features).alias("f"), F.col(targets).alias("t")
+    is NULL there, as it is where one of the vectors is missing). The state of an open
+    window is a count and its first ``rows`` rows in (time, arrival) order, however
+    crowded it is; a window comes out when the watermark has passed its end."""
+    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
+    members = timed.select(
+        F.window("_ts", size, slide).alias("window"),  # late rows are dropped by its end
+        F.unix_micros("_ts").alias("_at"),
+        F.coalesce(F.col(seq).cast("bigint"), F.lit(-(2**63))).alias("_seq"),
+        F.col(features).cast("array<double>").alias("_f"),
+        F.col(targets).cast("array<double>").alias("_t"),
+    ).withColumns(
+        {"_from": F.unix_micros("window.start"), "_to": F.unix_micros("window.end")}
     )
-    sorted_rows = F.sort_array(F.collect_list(member))
-    built = windowed(
-        stream, ts, size, [F.slice(sorted_rows, 1, rows).alias("_m"), F.count("*").alias("n")],
-        slide, delay,
-    )
-    full = F.col("n") >= rows
-    return built.select(
-        "window",
-        "n",
-        F.when(full, F.flatten(F.transform("_m", lambda m: m["f"]))).alias("features"),
-        F.when(full, F.try_element_at("_m", F.lit(rows))["t"]).alias("targets"),
+    names = ["_at", "_seq", "_f", "_t"]
+
+    def first_rows(
+        window: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        start, end = (int(v) for v in window)
+        n, *held = state.get if state.exists else (0, [], [], [], [])
+        if state.hasTimedOut:
+            state.remove()
+            whole = n >= rows and all(v is not None for v in held[2])
+            flat = [v for vector in held[2] for v in vector] if whole else None
+            yield pd.DataFrame(
+                {
+                    "_from": [start],
+                    "_to": [end],
+                    "n": [n],
+                    "features": [flat],
+                    "targets": [held[3][-1] if n >= rows else None],
+                }
+            )
+            return
+        kept = pd.DataFrame(dict(zip(names, held)), dtype=object)
+        for pdf in batches:
+            n += len(pdf)
+            both = pd.concat([kept, pdf[names].astype(object)], ignore_index=True)
+            kept = both.sort_values(["_at", "_seq"], kind="stable").head(rows)
+        numbers = [[int(v) for v in kept[c]] for c in ("_at", "_seq")]
+        vectors = [[None if v is None else [*map(float, v)] for v in kept[c]] for c in ("_f", "_t")]
+        state.update((n, *numbers, *vectors))
+        # open windows end after the watermark; the time must lie after it too
+        state.setTimeoutTimestamp(max(end // 1000 - 1, state.getCurrentWatermarkMs() + 1))
+
+    closed = members.groupBy("_from", "_to").applyInPandasWithState(
+        first_rows,
+        "_from bigint, _to bigint, n bigint, features array<double>, targets array<double>",
+        "n bigint, at array<bigint>, seq array<bigint>, f array<array<double>>, t array<array<double>>",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    window = F.struct(
+        F.timestamp_micros("_from").alias("start"), F.timestamp_micros("_to").alias("end")
     )
+    return closed.select(window.alias("window"), "n", "features", "targets")
 
 
 def confusion_stream(stream: DataFrame, actual: Column, pred: Column) -> DataFrame:

@@ -41,6 +41,37 @@ def test_flattened_stream_equals_batch_on_closed_windows(spark):
             assert got[r["window_start"]] == (r["n"], None, None)
 
 
+def test_crowded_windows_keep_their_first_rows_and_close_at_the_end(spark):
+    """500 rows a window in three disordered arrivals, many Arrow batches a group."""
+    df = spark.range(1500).select(
+        F.col("id").alias("seq"),
+        F.timestamp_seconds(F.expr("pmod(id * 7, 30)")).alias("ts"),
+        F.array(F.col("id").cast("double")).alias("f"),
+        F.array((F.col("id") % 5).cast("double")).alias("t"),
+    )
+    out = scratch_path(spark, "crowded")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+
+    def consume(stream, checkpoint):
+        made = st.flatten_stream(stream, "ts", "seq", "f", "t", "10 seconds", "5 seconds", 3, "40 seconds")
+        drain(made, out, checkpoint)
+
+    try:
+        replay(spark, df, "seq", [450, 1000], consume, end_of_input(df, "ts", 51))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {
+        r["s"]: (r["n"], r["features"], r["targets"])
+        for r in spark.read.parquet(out).selectExpr("unix_seconds(window.start) AS s", "*").collect()
+    }
+    rows = sorted((i * 7 % 30, i) for i in range(1500))
+    want = {}
+    for start in range(-5, 30, 5):
+        of = [i for t, i in rows if start <= t < start + 10]
+        want[start] = (len(of), [float(i) for i in of[:3]], [float(of[2] % 5)])
+    assert got == want
+
+
 def test_a_repeated_batch_gives_the_same_state(spark):
     out, state = scratch_path(spark, "rep"), scratch_path(spark, "rep-state")
     handle = st.running_sums(spark, out, state, "seq", {"total": F.col("v")})
