@@ -8,9 +8,10 @@ state that enters a block comes back as one extra *carry row* which sorts before
 the block's own rows. The window over ``(keys, block)`` then needs one shuffle
 and holds at most ``width`` rows, because ``order`` is unique within a key.
 
-With keys, only a key with more than ``HOT_ROWS`` rows is cut into blocks; the
-window of any other key is small as it is, and cutting it up would make a table
-of block totals as long as the input.
+Only a key with more than ``HOT_ROWS`` rows is cut into blocks (without keys, a
+table with more); the window of any other is small as it is. Cutting up small keys
+would make a table of block totals as long as the input, and cutting up a small
+table costs more in stages than its rows do.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from millrace.runtime import materialise
 # Rows per block, then blocks per super-block. 10^11 rows leave about 1500
 # entries for the last, unpartitioned step.
 WIDTHS = (1 << 14, 1 << 12)
-# A key with more rows than this is cut into blocks.
+# A key with more rows than this is cut into blocks, and a table without keys.
 HOT_ROWS = 1 << 20
+# A table is counted as a whole only where Spark expects no more bytes of it.
+COUNT_BYTES = 1 << 28
 
 
 @dataclass(frozen=True)
@@ -85,6 +88,13 @@ def _scan(df, order, hows, keys, inclusive, widths, hot=None):
     return out.filter(F.col(carry) == 1).drop(block, carry)
 
 
+def _at_most(df: DataFrame, rows: int) -> bool:
+    """True if ``df`` is known to have no more than ``rows`` rows. The estimate
+    only tells whether counting is cheap; the count decides."""
+    expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return expected <= COUNT_BYTES and df.count() <= rows
+
+
 def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows: at most rows/hot_rows of them. They
     are written out, so the join below is planned from the table's real size."""
@@ -114,11 +124,14 @@ def running(
     (``inclusive``) or just before it. ``order`` is a whole-number column,
     unique within ``keys``. The input is evaluated twice: store it first when it
     is expensive. ``hot_rows=None`` cuts every key into blocks without counting,
-    for inputs that have about as many rows under each key."""
+    for inputs that have about as many rows under each key. All ways give the same
+    rows; none puts more than ``hot_rows`` or ``widths[0]`` rows into one window."""
     keys = list(keys)
     hows = {n: s.how for n, s in states.items()}
     staged = df.withColumns({name: s.value for name, s in states.items()})
-    if not keys or hot_rows is None:
+    if hot_rows is not None and _at_most(df, hot_rows):
+        out = _windowed(staged, [order], hows, keys, Window.currentRow if inclusive else -1)
+    elif not keys or hot_rows is None:
         out = _scan(staged, order, hows, keys, inclusive, tuple(widths))
     else:
         hot = _hot_keys(df, keys, hot_rows)

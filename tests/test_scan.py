@@ -66,11 +66,9 @@ def expected(pdf, keyed, inclusive):
 @pytest.mark.parametrize("inclusive", [False, True])
 @pytest.mark.parametrize("hot_rows", [0, 120, 1000, None])
 def test_running_equals_a_loop(spark, widths, keyed, inclusive, hot_rows):
-    if not keyed and hot_rows:
-        pytest.skip("keys only")
-
     pdf = sample()
-    # 'hot' holds about half of the rows; at 120 it alone is cut into blocks
+    # 'hot' holds about half of the rows; at 120 it alone is cut into blocks, without
+    # keys the whole table is; a table of unknown size is not counted
     out = running(
         frame(spark, pdf), "seq", states(), ["k"] if keyed else [], inclusive, widths, hot_rows
     )
@@ -79,6 +77,20 @@ def test_running_equals_a_loop(spark, widths, keyed, inclusive, hot_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("keyed", [False, True])
+@pytest.mark.parametrize("hot_rows, cut", [(499, True), (500, False), (None, True)])
+def test_small_tables_are_counted_and_not_cut(spark, tmp_path, keyed, hot_rows, cut):
+    pdf = sample()
+    if keyed:
+        pdf["k"] = "hot"
+    frame(spark, pdf).write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    out = running(stored, "seq", states(), ["k"] if keyed else [], True, (16, 4), hot_rows)
+    assert ("_block2" in out._jdf.queryExecution().toString()) == cut
+    got = {r["seq"]: (r["n"], r["total"], r["top"], r["low"], r["prev"]) for r in out.collect()}
+    assert got == expected(pdf, keyed, True)
+
+
 def test_running_keeps_every_row_and_column(spark):
     out = running(frame(spark, sample()), "seq", {"n": count_state()}, ["k"], widths=(5,), hot_rows=50)
     assert out.columns == ["seq", "k", "v", "n"] and out.count() == 500
