@@ -3,6 +3,7 @@ before it kept, and is written as Parquet before the next one reads it."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +29,31 @@ def own_names(stage):
     return run
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the file and the place in it where each row is stored. Rows
+    that are not told apart by these, as they are no rows of Parquet files or
+    multiply such rows, are stored first."""
+    try:
+        rows = docs.withColumns({"file_": F.col("_metadata.file_path"), "at_": F.col("_metadata.row_index")})
+        if rows.groupBy("file_", "at_").count().where("count > 1").isEmpty():
+            return rows
+    except AnalysisException:  # no such columns
+        pass
+    return placed(materialise(docs, "rows", texts=True))
+
+
+def at_places(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``placed`` whose places ``kept`` has. So what a stage finds out
+    about rows is stored without their texts."""
+    return rows.join(kept.select("file_", "at_"), ["file_", "at_"], "left_semi")
+
+
 @own_names
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.quality_rules(docs, keep_text=True).where("kept").select(*docs.columns)
+    rows = placed(docs)
+    read = rows.select(*[c for c in ("text", "lang", "source", "file_", "at_") if c in rows.columns])
+    return at_places(rows, quality.quality_rules(read).where("kept")).select(*docs.columns)
 
 
 @own_names
@@ -39,12 +61,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each SimHash component: the one with the smallest doc_id, null
     last; of rows that share that too, the first as stored. Rows of one doc_id whose
     texts are in different components all stay, each for its own."""
-    # the rows are told apart by a number that is stored beside their texts
-    rows = materialise(docs.withColumn("row_", F.monotonically_increasing_id()), "numbered")
-    found = simhash.near_duplicates(rows, carry="row_")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_"))
-    stays = found.groupBy("root").agg(first.alias("first")).select(F.col("first.row_").alias("row_"))
-    return rows.join(stays, "row_", "left_semi").select(*docs.columns)
+    rows = placed(docs)
+    found = simhash.near_duplicates(rows, carry=("file_", "at_"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file_", "at_"))
+    stays = found.groupBy("root").agg(first.alias("first")).select("first.file_", "first.at_")
+    return at_places(rows, stays).select(*docs.columns)
 
 
 @own_names
@@ -83,5 +104,5 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"), texts=True)
     return docs

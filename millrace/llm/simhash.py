@@ -19,6 +19,8 @@ rows stay in the result. An empty table gives an empty result."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,16 +67,16 @@ def HASH(xxhash):
     return lambda x: digest(x, SEED)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: str | None = None) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long; and ``carry``, a long."""
-    kept = ["doc_id"] + [carry] * bool(carry)
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long; and the columns ``carry``."""
+    types = {"doc_id": "long", **{c: docs.schema[c].dataType.simpleString() for c in carry}}
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint((t or "").encode().translate(LOWER).split(), shingle) for t in batch["text"]]
-            yield pd.DataFrame({**{c: batch[c].astype("Int64") for c in kept}, "fp": np.array(fps, "u8").view("i8")})
+            yield batch[list(types)].astype({"doc_id": "Int64"}).assign(fp=np.array(fps, "u8").view("i8"))
 
-    return map_exact(docs.select(*kept, "text"), run, "".join(f"{c} long, " for c in kept) + "fp long")
+    return map_exact(docs.select(*types, "text"), run, "".join(f"{c} {t}, " for c, t in types.items()) + "fp long")
 
 
 def half(fp: Column, which: Column) -> Column:
@@ -196,10 +198,10 @@ def links(fps: DataFrame, heavy: int = HEAVY) -> DataFrame:
     return rows.groupBy("bucket").applyInPandas(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, carry: str | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id
-    reachable by links, the row's own included). With ``carry``, a long column of
-    ``docs``, also that and ``root``, a fingerprint that names the component, also
+    reachable by links, the row's own included). With ``carry``, columns of
+    ``docs``, also these and ``root``, a fingerprint that names the component, also
     where no document of it has a doc_id."""
     prints = materialise(fingerprints(docs, shingle, carry), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("_n"))
@@ -211,4 +213,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, carry: str | None =
     total = named.agg(F.sum("_n")).first()[0] or 0
     out = join_counted(prints, named, "fp", "_n", total)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return out.select("doc_id", digits, "component_id", *([carry, "root"] if carry else []))
+    return out.select("doc_id", digits, "component_id", *([*carry, "root"] if carry else []))

@@ -325,7 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digests: bool = True,
         return rows.select(*[F.col(c).alias(told.get(c, c)) for c in result.names])
 
     met = keyed.groupBy("_batch").cogroup(found.withColumnRenamed("batch", "_batch").groupBy("_batch"))
-    middle_rows = materialise(met.applyInArrow(extend, middle), "substrings")
+    middle_rows = materialise(met.applyInArrow(extend, middle), "substrings", texts=True)
     done = own_names(middle_rows.where("bucket is null and _starts is null"))
     candidates = middle_rows.where("_starts is not null").select(*carried, "n_words", "_batch", "_starts", "_raw")
     sent = middle_rows.where("bucket is not null").select("bucket", F.col("_batch").alias("batch"), "once", "more")

@@ -1,5 +1,7 @@
 """Cases in which rows, signs or scores were once lost or bent."""
 
+import pathlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import common, licenses, neighbours, ordinal, private, quality, sharding, substrings
+from millrace.runtime import shared_dir
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -137,3 +140,36 @@ def test_batches_of_null_ids_are_dealt_by_text(spark, monkeypatch):
     got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
     assert sorted(got["n_removed"]) == [0] * 30 + [40] * 30
     assert isinstance(got, pd.DataFrame) and len(got) == 60
+
+
+def stored_by(spark, stage, docs) -> dict:
+    """Names of the folders that a stage stores, and their columns."""
+    shared = pathlib.Path(shared_dir(spark))
+    before = set(shared.iterdir())
+    stage(spark, docs, "").write.format("noop").mode("overwrite").save()
+    made = [p for p in set(shared.iterdir()) - before if any(p.glob("part-*"))]
+    return {p: spark.read.parquet(str(p)).columns for p in made}
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.quality_stage, corpus_pipeline.near_duplicate_stage])
+def test_stages_that_choose_rows_store_no_text_again(spark, stage):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = stored_by(spark, stage, docs)
+    assert made and not [p for p, columns in made.items() if "text" in columns]
+
+
+def test_texts_are_stored_small(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = [p for p, columns in stored_by(spark, corpus_pipeline.substring_stage, docs).items() if "text" in columns]
+    assert made and all(list(p.glob("part-*")) == list(p.glob("*.zstd.parquet")) for p in made)
+
+
+def test_rows_are_told_apart_wherever_they_come_from(spark):
+    same = "the quick brown fox jumps over the lazy dog near the old river bank today"
+    rows = [(1, same), (2, same), (None, same), (3, "other words"), (3, "other words"), (None, "x y z"), (None, "x y z")]
+    docs = spark.createDataFrame([(d, t, "en", "a", k) for k, (d, t) in enumerate(rows)], PLAIN)
+    stored = corpus_pipeline.materialise(docs.repartition(4), "told-apart")
+    doubled = stored.crossJoin(spark.range(2).select("id")).drop("id")  # two rows of one place
+    for given in (docs, stored, stored.where("n_chars >= 0"), doubled, stored.union(stored)):
+        got = corpus_pipeline.near_duplicate_stage(spark, given, "").collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=str) == [(1, same), (3, "other words"), (None, "x y z")]
