@@ -30,7 +30,8 @@ from millrace.operators.order import Rounds, doubling_block
 from millrace.runtime import materialise, scratch_path
 
 SLICE_ROWS = 2048
-LOCKSTEP = 64  # slices trained side by side in one task
+LOCKSTEP = 64  # slices trained side by side in one task,
+LOCKSTEP_VALUES = 1 << 24  # unless their inputs are more numbers than this
 
 _ACTIVATIONS = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda a: (a > 0).astype(float)),
@@ -51,6 +52,10 @@ class Network:
     seed: int = 7
     learn_above: float | None = None  # train only if some |error| is larger
 
+    @property
+    def width(self) -> int:
+        return self.layers[0]
+
     def size(self) -> int:
         return sum((a + 1) * b for a, b in zip(self.layers, self.layers[1:]))
 
@@ -108,6 +113,10 @@ class Autoencoder:
     def batch(self) -> int:
         return self.net.batch
 
+    @property
+    def width(self) -> int:
+        return self.net.width
+
     def init(self) -> np.ndarray:
         return self.net.init()
 
@@ -136,6 +145,10 @@ class EncodedNetwork:
     def batch(self) -> int:
         return self.net.batch
 
+    @property
+    def width(self) -> int:
+        return self.encoder.width
+
     def init(self) -> np.ndarray:
         return np.concatenate([self.encoder.init(), self.net.init()])
 
@@ -152,6 +165,44 @@ class EncodedNetwork:
         self.net.step(ws[1], code, y, live)
 
 
+@dataclass(frozen=True)
+class OneHot:
+    """A network whose inputs are whole numbers below ``codes``, each learned as
+    ``codes`` inputs. Rows travel as the numbers; a step at a time is spread out."""
+
+    net: Network
+    codes: int
+
+    @property
+    def batch(self) -> int:
+        return self.net.batch
+
+    @property
+    def width(self) -> int:
+        return self.net.width // self.codes
+
+    @property
+    def takes(self) -> str:
+        return "array<tinyint>" if self.codes <= 128 else "array<int>"
+
+    def init(self) -> np.ndarray:
+        return self.net.init()
+
+    def unpack(self, flats):
+        return self.net.unpack(flats)
+
+    def spread(self, x: np.ndarray) -> np.ndarray:
+        return (x[..., None] == np.arange(self.codes)).reshape(*x.shape[:-1], -1).astype(float)
+
+    def predict(self, ws, x):
+        some = max(1, LOCKSTEP_VALUES // (8 * len(x) * self.net.width))
+        parts = [self.net.predict(ws, self.spread(x[:, at : at + some])) for at in range(0, x.shape[1], some)]
+        return np.concatenate(parts, axis=1)
+
+    def step(self, ws, x, y, live):
+        self.net.step(ws, self.spread(x), y, live)
+
+
 def train_lockstep(model, flats: np.ndarray, xs: list[np.ndarray], ys: list[np.ndarray]):
     """Train one model per slice, all slices one step at a time: the same
     arithmetic per slice, with array operations shared between slices. Returns
@@ -201,7 +252,7 @@ def train_in_rounds(
     passed = list(dict.fromkeys([*keys, rank, *keep]))
     rows = df.select(
         *passed,
-        F.col(features).cast("array<double>").alias("_x"),
+        F.col(features).cast(getattr(model, "takes", "array<double>")).alias("_x"),
         F.col(targets).cast("array<double>").alias("actual"),
         F.expr(f"`{rank}` div {int(slice_rows)}").alias("_slice"),
         doubling_block(rank, first).alias("_round"),
@@ -247,6 +298,7 @@ def train_in_rounds(
         return work
 
     by = [*keys, "_slice"]
+    lockstep = max(1, min(LOCKSTEP, LOCKSTEP_VALUES // (slice_rows * model.width)))
     origin = model.init()
     weights = None
     for r in range(0 if last is None else last + 1):
@@ -261,7 +313,7 @@ def train_in_rounds(
         elif r:
             start = weights
         done = map_sorted_groups(
-            part, by, [F.col("_w").isNull(), rank], worker(start), out_ddl, LOCKSTEP
+            part, by, [F.col("_w").isNull(), rank], worker(start), out_ddl, lockstep
         )
         round_path = f"{out_path}/round={r}"
         done.write.parquet(round_path)

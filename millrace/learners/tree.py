@@ -23,7 +23,7 @@ that could not split for ``max_nodes`` or ``max_depth`` are listed in ``capped``
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +39,8 @@ from millrace.operators.order import Rounds, doubling_block, rounds_of
 from millrace.runtime import materialise
 
 NUMERIC, MULTIWAY, ONE_VALUE = 0, 1, 2
+#: Rows of a task at least, unless there is one task only, and at most.
+DEALT_ROWS = 256, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -84,7 +86,11 @@ _SEARCH_DDL = (
     "s_arity array<int>, s_branches array<double>, poor array<int>"
 )
 _SEARCH_COLS = [part.split()[0] for part in _SEARCH_DDL.split(", ")]
-_erf = np.vectorize(math.erf, otypes=[float])
+_CELL = ("leaf", "i", "bin", "label", "n", "mean", "m2", "lo", "hi")
+
+
+def _erf(z: np.ndarray) -> np.ndarray:
+    return np.array([math.erf(v) for v in z.ravel().tolist()], float).reshape(z.shape)
 
 
 def _entropy(counts: np.ndarray) -> np.ndarray:
@@ -103,11 +109,10 @@ def _gains(branches: np.ndarray) -> np.ndarray:
     return np.where(useful, _entropy(branches.sum(axis=-2)) - inside, 0.0)
 
 
-def _numeric_splits(cells: pd.DataFrame, p: TreeParams) -> dict[int, tuple]:
-    """Best cut of every numeric feature: ``(gain, kind, cut, branch counts)``."""
-    at, row = np.unique(cells["i"], return_inverse=True)
-    shape = (len(at), p.classes)
-    where = (row, cells["label"].to_numpy())
+def _numeric_splits(row: np.ndarray, cells: dict[str, np.ndarray], rows: int, p: TreeParams) -> tuple:
+    """Best cuts of numeric features, one a row: ``(gains, kinds, cuts, branch counts)``."""
+    shape = (rows, p.classes)
+    where = (row, cells["label"])
     n, mean, dev = np.zeros(shape), np.zeros(shape), np.zeros(shape)
     lo, hi = np.full(shape, np.inf), np.full(shape, -np.inf)
     for target, name in ((n, "n"), (mean, "mean"), (dev, "m2"), (lo, "lo"), (hi, "hi")):
@@ -115,75 +120,108 @@ def _numeric_splits(cells: pd.DataFrame, p: TreeParams) -> dict[int, tuple]:
     dev = np.sqrt(dev / np.maximum(n, 1))
     low, high = lo.min(axis=1, keepdims=True), hi.max(axis=1, keepdims=True)
     share = np.arange(1, p.bins) / p.bins
-    cuts = low * (1 - share) + high * share  # (feature, cut)
+    cuts = low * (1 - share) + high * share  # (row, cut)
     z = (cuts[:, :, None] - mean[:, None]) / np.maximum(dev, 1e-300)[:, None]
     below = n[:, None] * 0.5 * (1 + _erf(np.clip(z, -40, 40) / math.sqrt(2)))
     below = np.where(cuts[:, :, None] < lo[:, None], 0.0, below)
     below = np.where(cuts[:, :, None] >= hi[:, None], n[:, None], below)
     branches = np.stack([below, n[:, None] - below], axis=2)
     gains = _gains(branches)
-    best = gains.argmax(axis=1)
-    return {
-        int(f): (float(gains[k, b]), NUMERIC, float(cuts[k, b]), branches[k, b])
-        for k, (f, b) in enumerate(zip(at, best))
-    }
+    every, best = np.arange(rows), gains.argmax(axis=1)
+    return gains[every, best], NUMERIC, cuts[every, best], branches[every, best]
 
 
-def _nominal_split(table: np.ndarray, p: TreeParams) -> tuple:
-    """Best split of a nominal feature from its (code, class) counts."""
+def _nominal_splits(tables: np.ndarray, p: TreeParams) -> tuple:
+    """The same for one nominal feature from its (row, code, class) counts."""
     if not p.binary_splits:
-        return float(_gains(table)), MULTIWAY, 0.0, table
-    branches = np.stack([table, table.sum(axis=0) - table], axis=1)
+        return _gains(tables), MULTIWAY, 0.0, tables
+    branches = np.stack([tables, tables.sum(axis=1, keepdims=True) - tables], axis=2)
     gains = _gains(branches)
-    best = int(gains.argmax())
-    return float(gains[best]), ONE_VALUE, float(best), branches[best]
+    every, best = np.arange(len(tables)), gains.argmax(axis=1)
+    return gains[every, best], ONE_VALUE, best, branches[every, best]
 
 
-def search_leaf(cells: pd.DataFrame, p: TreeParams) -> dict:
-    """Class counts of one leaf, the splits that the Hoeffding bound allows (best
-    first) and, with ``remove_poor``, the features that fall behind by it."""
+def search_leaves(at: np.ndarray, cells: Mapping[str, Sequence], p: TreeParams) -> list[dict]:
+    """For each of the leaves that ``at`` numbers from 0 on, in order: its class counts,
+    the splits that the Hoeffding bound allows (best first) and, with ``remove_poor``,
+    the features that fall behind by it."""
     nominal = dict(p.nominal)
-    seen = cells.groupby(["i", "label"])["n"].sum().unstack(fill_value=0)
-    own = np.zeros(p.classes)
+    cell = {c: np.asarray(cells[c]) for c in _CELL}
+    # a slot is one feature of one leaf
+    stride = int(cell["i"].max()) + 1
+    slots, slot = np.unique(at * stride + cell["i"], return_inverse=True)
+    of, feature = slots // stride, slots % stride
+    seen = np.bincount(slot * p.classes + cell["label"], cell["n"], len(slots) * p.classes).reshape(-1, p.classes)
     # the feature with the fewest missing values tells the rows of a leaf
-    fullest = seen.loc[seen.sum(axis=1).idxmax()]
-    own[fullest.index.to_numpy()] = fullest.to_numpy()
-    out = {c: [] for c in _SEARCH_COLS} | {"leaf": int(cells["leaf"].iloc[0]), "own": own.tolist()}
-    n = own.sum()
-    if n < p.grace or (own > 0).sum() < 2:
+    total = seen.sum(axis=1)
+    fullest = np.lexsort((feature, -total, of))
+    own = seen[fullest[np.flatnonzero(np.diff(of[fullest], prepend=-1))]]
+    n = own.sum(axis=1)
+    names = cell["leaf"][np.flatnonzero(np.diff(at, prepend=-1))]
+    out = [{c: [] for c in _SEARCH_COLS} | {"leaf": leaf, "own": counts} for leaf, counts in zip(names.tolist(), own.tolist())]
+    use = ((n >= p.grace) & ((own > 0).sum(axis=1) >= 2))[of]
+    if not use.any():
         return out
-    coded = cells["i"].isin(list(nominal))
-    found = _numeric_splits(cells[~coded], p) if not coded.all() else {}
-    for f, part in cells[coded].groupby("i"):
-        table = np.zeros((nominal[f], p.classes))
-        table[part["bin"], part["label"]] = part["n"]
-        found[int(f)] = _nominal_split(table, p)
-    ranked = sorted(found.items(), key=lambda kv: (-kv[1][0], kv[0]))
-    gain = ranked[0][1][0]
+    gain, kind, cut = np.zeros(len(slots)), np.zeros(len(slots), np.int64), np.zeros(len(slots))
+    branches = np.empty(len(slots), object)
+
+    def put(which: np.ndarray, found: tuple) -> None:
+        gain[which], kind[which], cut[which] = found[:3]
+        for s, counts in zip(which.tolist(), found[3]):
+            branches[s] = counts
+
+    for f in [None, *nominal]:
+        own_slots = use & (~np.isin(feature, list(nominal)) if f is None else feature == f)
+        which, row = np.flatnonzero(own_slots), np.cumsum(own_slots) - 1
+        if not len(which):
+            continue
+        mine = own_slots[slot]
+        part = {c: v[mine] for c, v in cell.items()}
+        row = row[slot[mine]]
+        if f is None:
+            put(which, _numeric_splits(row, part, len(which), p))
+        else:
+            tables = np.zeros((len(which), nominal[f], p.classes))
+            tables[row, part["bin"], part["label"]] = part["n"]
+            put(which, _nominal_splits(tables, p))
+    ranked = np.flatnonzero(use)
+    ranked = ranked[np.lexsort((feature[ranked], -gain[ranked], of[ranked]))]
+    first = np.flatnonzero(np.diff(of[ranked], prepend=-1))
+    last = np.append(first[1:], len(ranked))
+    leaf = of[ranked[first]]
+    best = gain[ranked[first]]
     # not splitting at all is the rival when there is only one feature
-    rival = ranked[1][1][0] if len(ranked) > 1 else 0.0
+    rival = np.where(last - first > 1, gain[ranked[np.minimum(first + 1, len(ranked) - 1)]], 0.0)
     span = math.log2(max(p.classes, 2))
-    bound = math.sqrt(span * span * math.log(1 / p.split_confidence) / (2 * n))
-    if gain > 0 and (gain - rival > bound or bound < p.tie):
-        for k, (f, (g, kind, cut, branches)) in enumerate(ranked):
-            if k == 0 or g > bound:
-                out["s_feature"].append(f)
-                out["s_kind"].append(kind)
-                out["s_cut"].append(cut)
-                out["s_arity"].append(len(branches))
-                out["s_branches"].extend(branches.ravel().tolist())
-    elif p.remove_poor:
-        out["poor"] = [f for f, option in ranked if gain - option[0] > bound]
+    bound = np.sqrt(span * span * math.log(1 / p.split_confidence) / (2 * n[leaf]))
+    splits = (best > 0) & ((best - rival > bound) | (bound < p.tie))
+    for k in np.flatnonzero(splits).tolist():
+        found = out[leaf[k]]
+        for s in ranked[first[k] : last[k]].tolist():
+            if s == ranked[first[k]] or gain[s] > bound[k]:
+                found["s_feature"].append(int(feature[s]))
+                found["s_kind"].append(int(kind[s]))
+                found["s_cut"].append(float(cut[s]))
+                found["s_arity"].append(len(branches[s]))
+                found["s_branches"].extend(branches[s].ravel().tolist())
+    for k in np.flatnonzero(~splits).tolist() if p.remove_poor else ():
+        options = ranked[first[k] : last[k]]
+        out[leaf[k]]["poor"] = feature[options[best[k] - gain[options] > bound[k]]].tolist()
     return out
 
 
-def grow(tree: dict, leaves: pd.DataFrame, p: TreeParams, again: bool = False) -> dict:
-    """Apply the splits that were found for the leaves of one tree. ``again``: the
+def search_leaf(cells: pd.DataFrame, p: TreeParams) -> dict:
+    """The same for one leaf."""
+    return search_leaves(np.zeros(len(cells), np.int64), cells, p)[0]
+
+
+def grow(tree: dict, leaves: Iterable[dict], p: TreeParams, again: bool = False) -> dict:
+    """Apply the splits that were found for the leaves of one tree, in order. ``again``: the
     leaves are fresh ones, counted from rows that their priors already stand for.
     ``fresh`` is the first node made by this call, -1 if there is none."""
-    t = {c: list(tree[c]) for c in _TREE_COLS if c != "fresh"}
+    t = {c: np.asarray(tree[c]).tolist() for c in _TREE_COLS if c != "fresh"}
     dropped, capped, nodes = set(t["dropped"]), set(t["capped"]) if again else set(), len(t["feature"])
-    for found in leaves.sort_values("leaf").to_dict("records"):
+    for found in leaves:
         leaf = int(found["leaf"])
         at = slice(leaf * p.classes, (leaf + 1) * p.classes)
         prior = np.array(t["prior"][at])
@@ -301,6 +339,28 @@ def _attach(rows: DataFrame, trees: DataFrame, keys: Sequence[str]) -> DataFrame
     return rows.join(trees if keys else F.broadcast(trees), [*keys, "round"])
 
 
+def round_sizes(rows: DataFrame) -> dict[int, int]:
+    """Rows of every round."""
+    found = rows.filter(F.col("round").isNotNull()).groupBy("round").count().collect()
+    return {r["round"]: r["count"] for r in found}
+
+
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows that many trees route, in tasks by their number: their bytes, by which
+    files are split, tell little of the time."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, math.ceil(n / DEALT_ROWS[0])), math.ceil(n / DEALT_ROWS[1]))
+    if tasks == 1:
+        return rows.coalesce(1)
+    return rows if rows.rdd.getNumPartitions() >= tasks else rows.repartition(tasks)
+
+
+def stored_even(rows: DataFrame, name: str) -> DataFrame:
+    """Rows stored by round, each round in a file a core, so that ``dealt`` finds them
+    apart and need not shuffle them in every pass."""
+    return materialise(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), name, ["round"])
+
+
 def hoeffding_rounds(
     df: DataFrame,
     rank: str,
@@ -315,8 +375,9 @@ def hoeffding_rounds(
     version scores) and the statistics each version was left with. Both hold at
     most ``max_nodes`` leaves per key and round. ``first``: the length of the first
     round where rounds double, or any ``Rounds``. ``counter(rows, trees, again)``
-    may give the statistics of the leaves instead, for trees that share their rows;
-    ``keys`` are then whole numbers that rows do not have (see ``subset_counter``)."""
+    may give the statistics of the leaves instead, for trees that share their rows, or
+    None where no tree is given; ``keys`` are then whole numbers that rows do not have
+    (see ``subset_counter``)."""
     spark = df.sparkSession
     keys, p = list(keys), params
     rows = df.select(
@@ -326,8 +387,9 @@ def hoeffding_rounds(
         F.col(label).alias("label"),
         doubling_block(rank, first).alias("round"),
     )
-    rows = materialise(rows, "tree-rows", ["round"])
-    last = rows.agg(F.max("round")).first()[0] or 0
+    rows = stored_even(rows, "tree-rows") if counter else materialise(rows, "tree-rows", ["round"])
+    sizes = round_sizes(rows)
+    last = max(sizes, default=0)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_ddl = "".join(f"{k} {'int' if counter else fields[k]}, " for k in keys)
     stump = _stump(p)
@@ -344,7 +406,7 @@ def hoeffding_rounds(
                 return trees[[*keys, *_TREE_COLS]].assign(fresh=-1)
             old = stump if trees.empty else trees.iloc[0].to_dict()
             head = leaves[keys].iloc[:1].reset_index(drop=True)
-            new = grow(old, leaves, p, again)
+            new = grow(old, leaves.sort_values("leaf").to_dict("records"), p, again)
             return head.assign(**{c: [new[c]] for c in _TREE_COLS})[[*keys, *_TREE_COLS]]
 
         return update
@@ -379,17 +441,23 @@ def hoeffding_rounds(
         """The same for very many small trees: whole trees in bundles, each with its
         own row before the statistics of its leaves."""
 
+        whole = ("leaf", "i", "bin", "label", "n")
+
         def work(groups: list[pd.DataFrame]) -> pd.DataFrame:
+            known = [int(np.isnan(pdf["leaf"].iat[0])) for pdf in groups]
+            cells = {c: np.concatenate([pdf[c].to_numpy()[k:] for pdf, k in zip(groups, known)]) for c in _CELL}
+            cells |= {c: cells[c].astype(np.int64) for c in whole}
+            of = np.repeat(np.arange(len(groups)), [len(pdf) - k for pdf, k in zip(groups, known)])
+            leaves = [[] for _ in groups]
+            if len(of):
+                starts = (np.diff(of, prepend=-1) != 0) | (np.diff(cells["leaf"], prepend=-1) != 0)
+                for k, found in zip(of[starts].tolist(), search_leaves(np.cumsum(starts) - 1, cells, p)):
+                    leaves[k].append(found)
             out = []
-            for pdf in groups:
-                known, cells = pdf[pdf["leaf"].isna()], pdf[pdf["leaf"].notna()]
-                old = known.iloc[0].to_dict() if len(known) else stump
-                new = {c: old[c] for c in _TREE_COLS} | {"fresh": -1}
-                if len(cells):
-                    cells = cells.astype({c: "int64" for c in ("leaf", "i", "bin", "label", "n")})
-                    leaves = pd.DataFrame([search_leaf(part, p) for _, part in cells.groupby("leaf")])
-                    new = grow(old, leaves, p, again)
-                out.append({**{k: pdf[k].iloc[0] for k in keys}, **new})
+            for pdf, k, found in zip(groups, known, leaves):
+                old = {c: pdf[c].iat[0] for c in _TREE_COLS} if k else stump
+                new = grow(old, found, p, again) if found else old | {"fresh": -1}
+                out.append({**{c: pdf[c].iat[0] for c in keys}, **new})
             return pd.DataFrame(out)[[*keys, *_TREE_COLS]]
 
         cells = stats.select(*by, "n", "mean", "m2", "lo", "hi")
@@ -404,11 +472,21 @@ def hoeffding_rounds(
         both = found.groupBy(*keys).cogroup(trees.groupBy(*keys))
         return materialise(both.applyInPandas(updating(again), f"{key_ddl}{_TREE_DDL}"), "trees")
 
+    def count_again(part: DataFrame, split: DataFrame, r: int) -> DataFrame | None:
+        """Statistics of the fresh leaves, None where there are none."""
+        if counter:
+            return counter(part, split, True)
+        if split.isEmpty():
+            return None
+        routed = _attach(part, split.withColumn("round", F.lit(r)), keys)
+        return counted(routed.withColumn("leaf", route("_x")).filter("leaf >= fresh"))
+
     versions, history = None, None
     live, stats = None, None  # trees and counts at the start of the round
     for r in range(last):  # the model of the last round is not needed to score it
         part = rows.filter(F.col("round") == r)
         if counter:
+            part = dealt(part, sizes.get(r, 0))
             counts = counter(part, live, False)
         elif live is None:
             counts = counted(
@@ -432,17 +510,19 @@ def hoeffding_rounds(
         if trees is None:
             trees = spark.createDataFrame([], f"{key_ddl}{_TREE_DDL}") if keys else start
         trees = grown(stats, trees, False)
-        while not (split := trees.filter("fresh >= 0")).isEmpty():
-            # the round's own rows, routed again to the leaves that are new; at
-            # most ``max_depth`` times
-            if counter:
-                again = counter(part, split, True)
-            else:
-                routed = _attach(part, split.withColumn("round", F.lit(r)), keys)
-                again = counted(routed.withColumn("leaf", route("_x")).filter("leaf >= fresh"))
+        # the round's own rows, routed again to the leaves that are new; at most
+        # ``max_depth`` times
+        settled = None
+        while (again := count_again(part, split := trees.filter("fresh >= 0"), r)) is not None:
             again = materialise(again, "tree-counts").withColumn("round", now)
             stats = stats.unionByName(again)
-            trees = grown(again, trees, True)
+            if counter:  # the trees that did not split are left as they are
+                rest = trees.filter("fresh < 0")
+                settled = rest if settled is None else settled.unionByName(rest)
+            trees = grown(again, split if counter else trees, True)
+        if settled is not None:
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            trees = materialise(settled.unionByName(trees).coalesce(parts), "trees")
         live = trees.withColumn("round", now)
         versions = live if versions is None else versions.unionByName(live)
         history = stats if history is None else history.unionByName(stats)

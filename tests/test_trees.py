@@ -2,20 +2,32 @@
 any growth, and appended rows."""
 
 import math
+import time
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from millrace.learners import bayes, ensemble
+from millrace.learners import bayes, ensemble, tree
 from millrace.learners.linear import linear_scan
 from millrace.learners.network import class_targets, perceptron, train_in_rounds
-from millrace.learners.tree import TreeParams, _leaf_votes, prequential_hoeffding, tree_snapshots, tree_text, tree_vote
+from millrace.learners.tree import (
+    TreeParams,
+    _leaf_votes,
+    prequential_hoeffding,
+    search_leaf,
+    search_leaves,
+    tree_snapshots,
+    tree_text,
+    tree_vote,
+)
 from millrace.operators.connect import with_latest
 from millrace.operators.order import Rounds, doubling_block, fixed_block
 from millrace.plans import learning
+from millrace.runtime import materialise
 
 SF = "/root/testdata/sf0.01"
 
@@ -309,6 +321,67 @@ def test_subsets_take_missing_values(spark):
     assert [r["votes"] for r in out] == [[r["pred"]] for r in alone]
 
 
+@pytest.mark.parametrize("how", [{}, {"binary_splits": True, "remove_poor": True}])
+def test_leaves_searched_together_equal_each_alone(how):
+    """Leaves of a feature or two, of one class, below the grace and with a tie."""
+    rng = np.random.default_rng(5)
+    p = TreeParams(4, 3, nominal=((2, 4),), grace=20, split_confidence=0.1, tie=0.1, **how)
+    cells = []
+    for leaf in range(300):
+        for i in rng.choice(4, rng.integers(1, 5), replace=False):
+            for c in rng.choice(3, rng.integers(1, 4), replace=False):
+                for code in range(4) if i == 2 else (0,):
+                    mean = float(rng.integers(0, 3))
+                    cells.append((leaf, i, code, c, int(rng.integers(1, 60)), mean, 4.0, mean - 1, mean + 1))
+    cells = pd.DataFrame(cells, columns=["leaf", "i", "bin", "label", "n", "mean", "m2", "lo", "hi"])
+    together = search_leaves(cells["leaf"].to_numpy(), cells, p)
+    alone = [search_leaf(part, p) for _, part in cells.groupby("leaf")]
+    assert together == alone and [r["leaf"] for r in together] == list(range(300))
+    assert sum(bool(r["s_feature"]) for r in together) > 20
+    assert sum(bool(r["poor"]) for r in together) > 5 or not how
+
+
+def test_many_leaves_take_little_time():
+    """The last rounds of all pairs of 64 features search some 250,000 leaves."""
+    leaves = np.repeat(np.arange(6000), 4)
+    rng = np.random.default_rng(6)
+    mean = rng.normal(size=len(leaves))
+    cells = {"leaf": leaves, "i": np.tile([0, 0, 1, 1], 6000), "bin": np.zeros_like(leaves), "label": np.tile([0, 1], 12000)}
+    cells |= {"n": np.full(len(leaves), 150), "mean": mean, "m2": np.full(len(leaves), 100.0), "lo": mean - 2, "hi": mean + 2}
+    began = time.process_time()
+    found = search_leaves(leaves, cells, TreeParams(2, 2))
+    assert len(found) == 6000 and time.process_time() - began < 3
+
+
+def test_only_trees_with_fresh_leaves_are_grown_again(spark, monkeypatch):
+    """Within a round trees that did not split are neither counted nor written again."""
+    written = []
+
+    def noting(df, name, *more):
+        out = materialise(df, name, *more)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(tree, "materialise", noting)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(512, 6))
+    rows = [(i, x[i].tolist(), int(x[i, 0] > 0)) for i in range(512)]
+    df = spark.createDataFrame(rows, "seq long, x array<double>, label int").repartition(1)
+    p = TreeParams(6, 2, grace=40, split_confidence=0.01, tie=0.01)
+    votes = ensemble.subset_votes(df, "seq", "x", "label", ensemble.attribute_subsets(6), p, 128)
+    sizes = [n for name, n in written if name == "trees"]
+    assert votes.count() == 512 and max(sizes) == 15
+    # only the five pairs with the first feature tell the label
+    assert 0 < min(sizes) <= 5
+
+
+def test_rows_for_many_trees_are_dealt_by_their_number(spark):
+    """Vectors are few bytes, which Spark would read in one task."""
+    rows = spark.range(0, 4000, 1, 1)
+    assert [tree.dealt(rows, n).rdd.getNumPartitions() for n in (0, 100, 600, 4000, 1 << 20)] == [1, 1, 3, 8, 16]
+    assert tree.dealt(rows, 4000).count() == 4000
+
+
 def test_leaf_votes_equal_a_loop():
     rng = np.random.default_rng(4)
     p = TreeParams(3, 3, nominal=((2, 4),))
